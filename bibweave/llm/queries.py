@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bibweave.llm import corpus_encoding, format_duplicates, leakage, subjects, survivorship, value_mapping
+from bibweave.llm import corpus_encoding, entity_match, format_duplicates, history_dedup, leakage, subjects, survivorship, value_mapping
+from bibweave.llm.works import featurise
 from bibweave.session import read_table
 
 
@@ -35,6 +36,27 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapped.select(F.col("id").alias("rec_id"), F.col("ref_id").alias("venue_id"))
 
 
+def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entity_match.match_sources(*(read_table(spark, sf_dir, t) for t in ("papers", "registry_records", "paper_groups")))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    papers, registry = (read_table(spark, sf_dir, t) for t in ("papers", "registry_records"))
+    return entity_match.match_sources(papers, registry).select("rec_id", "bib_id")
+
+
+def p4_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _matched(spark, sf_dir).select("rec_id", "bib_id", "rule", "confidence")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forest = history_dedup.HashForest(spark)
+    ledger, candidates = (read_table(spark, sf_dir, t) for t in ("seen_ledger", "candidates"))
+    forest.add(featurise(ledger, "seen_id", "title", "authors", "pub_date", F.col("doi"), F.col("arxiv_id")))
+    batch = forest.add(featurise(candidates, "cand_id", "title", "authors", "published", F.col("doi"), F.col("arxiv_id")))
+    return batch.where("first_id < id").select("first_id", F.col("id").alias("cand_id"))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = corpus_encoding.encode(read_table(spark, sf_dir, "documents"), "doc_id", "text")
     return encoded.select(F.col("id").alias("doc_id"), "ids")
@@ -50,7 +72,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_copies, p2_found, p2_survivors, p3_found, p6_ids, p7_found, p8_found)}
+    return {f.__name__: f for f in (p1_found, p1_copies, p2_found, p2_survivors, p3_found, p4_found, p4_confidence, p5_found, p6_ids, p7_found, p8_found)}
 
 
 def oracle_sql() -> dict[str, str]:
