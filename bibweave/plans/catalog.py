@@ -6,13 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function's name, with the SQL that gives the same rows where there is one."""
+
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return register
+
+
+def queries() -> dict[str, Query]:
+    from bibweave.plans import core_queries  # noqa: F401  registers them
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(ORACLE)

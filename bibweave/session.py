@@ -1,13 +1,14 @@
 """Session helpers: building a local session and cutting lineage safely.
 
-Lineage is only ever cut with ``DataFrame.checkpoint`` into the folder that the
-cluster names in ``spark.checkpoint.dir``; that folder is shared, so a lost
-executor never loses a cut.  ``localCheckpoint`` is not used anywhere.
+Lineage is only ever cut by tables written into the folder that the cluster names
+in ``spark.checkpoint.dir``; that folder is shared, so a lost executor never loses
+a cut.  ``localCheckpoint`` is not used anywhere.
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,9 +43,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and forget its lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once, as a table in the shared checkpoint folder, and read it back without its lineage.
+
+    A written table is computed once (an eager checkpoint computes its last
+    stage twice), is compressed, and outlives any executor.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    cut = spark.read.schema(df.schema).parquet(path)
+    cut.cut_path = path
+    return cut
+
+
+def drop_cut(*tables: DataFrame) -> None:
+    """Delete tables of ``cut_lineage`` that nothing reads any more, such as those of past rounds of a loop."""
+    for df in tables:
+        path = getattr(df, "cut_path", None)
+        if path:
+            jvm = df.sparkSession.sparkContext._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
