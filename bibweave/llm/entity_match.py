@@ -34,25 +34,25 @@ from bibweave.llm.works import attach, check_pairs, components, featurise, ident
 from bibweave.session import cut_lineage
 
 RULES = {1: "same title", 2: "identifier and author", 3: "title but for a word, and an author", 4: "title but for two words, and the first author", 5: "start of the title, and an author"}
-MOST_WORDS = 14
+MOST_WORDS = {1: 14, 2: 8}  # parts of a title of which one or two are left out
 
 
 def _hash(words: tuple[str, ...]) -> int:
     return int.from_bytes(hashlib.blake2b("\x1f".join(words).encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def _units(tokens) -> list[str]:
-    """Words of a title; those of a very long one are put together so that there are at most ``MOST_WORDS``."""
+def _units(tokens, most: int) -> list[str]:
+    """Words of a title; those of a long one are put together so that there are at most ``most``."""
     tokens = list(tokens)
-    if len(tokens) <= MOST_WORDS:
+    if len(tokens) <= most:
         return tokens
-    size = -(-len(tokens) // MOST_WORDS)
+    size = -(-len(tokens) // most)
     return ["".join(tokens[i : i + size]) for i in range(0, len(tokens), size)]
 
 
 def word_keys(tokens, drop: int) -> list[int]:
     """Keys of all ways to leave ``drop`` words out, in any order of the rest (and none left out, for drop 1)."""
-    units = sorted(_units(tokens))
+    units = sorted(_units(tokens, MOST_WORDS[drop]))
     if len(units) < drop + 2:
         return []
     keys = [tuple(units)] if drop == 1 else []
@@ -105,7 +105,7 @@ def cascade(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     titled = nodes.where("names_work")
     edges = cut_lineage(identifier_edges(records).withColumn("rule", F.lit(2)))
     starts = None
-    for rule, keys, by in ((3, _keys(1), "names"), (4, _keys(2), "firsts"), (5, _starts("tokens", "breaks"), "names")):
+    for rule, keys, by in ((3, _keys(1), "firsts"), (4, _keys(2), "firsts"), (5, _starts("tokens", "breaks"), "firsts")):
         resolved = edges.where("rule > 2").select(F.explode(F.array("a", "b")).alias("node")).distinct()
         open_nodes = titled if rule == 3 else titled.join(resolved, "node", "left_anti")
         found = cut_lineage(check_pairs(_candidates(open_nodes, titled, keys, by), nodes).withColumn("rule", F.lit(rule)))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bibweave.llm.text import HYPHEN_BREAK, STRONG_BREAK, fold, least_rotation
-from bibweave.session import cut_lineage
+from bibweave.session import cut_lineage, drop_cut
 
 # Labels that aggregators put on titles without meaning another work.
 LABEL = re.compile(r"[(\[]\s*(v\d{1,2}|preprint|extended abstract|technical report)\s*[)\]]|[,;:]?\s*\b(technical report|extended abstract)\s*(?=\W*$)")
@@ -152,17 +152,18 @@ def featurise(records: DataFrame, id_col: str, title: str, authors: str, publish
 
 
 def nodes_of(records: DataFrame) -> DataFrame:
-    """One row per node: its title and all surnames that any of its records has."""
+    """One row per node: its title and the anchors of the author lists of its records."""
     titles = records.groupBy("node").agg(
         F.min_by(F.struct("letters", "breaks", "tokens", "marks", "cut", "names_work"), "id").alias("t"),
         F.min("id").alias("least"),
         F.collect_set(F.when(F.col("year") != "", F.col("year"))).alias("years"),  # as many entries as there are years
     )
-    firsts = records.where("size(names) > 0").select("node", F.element_at("names", 1).alias("name")).distinct().groupBy("node").agg(F.collect_set("name").alias("firsts"))
-    names = records.select("node", F.explode("names").alias("name")).distinct().groupBy("node").agg(F.collect_set("name").alias("names"))  # distinct before: copies add nothing
+    # Two anchors of an author list: its first name, and the least (lists get reordered, and cut at the end).
+    anchors = records.where("size(names) > 0").select("node", F.explode(F.array_distinct(F.array(F.element_at("names", 1), F.array_min("names")))).alias("name"))
+    firsts = anchors.distinct().groupBy("node").agg(F.collect_set("name").alias("firsts"))
     none = F.array().cast("array<string>")
-    joined = titles.join(names, "node", "left").join(firsts, "node", "left")
-    return joined.select("node", "least", "years", "t.*", F.coalesce("names", none).alias("names"), F.coalesce("firsts", none).alias("firsts"))
+    joined = titles.join(firsts, "node", "left")
+    return joined.select("node", "least", "years", "t.*", F.coalesce("firsts", none).alias("firsts"))
 
 
 def identifier_edges(records: DataFrame, families: int = 3) -> DataFrame:
@@ -300,11 +301,12 @@ def components(edges: DataFrame) -> DataFrame:
         met = labels.join(near, labels.node == near.a).select("node", "root", F.least("root", "near").alias("next"))
         jump = labels.select(F.col("node").alias("next"), F.col("root").alias("far"))
         moved = met.join(jump, "next", "left").select("node", F.col("root").alias("old"), F.least("next", F.coalesce("far", "next")).alias("root"))
-        moved = cut_lineage(moved)
-        changed = moved.where("old <> root").limit(1).count()
-        labels = moved.select("node", "root")
-        if not changed:
-            return labels
+        after = cut_lineage(moved)
+        drop_cut(labels)
+        if not after.where("old <> root").limit(1).count():
+            return after.select("node", "root")
+        labels = after.select("node", "root")
+        labels.cut_path = after.cut_path
 
 
 def attach(found: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
