@@ -212,9 +212,9 @@ def r3_take_ranked(spark, d):
 
 
 @query(
-    """WITH t AS (SELECT s.username, greatest(1, least(CAST(s.k AS INTEGER), 20)) AS k, count(l.seen_id) AS total, CAST(count_if(l.selection = 'important') AS BIGINT) AS imp, CAST(count_if(l.selection = 'recent') AS BIGINT) AS rec FROM subscriptions s LEFT JOIN seen_ledger l ON l.field_slug = s.username AND l.added_on = (SELECT max(added_on) FROM seen_ledger) AND coalesce(l.selection,'') <> 'manual' GROUP BY ALL),
+    """WITH t AS (SELECT s.username, greatest(1, least(CAST(s.k AS INTEGER), 20)) AS k, count(l.seen_id) AS total, CAST(coalesce(count_if(l.selection = 'important'), 0) AS BIGINT) AS imp, CAST(coalesce(count_if(l.selection = 'recent'), 0) AS BIGINT) AS rec FROM subscriptions s LEFT JOIN seen_ledger l ON l.field_slug = s.username AND l.added_on = (SELECT max(added_on) FROM seen_ledger) AND coalesce(l.selection,'') <> 'manual' GROUP BY ALL),
     u AS (SELECT *, greatest(0, k - total) AS remaining, CASE WHEN k <= 1 THEN 0 ELSE least(2, k - 1) END AS quota FROM t)
-    SELECT username, least(remaining, greatest(0, quota - imp)) AS important_left, remaining - least(remaining, greatest(0, quota - imp)) AS recent_left FROM u"""
+    SELECT username, CAST(least(remaining, greatest(0, quota - imp)) AS BIGINT) AS important_left, CAST(remaining - least(remaining, greatest(0, quota - imp)) AS BIGINT) AS recent_left FROM u"""
 )
 def r5_quota(spark, d):
     led = schema.ledger(spark, d)
