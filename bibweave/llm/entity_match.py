@@ -15,8 +15,8 @@ have been put together, and each key holds nearly a whole title and an author,
 so blocks are small whatever the size of the sources.
 
 Defined results: null and blank titles and mere headings match only by
-identifier and author; records without authors match only by their title (or by
-an identifier of one author); ties in a cut title go to the class with the same
+identifier and author; records without authors match only by their title but for
+a word (or by an identifier of one author); ties in a cut title go to the class with the same
 year, then to the least; repeated rows count once; extra columns are ignored.
 """
 
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bibweave.llm.works import attach, check_pairs, components, featurise, identifier_edges, nodes_of
+from bibweave.llm.works import CJK, attach, check_pairs, components, featurise, identifier_edges, nodes_of
 from bibweave.session import cut_lineage
 
 RULES = {1: "same title", 2: "identifier and author", 3: "title but for a word, and an author", 4: "title but for two words, and the first author", 5: "start of the title, and an author"}
@@ -76,7 +76,7 @@ def _start_keys(tokens: pd.Series, breaks: pd.Series) -> pd.Series:
         for k, w in enumerate(t):
             if k == 0 or at in marks:
                 start = "".join((t + t)[k : k + len(t)])
-                keys.add(_hash((start[:12],)))
+                keys.add(_hash((start[: 8 if CJK.search(start) else 24],)))
             at += len(w)
         out.append(sorted(keys))
     return pd.Series(out)
@@ -85,18 +85,21 @@ def _start_keys(tokens: pd.Series, breaks: pd.Series) -> pd.Series:
 _starts = F.pandas_udf(_start_keys, T.ArrayType(T.LongType()))
 
 
-def _candidates(left: DataFrame, right: DataFrame, keys, by: str) -> DataFrame:
-    """Pairs of nodes with a key and a name of ``by`` in common; nodes without names pair on the key alone."""
+def _candidates(left: DataFrame, right: DataFrame, keys, nameless: bool) -> DataFrame:
+    """Pairs of nodes with a key and an anchor of the author lists in common; ``nameless``: nodes without authors pair on the key alone."""
 
     def keyed(nodes: DataFrame) -> DataFrame:
-        return nodes.select("node", F.explode(keys).alias("key"), by)
+        return nodes.select("node", F.explode(keys).alias("key"), "firsts")
 
     l, r = keyed(left), keyed(right)
-    named = lambda d, s: d.select(F.col("node").alias(s), F.explode(by).alias("name"), "key").select(s, F.xxhash64("key", "name").alias("k"))
+    named = lambda d, s: d.select(F.col("node").alias(s), F.explode("firsts").alias("name"), "key").select(s, F.xxhash64("key", "name").alias("k"))
     pairs = named(l, "a").join(named(r, "b"), "k").select("a", "b")
-    bare = l.where(F.size(by) == 0).select(F.col("node").alias("a"), "key").join(r.select(F.col("node").alias("b"), "key"), "key").select("a", "b")
-    back = l.select(F.col("node").alias("a"), "key").join(r.where(F.size(by) == 0).select(F.col("node").alias("b"), "key"), "key").select("a", "b")
-    return pairs.union(bare).union(back).where("a <> b")
+    if nameless:
+        bare = l.where(F.size("firsts") == 0).select(F.col("node").alias("a"), "key").join(r.select(F.col("node").alias("b"), "key"), "key").select("a", "b")
+        pairs = pairs.union(bare)
+        if left is not right:
+            pairs = pairs.union(l.select(F.col("node").alias("a"), "key").join(r.where(F.size("firsts") == 0).select(F.col("node").alias("b"), "key"), "key").select("a", "b"))
+    return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def cascade(records: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -105,10 +108,10 @@ def cascade(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     titled = nodes.where("names_work")
     edges = cut_lineage(identifier_edges(records).withColumn("rule", F.lit(2)))
     starts = None
-    for rule, keys, by in ((3, _keys(1), "firsts"), (4, _keys(2), "firsts"), (5, _starts("tokens", "breaks"), "firsts")):
+    for rule, keys, nameless in ((3, _keys(1), True), (4, _keys(2), False), (5, _starts("tokens", "breaks"), False)):
         resolved = edges.where("rule > 2").select(F.explode(F.array("a", "b")).alias("node")).distinct()
         open_nodes = titled if rule == 3 else titled.join(resolved, "node", "left_anti")
-        found = cut_lineage(check_pairs(_candidates(open_nodes, titled, keys, by), nodes).withColumn("rule", F.lit(rule)))
+        found = cut_lineage(check_pairs(_candidates(open_nodes, titled, keys, nameless), nodes).withColumn("rule", F.lit(rule)))
         edges = edges.unionByName(found.where("level = 2").select("a", "b", "rule"))
         starts = found if starts is None else starts.unionByName(found)
     edges = cut_lineage(edges)
