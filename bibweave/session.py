@@ -7,6 +7,7 @@ a cut.  ``localCheckpoint`` is not used anywhere.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -66,6 +67,16 @@ def drop_cut(*tables: DataFrame) -> None:
             at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now.
+
+    They go when the driver collects the plans that wrote them, which a driver
+    with room to spare may put off until the disks are full.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table of a data directory (a file or a folder of parts)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
