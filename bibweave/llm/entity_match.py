@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bibweave.llm.works import CJK, attach, check_pairs, components, featurise, identifier_edges, nodes_of
-from bibweave.session import cut_lineage
+from bibweave.session import cut_lineage, free_shuffles
 
 RULES = {1: "same title", 2: "identifier and author", 3: "title but for a word, and an author", 4: "title but for two words, and the first author", 5: "start of the title, and an author"}
 MOST_WORDS = {1: 14, 2: 8}  # parts of a title of which one or two are left out
@@ -113,6 +113,7 @@ def cascade(records: DataFrame) -> tuple[DataFrame, DataFrame]:
         open_nodes = titled if rule == 3 else titled.join(resolved, "node", "left_anti")
         found = cut_lineage(check_pairs(_candidates(open_nodes, titled, keys, nameless), nodes).withColumn("rule", F.lit(rule)))
         edges = edges.unionByName(found.where("level = 2").select("a", "b", "rule"))
+        free_shuffles(records.sparkSession)
         starts = found if starts is None else starts.unionByName(found)
     edges = cut_lineage(edges)
     roots = components(edges)

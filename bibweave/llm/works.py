@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bibweave.llm.text import HYPHEN_BREAK, STRONG_BREAK, fold, least_rotation
-from bibweave.session import cut_lineage, drop_cut
+from bibweave.session import cut_lineage, drop_cut, free_shuffles
 
 # Labels that aggregators put on titles without meaning another work.
 LABEL = re.compile(r"[(\[]\s*(v\d{1,2}|preprint|extended abstract|technical report)\s*[)\]]|[,;:]?\s*\b(technical report|extended abstract)\s*(?=\W*$)")
@@ -303,6 +303,7 @@ def components(edges: DataFrame) -> DataFrame:
         moved = met.join(jump, "next", "left").select("node", F.col("root").alias("old"), F.least("next", F.coalesce("far", "next")).alias("root"))
         after = cut_lineage(moved)
         drop_cut(labels)
+        free_shuffles(edges.sparkSession)
         if not after.where("old <> root").limit(1).count():
             return after.select("node", "root")
         labels = after.select("node", "root")
