@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from bibweave import schema
 from bibweave.functions import identity as I
 from bibweave.functions import labels, match, quality, texts, venue
-from bibweave.operators import dedup, lookup, ranking, sections
+from bibweave.operators import dedup, lookup, ranking, sections, summaries
 from bibweave.plans import sql as q
 from bibweave.plans.catalog import query
 from bibweave.session import read_table
+from bibweave.streaming import incremental
 
 C = F.col
 P = q.P
@@ -153,7 +154,7 @@ _BODY = "lower(p.title || chr(10) || p.abstract)"
 @query(
     f"SELECT p.seq, len(s.context_keywords) = 0 OR EXISTS (SELECT 1 FROM (SELECT unnest(s.context_keywords) AS kw) u WHERE {q.has_word(_BODY, 'u.kw')}) AS in_context FROM {P} p JOIN subscriptions s ON s.username = p.field_slug"
 )
-def p3_domain_context(spark, d):
+def pred3_domain_context(spark, d):
     joined = schema.papers(spark, d).join(schema.subscriptions(spark, d).select(C("username").alias("field_slug"), "context_keywords"), "field_slug")
     return joined.select("seq", match.has_context(match.body_of(C("title"), C("abstract")), C("context_keywords")).alias("in_context"))
 
@@ -167,7 +168,7 @@ def p3_domain_context(spark, d):
       len(context_keywords) = 0 OR EXISTS (SELECT 1 FROM (SELECT unnest(b.context_keywords) AS kw) u WHERE {q.has_word('b.body', 'u.kw')}) AS ctx FROM base b)
     SELECT seq, CASE WHEN len(amb) = 0 OR len(m) = 0 OR NOT list_has_all(amb, m) THEN '' WHEN len(conf) > 0 AND len(coalesce(missing, [])) > 0 THEN 'required terms missing: ' || array_to_string(missing, ', ') WHEN len(conf) > 0 AND list_has_all(conf, m) THEN '' WHEN ctx THEN '' ELSE 'no context of the field: ' || array_to_string(list_sort(list_transform(m, lambda x: upper(x))), ', ') END AS issue FROM r"""
 )
-def p5_context_gate(spark, d):
+def pred5_context_gate(spark, d):
     specs = schema.subscriptions(spark, d).select(C("username").alias("field_slug"), "ambiguous_keywords", "context_keywords", "ambiguous_context_groups")
     j = schema.papers(spark, d).join(specs, "field_slug")
     return j.select("seq", match.context_issue(C("title"), C("abstract"), C("matched_keywords"), C("ambiguous_keywords"), C("context_keywords"), C("ambiguous_context_groups")).alias("issue"))
@@ -384,7 +385,7 @@ def a12_reading_value(spark, d):
 
 
 @query(f"SELECT seen_id, length({q.strip('tldr')}) < 40 OR length(coalesce(tldr,'')) < 260 AS too_short, coalesce(TRY_CAST(reading_value AS BIGINT),0) BETWEEN 1 AND 1 AS low_value FROM seen_ledger")
-def p7_gates(spark, d):
+def pred7_gates(spark, d):
     value = I.tolerant_int(C("reading_value"))
     return schema.ledger(spark, d).select("seen_id", quality.too_short(C("tldr"), C("tldr")).alias("too_short"), ((value != 0) & (value < 2)).alias("low_value"))
 
@@ -395,7 +396,7 @@ _TT = "list_filter(list_distinct(regexp_extract_all(lower(p.title), '[a-z0-9]+')
 @query(
     f"SELECT doc_id, terms = 0 OR hits >= CASE WHEN terms >= 3 THEN 2 ELSE 1 END AS matches FROM (SELECT d.doc_id, len({_TT}) AS terms, (SELECT count(*) FROM (SELECT unnest({_TT}) AS t) u WHERE regexp_matches(lower(coalesce(d.text,'')), '\\b' || u.t || '\\b')) AS hits FROM documents d JOIN {P} p ON p.seq = d.rec_id)"
 )
-def p10_title_terms(spark, d):
+def pred10_title_terms(spark, d):
     j = read_table(spark, d, "documents").join(schema.papers(spark, d).select(C("seq").alias("rec_id"), "title"), "rec_id")
     return j.select("doc_id", quality.text_matches_title(C("text"), C("title")).alias("matches"))
 
@@ -404,12 +405,12 @@ _LOW = f"regexp_replace(lower(coalesce(text,'')), '{q.WS}+', ' ', 'g')"
 
 
 @query(f"SELECT doc_id, contains({_LOW}, 'formatting instructions') AND ({' + '.join(f'CAST(contains({_LOW}, {q.lit(m)}) AS INTEGER)' for m in quality.TEMPLATE)}) >= 3 AS template, {' OR '.join(f'contains(lower(coalesce(heading,{chr(39)}{chr(39)})), {q.lit(m)})' for m in quality.DENY)} AS denied FROM documents")
-def p11_template(spark, d):
+def pred11_template(spark, d):
     return read_table(spark, d, "documents").select("doc_id", quality.looks_like_template(C("text")).alias("template"), quality.denied(C("heading")).alias("denied"))
 
 
 @query("SELECT seen_id FROM seen_ledger WHERE contains(lower(concat_ws(' ', coalesce(title,''), array_to_string(coalesce(authors, []), ' '), coalesce(venue,''))), 'robust')")
-def p18_search(spark, d):
+def pred18_search(spark, d):
     hay = F.lower(F.concat_ws(" ", C("title"), F.array_join(F.coalesce("authors", F.array().cast("array<string>")), " "), C("venue")))
     return schema.ledger(spark, d).where(hay.contains("robust")).select("seen_id")
 
@@ -498,3 +499,51 @@ def t9_line_sections(spark, d):
     docs = read_table(spark, d, "documents").where("text <> ''").select(C("doc_id").cast("string").alias("paper_id"), F.posexplode(F.split("text", "\n+")).alias("pos", "txt"))
     lines = docs.select("paper_id", "pos", F.when(F.length("txt") < 40, 14.0).otherwise(10.0).alias("size"), F.lit(False).alias("bold"), "txt")
     return sections.sections_of_lines(lines)
+
+
+@query(f"SELECT s.username, greatest(1, least(CAST(s.k AS INTEGER), 20)) AS k, coalesce((SELECT max(nullif(l.added_on, '')) FROM seen_ledger l WHERE l.field_slug = s.username), '') AS latest FROM subscriptions s")
+def r10_clamped_k(spark, d):
+    latest = schema.ledger(spark, d).groupBy(C("field_slug").alias("username")).agg(F.max(F.nullif("added_on", F.lit(""))).alias("latest"))
+    s = schema.subscriptions(spark, d).select("username", ranking.clamp_k(C("k").cast("int")).alias("k"))
+    return s.join(latest, "username", "left").select("username", "k", F.coalesce("latest", F.lit("")).alias("latest"))
+
+
+@query(f"SELECT seq, row_number() OVER (PARTITION BY field_slug ORDER BY citations DESC, seq) AS by_citations, row_number() OVER (PARTITION BY field_slug ORDER BY published DESC, seq) AS by_date FROM {P}")
+def r13_sort_modes(spark, d):
+    w = Window.partitionBy("field_slug")
+    p = schema.papers(spark, d)
+    return p.select("seq", F.row_number().over(w.orderBy(C("citations").desc(), "seq")).alias("by_citations"), F.row_number().over(w.orderBy(C("published").desc(), "seq")).alias("by_date"))
+
+
+@query(f"SELECT seq, len(list_distinct(list_filter(matched_keywords, lambda k: trim(k) <> ''))) AS distinct_keywords FROM {P}")
+def d5_distinct_keywords(spark, d):
+    kept = F.filter("matched_keywords", lambda k: F.trim(k) != "")
+    return schema.papers(spark, d).select("seq", F.size(F.array_distinct(kept)).alias("distinct_keywords"))
+
+
+@query(f"WITH {q.SCORED} SELECT scored.seq, relevance < 1 AS weak, abstract = '' AS no_abstract FROM scored JOIN {P} USING (seq)".replace("SELECT scored.seq", "SELECT seq"))
+def pred6_pre_gates(spark, d):
+    p = schema.papers(spark, d)
+    s = ranking.scored(p, schema.subscriptions(spark, d)).select("seq", "relevance")
+    return s.join(p.select("seq", "abstract"), "seq").select("seq", (C("relevance") < 1).alias("weak"), (C("abstract") == "").alias("no_abstract"))
+
+
+@query("SELECT source, coalesce(lang,'') AS lang, count(*) AS n, coalesce(sum(n_chars), 0)::BIGINT AS chars, max(n_chars) AS longest FROM documents GROUP BY source, coalesce(lang,'')")
+def a8_text_sizes(spark, d):
+    by = read_table(spark, d, "documents").groupBy("source", F.coalesce("lang", F.lit("")).alias("lang"))
+    return by.agg(F.count("*").alias("n"), F.coalesce(F.sum("n_chars"), F.lit(0)).alias("chars"), F.max("n_chars").alias("longest"))
+
+
+@query()
+def l8_stub_summary(spark, d):
+    docs = read_table(spark, d, "documents").select("rec_id", F.struct(F.coalesce("heading", F.lit("")).alias("heading"), F.coalesce("text", F.lit("")).alias("body")).alias("s")).where("rec_id IS NOT NULL")
+    secs = docs.groupBy(C("rec_id").alias("seq")).agg(F.array_sort(F.collect_list("s")).alias("sections"))  # the texts of one record
+    p = schema.papers(spark, d).join(secs, "seq")
+    return p.select("seq", summaries.stub(C("title"), C("abstract"), C("sections")).alias("summary")).select("seq", "summary.tldr", "summary.what", F.size("summary.sections").alias("parts"))
+
+
+@query()
+def y1_incremental(spark, d):
+    known = schema.ledger(spark, d).select("field_slug", F.explode(I.ledger_aliases(C("paper_key"), C("title"), C("doi"), C("arxiv_id"))).alias("alias"))
+    batch = schema.filled(read_table(spark, d, "candidates")).withColumn("seq", C("cand_id")).withColumn("field_slug", F.coalesce("field_slug", F.lit("")))
+    return incremental.new_works(batch, known).select("seq", "field_slug")
