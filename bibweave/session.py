@@ -8,8 +8,10 @@ a cut.  ``localCheckpoint`` is not used anywhere.
 from __future__ import annotations
 
 import gc
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,6 +79,16 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def _importable(spark: SparkSession) -> None:
+    """Python workers that start later find this package where the driver does, wherever the driver was started."""
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table of a data directory (a file or a folder of parts)."""
+    _importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
