@@ -267,12 +267,19 @@ def same_title(a: str, breaks_a: list[int], marks_a: str, cut_a: bool, b: str, b
             # Without a mark, only a cut inside a word counts: what begins a new word may be a sequel's own.
             if cut_a:
                 return 1
-            return 1 if len(rest) >= (2 if CJK.search(rest) else 3) and not SEQUEL.search(rest) else 0
+            return 1 if len(rest) >= (2 if CJK.search(rest) else 3) and marks_a == marks_b and not _goes_on(turned, len(a)) else 0
     return 0
 
 
 # How sequels, errata and later editions go on where the first work's title ends.
-SEQUEL = re.compile(r"^(again|revisited|edition|extended|volume|vol|part|ten|tenyears|years|later|real|realhardware|hardware|without|half|cost|supervision|\d|i+$|reply|comment|erratum|corrigendum|scale)|\d")
+SEQUEL = re.compile(r"^(again|revisited|edition|extended|volume|vol|part|tenyears|later|realhardware|without|half|cost|reply|comment|erratum|corrigendum|i+$|\d)|\d|supervision|hardware|edition|revisited|yearslater|halfcost")
+SEQUEL_ENDS = ("again", "revisited", "realhardware", "withoutsupervision", "tenyearslater", "extendededition", "halfcost", "partii")
+
+
+def _goes_on(title: str, end: int) -> bool:
+    """Whether what follows the first ``end`` letters, give or take two for slips before it, is how a sequel goes on."""
+    rests = {title[max(0, end + d) :] for d in (-2, -1, 0, 1, 2)}
+    return any(SEQUEL.search(r) or any(_edits(r, w, 2) <= (2 if len(w) > 6 else 1) for w in SEQUEL_ENDS) for r in rests if r)
 
 
 def check_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
