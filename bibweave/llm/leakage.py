@@ -1,20 +1,22 @@
 """Problem 7: evaluation texts that leak into training text.
 
-Method: q-gram lemma filtering.  Items and documents are reduced to their words
-and then to a stream of letters.  For each document the character q-grams it
-shares with an item are counted in overlapping bands of diagonals; by the q-gram
-lemma a passage within the edit budget keeps at least a known number of q-grams
-in one band, so only bands that reach that number are kept.  Each kept region is
-verified by a banded word alignment.
+Method: q-gram lemma filtering.  Items and documents are reduced to their words.
+For each document the pairs of adjacent words it shares with an item are counted
+in overlapping bands of diagonals; by the q-gram lemma a passage within the edit
+budget keeps at least a known number of pairs in one band and within its own
+length, whatever its words, so only such places are kept, and none that the
+check would accept is lost.  The check itself is a longest common subsequence of
+each window of the item with the words of that place.
 
 The items are a fixed, held-out set: their index is sent to the tasks only
 behind a check of its size, and larger sets are taken in blocks of that size,
 each of them against all documents.  Documents are streamed once per block; no
-shuffle carries a text.
+shuffle carries a document.
 
 Defined results: null, blank and wordless texts leak nothing; a document leaks
 an item once, however often; ids that occur twice give one row; whole texts of
-any length are searched; other columns are ignored.
+any length are searched; an item of fewer than 15 words is found as a whole, of
+fewer than 10 only with all of its words; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,20 +40,27 @@ WORD = re.compile(r"[^\W_]+")
 
 @dataclass(frozen=True)
 class Budget:
-    """Words a passage must have, edits it may have, and the sizes the filter works with."""
+    """Words a passage must have, and how many of them may be altered (changed or left out) or added."""
 
     words: int = 15
     word_edits: int = 3
-    q: int = 8
-    letters_per_word: int = 5
-    band: int = 48
-    stock_items: int = 4  # a run of four words that stands in so many items belongs to none of them
+    band: int = 16
+    stock_items: int = 4  # a run that stands in so many different items belongs to none of them
+    least: int = 10  # words of a run that could be a passage by itself
+    phrase: int = 4  # words of a run that may be a shared phrase
+    own: int = 8
 
-    @property
-    def threshold(self) -> int:
-        """q-grams that a passage of ``words`` words keeps after ``word_edits`` words are changed (q-gram lemma)."""
-        letters = self.words * self.letters_per_word
-        return max(8, letters - self.q + 1 - self.word_edits * (self.letters_per_word + self.q - 1))
+    def window(self, length: int) -> tuple[int, int, int]:
+        """(words, altered, added): what a passage of an item of ``length`` words must have, and may have."""
+        if length >= self.words:
+            return self.words, self.word_edits, self.word_edits
+        few = length * self.word_edits // self.words
+        return length, few if length >= self.least else 0, few
+
+    def threshold(self, length: int) -> int:
+        """Pairs of adjacent words that a passage keeps: its matched words lie in at most altered + added + 1 runs."""
+        words, altered, added = self.window(length)
+        return max(1, words - altered - (altered + added + 1))
 
 
 def words_of(text: str | None) -> list[str]:
@@ -63,105 +72,138 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall(HYPHEN_BREAK.sub("", text).casefold().replace("'", "").replace("’", ""))
 
 
-def _grams(stream: np.ndarray, q: int) -> np.ndarray:
-    n = len(stream) - q + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    for k in range(q):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + stream[k : k + n]
-    return out ^ (out >> np.uint64(29))
-
-
-def _stream(words: list[str]) -> np.ndarray:
-    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-
-
 class ItemIndex:
-    """Sorted q-grams of a block of items, with the places they stand at."""
+    """Sorted word pairs of a block of items, with the places they stand at.
+    """
 
     def __init__(self, items: list[tuple[int, str]], budget: Budget):
-        self.budget, self.threshold, self.reach = budget, budget.threshold, budget.words * budget.letters_per_word * 3
-        self.ids = [i for i, _ in items]
-        self.words = [words_of(t) for _, t in items]
+        self.budget = budget
+        self.ids = [i[0] for i in items]
+        self.vocabulary: dict[str, int] = {}
+        self.words: list[list[int]] = []
+        worded = [words_of(text) for _, text in items]
         runs: Counter = Counter()
-        for w in self.words:
-            runs.update({tuple(w[k : k + 4]) for k in range(len(w) - 3)})
-        self.stock: list[list[bool]] = []
-        grams, owner, place = [], [], []
-        for n, w in enumerate(self.words):
-            common = [False] * len(w)
-            for k in range(len(w) - 3):
-                if runs[tuple(w[k : k + 4])] >= budget.stock_items:
-                    common[k : k + 4] = [True] * 4
-            self.stock.append(common)
-            g = _grams(_stream(w), budget.q)
-            letter_common = np.repeat(np.array(common, bool), [len(x) for x in w]) if w else np.empty(0, bool)
-            # q-grams that lie whole in a stock run say nothing about this item.
-            inside = np.convolve(letter_common, np.ones(budget.q, int), "valid") < budget.q if len(g) else np.empty(0, bool)
-            grams.append(g[inside])
-            owner.append(np.full(int(inside.sum()), n, np.int32))
-            place.append(np.flatnonzero(inside).astype(np.int32))
-        g = np.concatenate(grams) if grams else np.empty(0, np.uint64)
+        for x in worded:
+            runs.update({tuple(x[k : k + budget.phrase]) for k in range(len(x) - budget.phrase + 1)})
+        self.phrases: list[list[bool]] = []
+        self.single: dict[int, list[int]] = {}
+        codes, owner, place = [], [], []
+        for n, x in enumerate(worded):
+            w = [self.vocabulary.setdefault(x, len(self.vocabulary)) for x in x]
+            shared = [False] * len(w)
+            for k in range(len(w) - budget.phrase + 1):
+                if runs[tuple(x[k : k + budget.phrase])] >= budget.stock_items:
+                    shared[k : k + budget.phrase] = [True] * budget.phrase
+            self.words.append(w)
+            self.phrases.append(shared)
+            if len(w) == 1:
+                self.single.setdefault(w[0], []).append(n)
+            v = np.array(w, np.int64)
+            codes.append(v[:-1] << 32 | v[1:])
+            owner.append(np.full(max(0, len(w) - 1), n, np.int32))
+            place.append(np.arange(max(0, len(w) - 1), dtype=np.int32))
+        g = np.concatenate(codes) if codes else np.empty(0, np.int64)
         order = np.argsort(g, kind="stable")
         self.unique, self.first, self.count = np.unique(g[order], return_index=True, return_counts=True)
         self.owner = np.concatenate(owner)[order] if owner else np.empty(0, np.int32)
         self.place = np.concatenate(place)[order] if place else np.empty(0, np.int32)
+        self.threshold = np.array([budget.threshold(len(w)) for w in self.words], np.int64)
+        self.reach = np.array([sum(budget.window(len(w))[::2]) for w in self.words], np.int64)  # words of a text that a passage may take
 
     @property
     def nbytes(self) -> int:
-        return sum(a.nbytes for a in (self.unique, self.first, self.count, self.owner, self.place)) + sum(sum(map(len, w)) * 4 for w in self.words)
+        arrays = sum(a.nbytes for a in (self.unique, self.first, self.count, self.owner, self.place))
+        return arrays + sum(100 + 4 * len(w) for w in self.vocabulary) + sum(80 * len(w) for w in self.words)
 
     def leaks(self, text: str | None) -> list[int]:
         """Ids of the items of which the text holds a passage."""
-        words = words_of(text)
-        if not words or not len(self.unique):
-            return []
-        b = self.budget
-        grams = _grams(_stream(words), b.q)
-        if len(grams) < self.threshold:
-            return []
-        at = np.searchsorted(self.unique, grams)
+        known = self.vocabulary
+        words = [known.get(w, -1) for w in words_of(text)]
+        found = {self.ids[n] for w in self.single.keys() & set(words) for n in self.single[w]} if self.single else set()
+        if len(words) < 2 or not len(self.unique):
+            return sorted(found)
+        v = np.array(words, np.int64)
+        codes = np.where((v[:-1] >= 0) & (v[1:] >= 0), v[:-1] << 32 | v[1:], -1)
+        at = np.searchsorted(self.unique, codes)
         at[at == len(self.unique)] = 0
-        hit = np.flatnonzero(self.unique[at] == grams)
-        if len(hit) < self.threshold:
-            return []
+        hit = np.flatnonzero(self.unique[at] == codes)
+        if not len(hit):
+            return sorted(found)
         n = self.count[at[hit]]
         doc_place = np.repeat(hit, n)
         posting = np.repeat(self.first[at[hit]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         owner, item_place = self.owner[posting].astype(np.int64), self.place[posting].astype(np.int64)
-        # Two sets of bands, each half a band from the other: every passage lies whole in a band of one of them, or of its neighbour.
-        diagonal = doc_place - item_place + len(grams) + 1_000_000
-        found: set[int] = set()
-        letter_word = None
-        for shift in (0, b.band // 2):
-            code = owner * (1 << 40) + (diagonal + shift) // b.band
+        often = np.bincount(owner, minlength=len(self.ids)) >= self.threshold
+        keep = often[owner]
+        doc_place, owner, item_place = doc_place[keep], owner[keep], item_place[keep]
+        # Two sets of bands, each half a band from the other: a passage, whose diagonals lie within its altered and added words, is whole in a band of one.
+        diagonal = doc_place - item_place + (1 << 20)
+        for shift in (0, self.budget.band // 2):
+            code = owner * (1 << 40) + (diagonal + shift) // self.budget.band
             order = np.lexsort((doc_place, code))
-            _, begin, size = np.unique(code[order], return_index=True, return_counts=True)
-            full = size >= self.threshold
-            for start, n in zip(begin[full].tolist(), size[full].tolist()):
-                run = order[start : start + n]
-                item = int(owner[run[0]])
+            c, d, o = code[order], doc_place[order], owner[order]
+            last = np.arange(len(order)) + self.threshold[o] - 1
+            inside = np.flatnonzero(last < len(order))
+            last = last[inside]
+            full = (c[last] == c[inside]) & (d[last] - d[inside] < self.reach[o[inside]] - 1)
+            begin, end = inside[full], last[full]
+            k = 0
+            while k < len(begin):
+                # Windows that overlap make one region.
+                item = int(o[begin[k]])
+                lo, hi, low, high = int(d[end[k]]), int(d[begin[k]]), int(begin[k]), int(end[k])
+                k += 1
+                while k < len(begin) and c[begin[k]] == c[low] and d[begin[k]] <= hi + self.reach[item]:
+                    hi, high = int(d[begin[k]]), int(end[k])
+                    k += 1
                 if self.ids[item] in found:
                     continue
-                # A band is as long as the text: what matters are stretches of it in which enough q-grams stand close together.
-                places = doc_place[run]
-                for stretch in np.split(places, np.flatnonzero(np.diff(places) > self.reach) + 1) if n > 1 else [places]:
-                    if len(stretch) < self.threshold:
-                        continue
-                    if letter_word is None:
-                        letter_word = np.repeat(np.arange(len(words)), [len(w) for w in words])
-                    lo = int(letter_word[stretch[0]])
-                    hi = int(letter_word[min(stretch[-1] + b.q, len(letter_word) - 1)]) + 1
-                    if self._verify(words[max(0, lo - 12) : hi + 12], item):
-                        found.add(self.ids[item])
-                        break
+                reach = int(self.reach[item])
+                pairs = item_place[order[low : high + 1]]
+                if self._verify(words[max(0, lo - reach) : hi + reach], item, pairs):
+                    found.add(self.ids[item])
         return sorted(found)
 
-    def _verify(self, doc: list[str], item: int) -> bool:
-        matched, span, own = align(doc, self.words[item], self.stock[item])
-        b = self.budget
-        return span >= b.words - 2 and matched >= b.words - b.word_edits and own >= 8 or matched == len(self.words[item]) > 0
+    def _verify(self, doc: list[int], item: int, pairs: np.ndarray) -> bool:
+        """Whether the text holds a passage of the item.
+
+        ``pairs``: places of the item's word pairs that the region has; only windows with enough of them can be met.
+        A window has all but a few words of the item in order; enough of the matched words must stand outside shared phrases.
+        """
+        w, b = self.words[item], self.budget
+        size, altered, added = b.window(len(w))
+        seen = np.zeros(len(w), np.int64)
+        seen[pairs] = 1
+        before = np.concatenate(([0], np.cumsum(seen)))
+        near = False
+        for at in np.flatnonzero(before[size - 1 : len(w)] - before[: len(w) - size + 1] >= self.threshold[item]).tolist():
+            if _in_order(doc, w[at : at + size], altered, size + added):
+                near = True
+                break
+        if len(w) < b.words:
+            return near or align(doc, w, self.phrases[item])[0] == len(w)
+        return near and align(doc, w, self.phrases[item])[2] >= b.own
+
+
+def _in_order(doc: list[int], window: list[int], altered: int, reach: int) -> bool:
+    """Whether ``reach`` words of a text hold all but ``altered`` words of the window in their order (longest common subsequence, bit-parallel)."""
+    masks: dict[int, int] = {}
+    for k, w in enumerate(window):
+        masks[w] = masks.get(w, 0) | 1 << k
+    full = (1 << len(window)) - 1
+    row = [masks.get(w, 0) for w in doc]
+    head = (1 << altered + 1) - 1  # the first word that is met
+    for start, m in enumerate(row):
+        if not m & head:
+            continue
+        v = full
+        for mask in row[start : start + reach]:
+            if mask:
+                u = v & mask
+                v = ((v + u) | (v - u)) & full
+        if v.bit_count() <= altered:
+            return True
+    return False
 
 
 def align(doc: list[str], item: list[str], stock: list[bool]) -> tuple[int, int, int]:

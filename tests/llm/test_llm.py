@@ -186,6 +186,25 @@ def test_leakage(spark):
     assert leakage.leaked_passages(df, items.limit(0), "doc_id", "text", "item_id", "text").count() == 0
 
 
+SHORT_WORDS = "A gull in an oak is at its egg, so I sat by it as he ate a fig; no one of us ran to a log or the dim bay"
+
+
+def test_leakage_every_window_with_changed_words(spark):
+    docs, want = [], set()
+    items = [(7, ITEM), (8, SHORT_WORDS), (9, "Who hid a red fox in the old hut?")]
+    for item, text in items[:2]:
+        words = text.split()
+        for at in range(len(words) - 14):
+            for changed in ((), (4, 10), (3, 7, 11), (1, 8, 13), (5, 6, 7)):
+                part = [f"altered{k}" if k in changed else w for k, w in enumerate(words[at : at + 15])]
+                want.add((len(docs), item))
+                docs.append((len(docs), "Before it there is other text. " + " ".join(part) + " And after it again other text."))
+    docs += [(-1, "He asked: who hid a red fox, in the OLD hut?"), (-2, "Who hid a red fox in the new hut?"), (-3, " ".join(SHORT_WORDS.split()[4:13]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in leakage.leaked_passages(df, spark.createDataFrame(items, "item_id long, text string"), "doc_id", "text", "item_id", "text").collect()}
+    assert got == want | {(-1, 9)}
+
+
 def test_alignment_brute_force():
     def best(d, i):
         top = 0
