@@ -11,26 +11,30 @@ each window of the item with the words of that place.
 The items are a fixed, held-out set: their index is sent to the tasks only
 behind a check of its size, and larger sets are taken in blocks of that size,
 each of them against all documents.  Documents are streamed once per block; no
-shuffle carries a document.
+shuffle carries a document.  Stock runs are counted over all items before they
+are put into blocks: runs of 10 words in 4 different items, unless they make up
+most of an item.
 
 Defined results: null, blank and wordless texts leak nothing; a document leaks
 an item once, however often; ids that occur twice give one row; whole texts of
 any length are searched; an item of fewer than 15 words is found as a whole, of
-fewer than 10 only with all of its words; other columns are ignored.
+fewer than 10 only with all of its words; a stock run with fewer than 6 other
+words of the item is no passage; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bibweave.llm.text import HYPHEN_BREAK, INVISIBLE
 
@@ -74,28 +78,31 @@ def words_of(text: str | None) -> list[str]:
 
 class ItemIndex:
     """Sorted word pairs of a block of items, with the places they stand at.
+
+    ``items``: (id, text, places at which a stock run of ``least`` words begins, and one of ``phrase`` words).
     """
 
-    def __init__(self, items: list[tuple[int, str]], budget: Budget):
+    def __init__(self, items: list[tuple[int, str, list[int], list[int]]], budget: Budget):
         self.budget = budget
         self.ids = [i[0] for i in items]
         self.vocabulary: dict[str, int] = {}
         self.words: list[list[int]] = []
-        worded = [words_of(text) for _, text in items]
-        runs: Counter = Counter()
-        for x in worded:
-            runs.update({tuple(x[k : k + budget.phrase]) for k in range(len(x) - budget.phrase + 1)})
+        self.stock: list[list[int]] = []  # per item: words of long stock runs before each place
         self.phrases: list[list[bool]] = []
         self.single: dict[int, list[int]] = {}
         codes, owner, place = [], [], []
-        for n, x in enumerate(worded):
-            w = [self.vocabulary.setdefault(x, len(self.vocabulary)) for x in x]
-            shared = [False] * len(w)
-            for k in range(len(w) - budget.phrase + 1):
-                if runs[tuple(x[k : k + budget.phrase])] >= budget.stock_items:
-                    shared[k : k + budget.phrase] = [True] * budget.phrase
+        for n, (_, text, begins, phrases) in enumerate(items):
+            w = [self.vocabulary.setdefault(x, len(self.vocabulary)) for x in words_of(text)]
+            common, shared = [0] * len(w), [False] * len(w)
+            for k in begins:
+                common[k : k + budget.least] = [1] * budget.least
+            for k in phrases:
+                shared[k : k + budget.phrase] = [True] * budget.phrase
+            if 2 * sum(common) > len(w):
+                common = [0] * len(w)  # what makes up most of an item is its own text, in however many suites it stands
             self.words.append(w)
             self.phrases.append(shared)
+            self.stock.append([0, *np.cumsum(common).tolist()])
             if len(w) == 1:
                 self.single.setdefault(w[0], []).append(n)
             v = np.array(w, np.int64)
@@ -168,21 +175,45 @@ class ItemIndex:
         """Whether the text holds a passage of the item.
 
         ``pairs``: places of the item's word pairs that the region has; only windows with enough of them can be met.
-        A window has all but a few words of the item in order; enough of the matched words must stand outside shared phrases.
+        A window has all but a few words of the item in order.  As other texts may be made of the same shared phrases,
+        the differences must also be single words, or enough of the matched words must stand outside shared phrases.
         """
         w, b = self.words[item], self.budget
         size, altered, added = b.window(len(w))
         seen = np.zeros(len(w), np.int64)
         seen[pairs] = 1
         before = np.concatenate(([0], np.cumsum(seen)))
-        near = False
+        stock = self.stock[item]
+        near = []
         for at in np.flatnonzero(before[size - 1 : len(w)] - before[: len(w) - size + 1] >= self.threshold[item]).tolist():
-            if _in_order(doc, w[at : at + size], altered, size + added):
-                near = True
-                break
+            if (stock[at + size] - stock[at] < b.least or size == len(w)) and _in_order(doc, w[at : at + size], altered, size + added):
+                if _single_edits(doc, w[at : at + size], altered):
+                    return True
+                near.append(at)
         if len(w) < b.words:
-            return near or align(doc, w, self.phrases[item])[0] == len(w)
-        return near and align(doc, w, self.phrases[item])[2] >= b.own
+            return align(doc, w, self.phrases[item])[0] == len(w)
+        return bool(near) and align(doc, w, self.phrases[item])[2] >= b.own
+
+
+def _single_edits(doc: list[int], window: list[int], edits: int) -> bool:
+    """Whether the text has the window but for at most ``edits`` single words changed, added or left out, with matched words between them."""
+    places: dict[int, list[int]] = {}
+    for j, w in enumerate(window):
+        places.setdefault(w, []).append(j)
+    end = len(window) - 1
+    rows: list[dict[int, int]] = [{}, {}]  # of the last two words: place in the window -> least edits of a path that ends there
+    far = edits + 1
+    for w in doc:
+        one, two, here = rows[1], rows[0], {}
+        for j in places.get(w, ()):
+            start = j if j < 2 else far
+            cost = min(start, one.get(j - 1, far), one.get(j - 2, far) + 1, two.get(j - 1, far) + 1, two.get(j - 2, far) + 1)
+            if cost <= edits:
+                here[j] = cost
+                if j >= end - 1 and cost + end - j <= edits:
+                    return True
+        rows = [one, here]
+    return False
 
 
 def _in_order(doc: list[int], window: list[int], altered: int, reach: int) -> bool:
@@ -241,12 +272,30 @@ def align(doc: list[str], item: list[str], stock: list[bool]) -> tuple[int, int,
     return best[1], best[2], best[3]
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _words(texts: pd.Series) -> pd.Series:
+    return pd.Series([words_of(t) for t in texts], dtype=object)
+
+
+def stock_places(items: DataFrame, budget: Budget) -> DataFrame:
+    """(item_id, long, phrases): where runs of ``least`` and of ``phrase`` words begin that stand in ``stock_items`` different texts."""
+
+    def places(length: int, name: str) -> DataFrame:
+        hashes = F.transform(F.sequence(F.lit(1), F.size("w") - (length - 1)), lambda k: F.xxhash64(F.slice("w", k, length)))
+        runs = worded.where(F.size("w") >= length).select("item_id", F.xxhash64("w").alias("text"), F.posexplode(hashes).alias("place", "run"))
+        shared = runs.select("run", "text").distinct().groupBy("run").count().where(F.col("count") >= budget.stock_items)
+        return runs.join(shared, "run", "left_semi").groupBy("item_id").agg(F.collect_list("place").alias(name))
+
+    worded = items.select("item_id", _words("text").alias("w"))
+    return places(budget.phrase, "phrases").join(places(budget.least, "long"), "item_id", "full_outer")
+
+
 def leaked_passages(documents: DataFrame, items: DataFrame, id_col: str, text_col: str, item_id_col: str, item_text_col: str, budget: Budget = Budget(), block: int = 4_000) -> DataFrame:
     """(doc_id, item_id) of every document that holds a passage of an item. Items are taken in blocks of ``block`` of them."""
     spark = documents.sparkSession
     wanted = items.select(F.col(item_id_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL").dropDuplicates(["item_id"])
     result: DataFrame | None = None
-    rows: list[tuple[int, str]] = []
+    rows: list[tuple[int, str, list[int], list[int]]] = []
     texts = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("text IS NOT NULL")
 
     def search(held) -> DataFrame:
@@ -271,8 +320,9 @@ def leaked_passages(documents: DataFrame, items: DataFrame, id_col: str, text_co
         result = part if result is None else result.unionByName(part)
         rows = []
 
-    for row in wanted.orderBy("item_id").toLocalIterator():  # the evaluation set is the stated query set, block by block
-        rows.append((row.item_id, row.text))
+    marked = wanted.join(stock_places(wanted, budget), "item_id", "left")
+    for row in marked.orderBy("item_id").toLocalIterator():  # the evaluation set is the stated query set, block by block
+        rows.append((row.item_id, row.text, row.long or [], row.phrases or []))
         if len(rows) == block:
             flush()
     if rows or result is None:

@@ -205,6 +205,26 @@ def test_leakage_every_window_with_changed_words(spark):
     assert got == want | {(-1, 9)}
 
 
+def test_leakage_of_shared_phrases(spark):
+    phrases = ["told the night clerk from", "a smaller rehearsal was kept", "the Hallow Street branch looked", "two days into the harvest"]
+    question = "which of these many statements is the best supported one here, do tell"
+    made = [(k, " ".join(phrases[i] for i in order)) for k, order in enumerate(itertools.permutations(range(4)))]
+    suites = [(k, "Lodka inspected 41 crooked lamps of Jindora before any magpie had gone missing, whereas Sabeth traded them for wool.") for k in range(100, 105)]
+    asked = [(k, " ".join(f"own{k}word{i}" for i in range(20)) + " " + question) for k in range(200, 205)]
+    items = spark.createDataFrame(made + suites + asked, "item_id long, text string")
+    edited = made[3][1].split()
+    edited[4] = edited[11] = "altered"
+    other = " ".join([phrases[0], "x y", phrases[1], "z", phrases[2]])  # shared phrases alone, with more than single words between them
+    docs = [(1, "lead " + made[5][1] + " tail"), (2, " ".join(edited[1:19])), (3, suites[0][1]), (4, "so " + question + " now"), (5, asked[0][1]), (6, other)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = []
+    for block in (1, 3, 100):
+        found.append({(r.doc_id, r.item_id) for r in leakage.leaked_passages(df, items, "doc_id", "text", "item_id", "text", block=block).collect()})
+    assert found[0] == found[1] == found[2]
+    assert {(1, 5), (2, 3), (5, 200)} | {(3, k) for k in range(100, 105)} <= found[0]
+    assert {d for d, _ in found[0]} == {1, 2, 3, 5} and {i for d, i in found[0] if d in (3, 5)} == {*range(100, 105), 200}
+
+
 def test_alignment_brute_force():
     def best(d, i):
         top = 0
