@@ -139,7 +139,7 @@ def match_sources(papers: DataFrame, registry: DataFrame, groups: DataFrame | No
     none = F.lit("")
     left = featurise(papers, "rec_id", "title", "authors", "published", F.col("doi"), F.col("arxiv_id")).withColumn("source", F.lit(0))
     right = featurise(registry, "bib_id", "title", "authors", "published", F.col("doi"), none).withColumn("source", F.lit(1))
-    records = cut_lineage(left.unionByName(right.withColumn("node", F.when(F.col("cut") | ~F.col("names_work"), F.xxhash64(F.lit("registry"), "id")).otherwise(F.col("node")))))
+    records = cut_lineage(left.unionByName(right.withColumn("node", F.when(~F.col("names_work"), F.xxhash64(F.lit("registry"), "id")).otherwise(F.col("node")))))
     edges, roots = cascade(records)
     passed = edges.select(F.explode(F.array("a", "b")).alias("node"), "rule").groupBy("node").agg(F.min("rule").alias("rule"))
     placed = records.select("source", "id", "node").distinct().join(roots, "node", "left").join(passed, "node", "left")

@@ -138,7 +138,7 @@ def identifiers(doi_value: Column, arxiv_value: Column) -> Column:
 
 
 def featurise(records: DataFrame, id_col: str, title: str, authors: str, published: str, doi_col: Column, arxiv_col: Column) -> DataFrame:
-    """(id, node, title features, names, year, ids). Records of one node have the same title."""
+    """(id, node, title features, names, year, ids). Records of one node have the same title, and the same first author if it is cut short."""
     base = records.select(
         F.col(id_col).cast("long").alias("id"),
         _title_features(F.col(title)).alias("t"),
@@ -146,8 +146,12 @@ def featurise(records: DataFrame, id_col: str, title: str, authors: str, publish
         F.regexp_extract(F.coalesce(F.col(published).cast("string"), F.lit("")), r"((?:19|20)\d\d)", 1).cast("string").alias("year"),
         identifiers(doi_col, arxiv_col).alias("ids"),
     ).where("id IS NOT NULL")
-    alone = ~F.col("t.names_work") | F.col("t.cut")
-    node = F.when(alone, F.xxhash64(F.lit("record"), "id")).otherwise(F.xxhash64(F.lit("title"), "t.key"))
+    first = F.coalesce(F.get("names", F.lit(0)), F.lit(""))
+    node = (
+        F.when(~F.col("t.names_work"), F.xxhash64(F.lit("record"), "id"))
+        .when(F.col("t.cut"), F.xxhash64(F.lit("cut"), "t.letters", first))
+        .otherwise(F.xxhash64(F.lit("title"), "t.key"))
+    )
     return base.select("id", node.alias("node"), "t.*", "names", "year", "ids")
 
 
@@ -318,19 +322,28 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def attach(found: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Roots with the titles cut short added, each to the one class it fits best.
+    """Roots with the titles cut short added, each class of them to the one class it fits best.
 
     A title cut short may be the start of several works; it never joins them.
-    The class with a record of the same year is taken first, then the least.
+    Classes of titles that are whole are taken first, then those with a record
+    of the same year, then the least.  A class that has a whole title isn't
+    moved, but for a single title that goes on inside a word.
     """
-    info = nodes.select("node", "cut", "years", F.length("letters").alias("n"))
-    a, b = (info.select(F.col("node").alias(s), F.col("cut").alias(f"cut_{s}"), F.col("years").alias(f"years_{s}"), F.col("n").alias(f"n_{s}")) for s in ("a", "b"))
-    starts = found.where("level = 1").select("a", "b").join(a, "a").join(b, "b")
-    shorter = F.when(F.col("n_a") < F.col("n_b"), F.struct(F.col("a").alias("node"), F.col("b").alias("to"))).otherwise(F.struct(F.col("b").alias("node"), F.col("a").alias("to")))
-    same_year = F.arrays_overlap("years_a", "years_b")
-    aimed = starts.select(shorter.alias("s"), F.when(same_year, 0).otherwise(1).alias("rank")).select("s.*", "rank")
-    target = aimed.join(roots.withColumnRenamed("node", "to"), "to", "left").select("node", "rank", F.coalesce("root", "to").alias("root"))
-    # Only what stands alone is attached: a class that has full titles of its own isn't moved for one of them.
-    free = target.join(roots.select("node"), "node", "left_anti")
-    chosen = free.groupBy("node").agg(F.min(F.struct("rank", "root")).alias("c")).select("node", F.col("c.root").alias("root"))
-    return roots.unionByName(chosen)
+    info = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), F.col("root").isNotNull().alias("joined"), "cut", "years", F.length("letters").alias("n"))
+    classes = info.groupBy("root").agg((F.bool_or(~F.col("cut")) & F.bool_or("joined")).alias("fixed"), F.bool_and("cut").alias("cuts"), F.max("n").alias("most"))
+    placed = info.join(classes, "root")
+    a, b = (placed.select(F.col("node").alias(s), F.struct("root", "fixed", "cuts", "most", "years", "n").alias(f"_{s}")) for s in ("a", "b"))
+    pairs = found.where("level = 1").select("a", "b").join(a, "a").join(b, "b")
+    shorter = F.col("_a.n") < F.col("_b.n")
+    aimed = pairs.select(F.when(shorter, F.col("_a")).otherwise(F.col("_b")).alias("s"), F.when(shorter, F.col("_b")).otherwise(F.col("_a")).alias("t"))
+    # Towards a fixed class or a longer title only, so that no way comes back.
+    free = aimed.where("NOT s.fixed AND s.root <> t.root AND (t.fixed OR s.most < t.most)")
+    rank = F.struct(F.col("t.cuts"), ~F.arrays_overlap("s.years", "t.years"), F.col("t.root"))
+    ways = cut_lineage(free.groupBy(F.col("s.root").alias("root")).agg(F.min(rank).alias("c")).select("root", F.col("c.root").alias("to")))
+    while True:  # a way may lead to a class that is itself attached
+        on = ways.select(F.col("root").alias("to"), F.col("to").alias("far"))
+        if not ways.join(on, "to", "left_semi").limit(1).count():
+            break
+        ways = cut_lineage(ways.join(on, "to", "left").select("root", F.coalesce("far", "to").alias("to")))
+    moved = info.join(ways, "root", "left").where("joined OR to IS NOT NULL")
+    return moved.select("node", F.coalesce("to", "root").alias("root"))

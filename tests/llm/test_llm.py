@@ -155,6 +155,21 @@ def test_history_dedup_batches_equal_one_batch(spark):
     assert again == {30: 3}
 
 
+def _matched(spark, papers, registry):
+    p = spark.createDataFrame(papers, "rec_id long, title string, authors array<string>, published string, doi string").withColumn("arxiv_id", F.lit(""))
+    b = spark.createDataFrame(registry, "bib_id long, title string, authors array<string>, published string, doi string")
+    return {(r.rec_id, r.bib_id) for r in entity_match.match_sources(p, b).collect()}
+
+
+def test_copies_of_cut_titles_join_their_full_title(spark):
+    full = "Kiradu: wound healing under mixed light in crowded greenhouse laboratories"
+    other = "Measured drift of quarry lanterns across seven abandoned valley stations"
+    who = ["Bela Ek"]
+    papers = [(k, full[:42] + " ...", who, "2020", "") for k in (1, 2, 3)] + [(4, full[:58] + "...", who, "2020", ""), (5, full[:58] + " …", who, "2020", ""), (6, other[:50] + "...", who, "2021", ""), (7, other[:50] + "...", who, "2021", "")]
+    registry = [(11, full, who, "2020", ""), (12, other, who, "2021", ""), (13, other[:36] + " ...", who, "2021", "")]
+    assert _matched(spark, papers, registry) == {(k, 11) for k in range(1, 6)} | {(k, b) for k in (6, 7) for b in (12, 13)}
+
+
 TEXTS = [None, "", " ", "plain words here", "a <|endoftext|> b", "日本語のテキスト 😀 é", "line\n\n  two\t\ttabs   \n", "x" * 500, "don't we'll 's 123 " * 60, "a b " * 300 + "\n" * 90 + "end"]
 
 
