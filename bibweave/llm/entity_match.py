@@ -1,8 +1,8 @@
 """Problem 4: matching the records of two sources that share no key.
 
 Method: a deterministic cascade of rules, each an exact join on a weaker
-combination of attributes, from the full title down to a title without two of
-its words together with the first author.  Every pass after the identifiers
+combination of attributes, from the full title down to a branch of a min-hash
+forest over the title's letters, or over its first ones, together with an author.  Every pass after the identifiers
 looks only at titles that no stronger pass has resolved (the others are
 anti-joined away, but stay on the other side of the join, as a work may have
 several records on both sides).  Candidates are checked title against title.
@@ -25,16 +25,19 @@ from __future__ import annotations
 import hashlib
 from itertools import combinations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bibweave.llm.history_dedup import _permutations, _trigrams
 from bibweave.llm.works import CJK, attach, check_pairs, components, featurise, identifier_edges, nodes_of
 from bibweave.session import cut_lineage, free_shuffles
 
-RULES = {1: "same title", 2: "identifier and author", 3: "title but for a word, and an author", 4: "title but for two words, and the first author", 5: "start of the title, and an author"}
+RULES = {1: "same title", 2: "identifier and author", 3: "title but for a word, and an author", 4: "title but for some slips, and an author", 5: "start of the title, and an author"}
 MOST_WORDS = {1: 14, 2: 8}  # parts of a title of which one or two are left out
+SLIPS = (20, 4)  # trees and depth: of titles with four slips in 56 letters, 97 % share a branch; with fewer, nearly all
 
 
 def _hash(words: tuple[str, ...]) -> int:
@@ -68,6 +71,23 @@ def _keys(drop: int):
     return keys("tokens")
 
 
+def forest_keys(letters: str, trees: int, depth: int) -> list[int]:
+    """Branches of a min-hash forest over the letter trigrams: neither blanks nor the order of parts count, nor how many words are damaged."""
+    a, b = _permutations(trees * depth, 13)
+    grams = _trigrams(letters)
+    least = ((grams[:, None] * a[None, :] + b[None, :]) >> np.uint64(32)).min(axis=0).reshape(trees, depth)
+    keys = np.arange(trees, dtype=np.uint64)
+    for k in range(depth):
+        keys = (keys ^ least[:, k]) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(29)
+    return np.unique(keys.astype(np.int64)).tolist()
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _slip_keys(letters: pd.Series) -> pd.Series:
+    return pd.Series([forest_keys(x + x[:2], *SLIPS) for x in letters])
+
+
 def _start_keys(tokens: pd.Series, breaks: pd.Series) -> pd.Series:
     out = []
     for t, b in zip(tokens, breaks):
@@ -108,7 +128,7 @@ def cascade(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     titled = nodes.where("names_work")
     edges = cut_lineage(identifier_edges(records).withColumn("rule", F.lit(2)))
     starts = None
-    for rule, keys, nameless in ((3, _keys(1), True), (4, _keys(2), False), (5, _starts("tokens", "breaks"), False)):
+    for rule, keys, nameless in ((3, _keys(1), True), (4, _slip_keys("letters"), False), (5, _starts("tokens", "breaks"), False)):
         resolved = edges.where("rule > 2").select(F.explode(F.array("a", "b")).alias("node")).distinct()
         open_nodes = titled if rule == 3 else titled.join(resolved, "node", "left_anti")
         found = cut_lineage(check_pairs(_candidates(open_nodes, titled, keys, nameless), nodes).withColumn("rule", F.lit(rule)))

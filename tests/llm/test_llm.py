@@ -170,6 +170,15 @@ def test_copies_of_cut_titles_join_their_full_title(spark):
     assert _matched(spark, papers, registry) == {(k, 11) for k in range(1, 6)} | {(k, b) for k in (6, 7) for b in (12, 13)}
 
 
+def test_titles_with_shifted_words_match(spark):
+    a = "build caching commit mining with verified branch coverage over crowded container images and slower release trains"
+    b = "buid cac hing commitmining with verifed branch coverage over crowded container images and slower release trians"
+    c = "kabemefi auction pricing between harbour ledgers"
+    d = "kabe mefi auction pricnig between harbour ledgres"
+    who = ["Bela Ek"]
+    assert _matched(spark, [(1, a, who, "2020", ""), (2, c, who, "2021", "")], [(11, b, who, "2020", ""), (12, d, who, "2021", "")]) == {(1, 11), (2, 12)}
+
+
 TEXTS = [None, "", " ", "plain words here", "a <|endoftext|> b", "日本語のテキスト 😀 é", "line\n\n  two\t\ttabs   \n", "x" * 500, "don't we'll 's 123 " * 60, "a b " * 300 + "\n" * 90 + "end"]
 
 
