@@ -15,8 +15,8 @@ have been put together, and each key holds nearly a whole title and an author,
 so blocks are small whatever the size of the sources.
 
 Defined results: null and blank titles and mere headings match only by
-identifier and author; records without authors match only by their title but for
-a word (or by an identifier of one author); ties in a cut title go to the class with the same
+identifier and author; records without authors match by their title alone, or
+by an identifier of one author; ties in a cut title go to the class with the same
 year, then to the least; repeated rows count once; extra columns are ignored.
 """
 
@@ -38,6 +38,8 @@ from bibweave.session import cut_lineage, free_shuffles
 RULES = {1: "same title", 2: "identifier and author", 3: "title but for a word, and an author", 4: "title but for some slips, and an author", 5: "start of the title, and an author"}
 MOST_WORDS = {1: 14, 2: 8}  # parts of a title of which one or two are left out
 SLIPS = (20, 4)  # trees and depth: of titles with four slips in 56 letters, 97 % share a branch; with fewer, nearly all
+START = (24, 8, 16, 3)  # letters, Japanese letters, trees and depth
+SHORT_START = (12, 6, 10, 2)
 
 
 def _hash(words: tuple[str, ...]) -> int:
@@ -88,21 +90,21 @@ def _slip_keys(letters: pd.Series) -> pd.Series:
     return pd.Series([forest_keys(x + x[:2], *SLIPS) for x in letters])
 
 
-def _start_keys(tokens: pd.Series, breaks: pd.Series) -> pd.Series:
-    out = []
-    for t, b in zip(tokens, breaks):
-        t, marks = list(t), set(b)
-        at, keys = 0, set()
-        for k, w in enumerate(t):
-            if k == 0 or at in marks:
-                start = "".join((t + t)[k : k + len(t)])
-                keys.add(_hash((start[: 8 if CJK.search(start) else 24],)))
-            at += len(w)
-        out.append(sorted(keys))
-    return pd.Series(out)
+def _starts(letters: int, short: int, trees: int, depth: int):
+    """Keys of the first letters of each part that may stand first; a start may have slips too. ``short``: letters of a Japanese one."""
 
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def keys(titles: pd.Series, breaks: pd.Series) -> pd.Series:
+        out = []
+        for x, marks in zip(titles, breaks):
+            found: set[int] = set()
+            for k in [0, *marks]:
+                start = (x[k:] + x[:k])[:letters]
+                found.update([_hash((start[:short],))] if CJK.search(start) else forest_keys(start, trees, depth))
+            out.append(sorted(found))
+        return pd.Series(out)
 
-_starts = F.pandas_udf(_start_keys, T.ArrayType(T.LongType()))
+    return keys("letters", "breaks")
 
 
 def _candidates(left: DataFrame, right: DataFrame, keys, nameless: bool) -> DataFrame:
@@ -128,12 +130,15 @@ def cascade(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     titled = nodes.where("names_work")
     edges = cut_lineage(identifier_edges(records).withColumn("rule", F.lit(2)))
     starts = None
-    for rule, keys, nameless in ((3, _keys(1), True), (4, _slip_keys("letters"), False), (5, _starts("tokens", "breaks"), False)):
+    for rule, keys, nameless in ((3, _keys(1), True), (4, _slip_keys("letters"), True), (5, _starts(*START), True)):
         resolved = edges.where("rule > 2").select(F.explode(F.array("a", "b")).alias("node")).distinct()
         open_nodes = titled if rule == 3 else titled.join(resolved, "node", "left_anti")
         found = cut_lineage(check_pairs(_candidates(open_nodes, titled, keys, nameless), nodes).withColumn("rule", F.lit(rule)))
         edges = edges.unionByName(found.where("level = 2").select("a", "b", "rule"))
         free_shuffles(records.sparkSession)
+        if rule == 5:  # titles cut so short that they have no start of the full length
+            short = open_nodes.where(F.length("letters") < START[0])
+            found = found.unionByName(cut_lineage(check_pairs(_candidates(short, titled, _starts(*SHORT_START), nameless), nodes).where("level = 1").withColumn("rule", F.lit(rule)))).distinct()
         starts = found if starts is None else starts.unionByName(found)
     edges = cut_lineage(edges)
     roots = components(edges)

@@ -179,6 +179,18 @@ def test_titles_with_shifted_words_match(spark):
     assert _matched(spark, [(1, a, who, "2020", ""), (2, c, who, "2021", "")], [(11, b, who, "2020", ""), (12, d, who, "2021", "")]) == {(1, 11), (2, 12)}
 
 
+def test_records_without_authors_match_by_slips_and_starts(spark):
+    titles = [
+        ("Kiradu: wound healing under mixed light in crowded greenhouse laboratories", "Kiradu: wound haeling under mixed light in crowded grenhouse labroatories"),
+        ("Measured drift of quarry lanterns across seven abandoned valley stations", "Measured drift of quarry lanterns across sev..."),
+        ("Zomitu orchard pollination during unseasonable frost", "Zomitu orchard polli..."),
+        ("Vasoho turbine blades recycled into footbridges by island schools", "Vasoho tubrine blades recycled into footbr..."),
+    ]
+    papers = [(k, full, ["Bela Ek"] if k % 2 else [], "2020", "") for k, (full, _) in enumerate(titles)]
+    registry = [(10 + k, other, [] if k % 2 else ["Bela Ek"], "2020", "") for k, (_, other) in enumerate(titles)]
+    assert _matched(spark, papers, registry) == {(k, 10 + k) for k in range(len(titles))}
+
+
 TEXTS = [None, "", " ", "plain words here", "a <|endoftext|> b", "日本語のテキスト 😀 é", "line\n\n  two\t\ttabs   \n", "x" * 500, "don't we'll 's 123 " * 60, "a b " * 300 + "\n" * 90 + "end"]
 
 
