@@ -2,10 +2,9 @@
 
 Method: a deterministic cascade of rules, each an exact join on a weaker
 combination of attributes, from the full title down to a branch of a min-hash
-forest over the title's letters, or over its first ones, together with an author.  Every pass after the identifiers
-looks only at titles that no stronger pass has resolved (the others are
-anti-joined away, but stay on the other side of the join, as a work may have
-several records on both sides).  Candidates are checked title against title.
+forest over the title's letters, or over its first ones, together with an author.  Every pass
+looks at all titles: one that a stronger pass matched, be it within its own
+source, may have further records that only a weaker one finds.  Candidates are checked title against title.
 Resolved records form classes, and the pairs are those of paper and registry
 record within a class.  The confidence of a rule is its precision among pairs
 of records with known groups, smoothed by Laplace.
@@ -118,10 +117,10 @@ def _candidates(left: DataFrame, right: DataFrame, keys, nameless: bool) -> Data
     pairs = named(l, "a").join(named(r, "b"), "k").select("a", "b")
     if nameless:
         bare = l.where(F.size("firsts") == 0).select(F.col("node").alias("a"), "key").join(r.select(F.col("node").alias("b"), "key"), "key").select("a", "b")
-        pairs = pairs.union(bare)
+        pairs = pairs.union(bare.select(F.least("a", "b"), F.greatest("a", "b")))
         if left is not right:
             pairs = pairs.union(l.select(F.col("node").alias("a"), "key").join(r.where(F.size("firsts") == 0).select(F.col("node").alias("b"), "key"), "key").select("a", "b"))
-    return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.where("a < b" if left is right else "a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def cascade(records: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -131,13 +130,11 @@ def cascade(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     edges = cut_lineage(identifier_edges(records).withColumn("rule", F.lit(2)))
     starts = None
     for rule, keys, nameless in ((3, _keys(1), True), (4, _slip_keys("letters"), True), (5, _starts(*START), True)):
-        resolved = edges.where("rule > 2").select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        open_nodes = titled if rule == 3 else titled.join(resolved, "node", "left_anti")
-        found = cut_lineage(check_pairs(_candidates(open_nodes, titled, keys, nameless), nodes).withColumn("rule", F.lit(rule)))
+        found = cut_lineage(check_pairs(_candidates(titled, titled, keys, nameless), nodes).withColumn("rule", F.lit(rule)))
         edges = edges.unionByName(found.where("level = 2").select("a", "b", "rule"))
         free_shuffles(records.sparkSession)
         if rule == 5:  # titles cut so short that they have no start of the full length
-            short = open_nodes.where(F.length("letters") < START[0])
+            short = titled.where(F.length("letters") < START[0])
             found = found.unionByName(cut_lineage(check_pairs(_candidates(short, titled, _starts(*SHORT_START), nameless), nodes).where("level = 1").withColumn("rule", F.lit(rule)))).distinct()
         starts = found if starts is None else starts.unionByName(found)
     edges = cut_lineage(edges)

@@ -191,6 +191,16 @@ def test_records_without_authors_match_by_slips_and_starts(spark):
     assert _matched(spark, papers, registry) == {(k, 10 + k) for k in range(len(titles))}
 
 
+def test_copies_within_one_source_do_not_hide_the_other(spark):
+    p = "Kiradu: wound healing under mixed light in crowded greenhouse laboratories"
+    q = p.replace("crowded", "crowdde")
+    r = p.replace("wound", "wuond").replace("healing", "haeling")
+    t = r.replace("mixed", "mixde")
+    who = ["Bela Ek"]
+    papers, registry = [(1, p, who, "2020", ""), (2, q, who, "2020", "")], [(11, r, who, "2020", ""), (12, t, who, "2020", "")]
+    assert _matched(spark, papers, registry) == {(k, b) for k in (1, 2) for b in (11, 12)}
+
+
 TEXTS = [None, "", " ", "plain words here", "a <|endoftext|> b", "日本語のテキスト 😀 é", "line\n\n  two\t\ttabs   \n", "x" * 500, "don't we'll 's 123 " * 60, "a b " * 300 + "\n" * 90 + "end"]
 
 
