@@ -174,7 +174,9 @@ def identifier_edges(records: DataFrame, families: int = 3) -> DataFrame:
     """Edges (a, b) between nodes whose records share an identifier and an author and agree in the year, as stars.
 
     An identifier that more than ``families`` different first authors use names a
-    volume or a source, not a work, and gives no edge; one that was entered
+    volume or a source, not a work, and gives no edge, unless more than half of its
+    records share one author: then the others are slips of a work with many copies,
+    reordered lists and wrong entries. One that was entered
     wrongly shares no author, or is years away.  A record without authors joins
     only where the others of the identifier have one first author, its own year,
     and a long word of its title.
@@ -182,7 +184,10 @@ def identifier_edges(records: DataFrame, families: int = 3) -> DataFrame:
     used = records.where("size(ids) > 0").select("node", F.explode("ids").alias("ident"), "names", "year", F.filter("tokens", lambda t: F.length(t) >= 6).alias("words"))
     first = F.element_at("names", 1)
     kinds = used.where("size(names) > 0").groupBy("ident").agg(F.approx_count_distinct(first, 0.02).alias("families"))
-    specific = used.join(kinds.where(F.col("families") <= families), "ident")
+    held = used.where("size(names) > 0").select("ident", F.explode("names").alias("name")).groupBy("ident", "name").count().groupBy("ident").agg(F.max("count").alias("top"))
+    sizes = used.where("size(names) > 0").groupBy("ident").agg(F.count("*").alias("n"))
+    kinds = kinds.join(held, "ident").join(sizes, "ident")
+    specific = used.join(kinds.where((F.col("families") <= families) | (2 * F.col("top") > F.col("n"))), "ident")
     named = specific.where("size(names) > 0").select("ident", F.explode("names").alias("name"), "year", "node", "words").dropDuplicates(["ident", "name", "year", "node"])
     hubs = named.groupBy("ident", "name", "year").agg(F.min("node").alias("hub"))
     stars = named.join(hubs, ["ident", "name", "year"]).select(F.col("node").alias("a"), F.col("hub").alias("b"))

@@ -201,6 +201,15 @@ def test_copies_within_one_source_do_not_hide_the_other(spark):
     assert _matched(spark, papers, registry) == {(k, b) for k in (1, 2) for b in (11, 12)}
 
 
+def test_identifier_of_a_work_with_many_copies(spark):
+    words = ["quarry lantern drift", "orchard frost pollen", "turbine blade bridges", "harbour ledger slips", "meadow census tables", "glacier tunnel echoes"]
+    slips = ["Ek", "Ekk", "Eek", "Ke", "Eck"]
+    copies = [(k, f"Notes about {words[k]} number {k} of autumn", [f"Bela {slips[k]}", "Mora Lind"], "2020", "10.5555/work.77") for k in range(5)]
+    volume = [(10 + k, f"Volume piece over {words[k]} and kin", [f"Ann Holder{k}"], "2020", "10.5555/volume.1") for k in range(5)]
+    registry = [(50, "Quite another heading for that same study", ["Bela Ek", "Mora Lind"], "2020", "10.5555/work.77"), (51, "Unlike any piece of this volume here", ["Ann Holder3"], "2020", "10.5555/volume.1")]
+    assert _matched(spark, copies + volume, registry) == {(k, 50) for k in range(5)}
+
+
 TEXTS = [None, "", " ", "plain words here", "a <|endoftext|> b", "日本語のテキスト 😀 é", "line\n\n  two\t\ttabs   \n", "x" * 500, "don't we'll 's 123 " * 60, "a b " * 300 + "\n" * 90 + "end"]
 
 
