@@ -130,7 +130,9 @@ def cascade(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     edges = cut_lineage(identifier_edges(records).withColumn("rule", F.lit(2)))
     starts = None
     for rule, keys, nameless in ((3, _keys(1), True), (4, _slip_keys("letters"), True), (5, _starts(*START), True)):
-        found = cut_lineage(check_pairs(_candidates(titled, titled, keys, nameless), nodes).withColumn("rule", F.lit(rule)))
+        pairs = cut_lineage(_candidates(titled, titled, keys, nameless))
+        free_shuffles(records.sparkSession)
+        found = cut_lineage(check_pairs(pairs, nodes).withColumn("rule", F.lit(rule)))
         edges = edges.unionByName(found.where("level = 2").select("a", "b", "rule"))
         free_shuffles(records.sparkSession)
         if rule == 5:  # titles cut so short that they have no start of the full length
