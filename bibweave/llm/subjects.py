@@ -1,12 +1,12 @@
 """Problem 8: the subject areas of each document.
 
-Method: for each subject an interpolated n-gram model (word bigrams over word
-unigrams, over the background where the counts say nothing) gives each sentence
-a cross-entropy per token, compared with that of the background model (all
-subjects alike).  A sentence belongs to the subject by which it is predicted
-clearly better than by the background and by any other subject; sentences that
-no subject predicts better are general remarks, and sentences that only borrow a
-word from elsewhere are left aside.  A document has every subject that carries at
+Method: a vote of n-grams per sentence.  Each word and word bigram has the log
+share of each subject in the sentences that hold it, against equal shares; they
+are added up over the sentence (half and half where both are known).  This is not
+an interpolated language model: there is no P(w | previous), no cross-entropy per
+token, and the thresholds are constants that nothing calibrates.  n-grams of which
+no subject holds 60 % are left out, and a sentence counts for one subject at most:
+one about two related subjects counts for one or none.  A document has every subject that carries at
 least ``share`` of its subject-bearing text.
 
 The seed models are fitted on the labelled examples.  They are then refitted on
