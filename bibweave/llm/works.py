@@ -186,7 +186,7 @@ def identifier_edges(records: DataFrame, families: int = 3) -> DataFrame:
     kinds = used.where("size(names) > 0").groupBy("ident").agg(F.approx_count_distinct(first, 0.02).alias("families"))
     held = used.where("size(names) > 0").select("ident", F.explode("names").alias("name")).groupBy("ident", "name").count().groupBy("ident").agg(F.max("count").alias("top"))
     sizes = used.where("size(names) > 0").groupBy("ident").agg(F.count("*").alias("n"))
-    kinds = kinds.join(held, "ident").join(sizes, "ident")
+    kinds = cut_lineage(kinds.join(held, "ident").join(sizes, "ident"))  # read in several places below
     specific = used.join(kinds.where((F.col("families") <= families) | (2 * F.col("top") > F.col("n"))), "ident")
     named = specific.where("size(names) > 0").select("ident", F.explode("names").alias("name"), "year", "node", "words").dropDuplicates(["ident", "name", "year", "node"])
     hubs = named.groupBy("ident", "name", "year").agg(F.min("node").alias("hub"))
@@ -336,7 +336,7 @@ def attach(found: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
     """
     info = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), F.col("root").isNotNull().alias("joined"), "cut", "years", F.length("letters").alias("n"))
     classes = info.groupBy("root").agg((F.bool_or(~F.col("cut")) & F.bool_or("joined")).alias("fixed"), F.bool_and("cut").alias("cuts"), F.max("n").alias("most"))
-    placed = info.join(classes, "root")
+    placed = cut_lineage(info.join(classes, "root"))
     a, b = (placed.select(F.col("node").alias(s), F.struct("root", "fixed", "cuts", "most", "years", "n").alias(f"_{s}")) for s in ("a", "b"))
     pairs = found.where("level = 1").select("a", "b").join(a, "a").join(b, "b")
     shorter = F.col("_a.n") < F.col("_b.n")
