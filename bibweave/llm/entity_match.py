@@ -1,10 +1,13 @@
 """Problem 4: matching the records of two sources that share no key.
 
 Method: a deterministic cascade of rules, each an exact join on a weaker
-combination of attributes, from the full title down to a branch of a min-hash
-forest over the title's letters, or over its first ones, together with an author.  Every pass
-looks at all titles: one that a stronger pass matched, be it within its own
-source, may have further records that only a weaker one finds.  Candidates are checked title against title.
+combination of attributes: the full title; identifier, author and year; a branch
+of a min-hash forest over the title's letters and an author; the start of the
+title and an author.  Records without authors pair on longer branches alone.
+Keys are made once for each rule and shuffled once.  Resolved are not records,
+as a work may have several rows on both sides that only a weaker rule finds, but
+pairs: candidates that an earlier rule has put into one class are taken out
+before titles are compared.  Candidates are checked title against title.
 Resolved records form classes, and the pairs are those of paper and registry
 record within a class.  The confidence of a rule is its precision among pairs
 of records with known groups, smoothed by Laplace.
@@ -16,133 +19,55 @@ so blocks are small whatever the size of the sources.
 Defined results: null and blank titles and mere headings match only by
 identifier and author; records without authors match by their title alone, or
 by an identifier of one author; ties in a cut title go to the class with the same
-year, then to the least; repeated rows count once; extra columns are ignored.
+year, then to the least; a title that goes on with whole words is the same work
+only if many titles end in these words (see ``natural_endings``); repeated rows
+count once; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import hashlib
-from itertools import combinations
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from bibweave.llm.history_dedup import _permutations, _trigrams
-from bibweave.llm.works import CJK, attach, check_pairs, components, featurise, identifier_edges, nodes_of
-from bibweave.session import cut_lineage, free_shuffles
-
-RULES = {1: "same title", 2: "identifier and author", 3: "title but for a word, and an author", 4: "title but for some slips, and an author", 5: "start of the title, and an author"}
-MOST_WORDS = {1: 14, 2: 8}  # parts of a title of which one or two are left out
-SLIPS = (20, 4)  # trees and depth: of titles with four slips in 56 letters, 97 % share a branch; with fewer, nearly all
-START = (24, 8, 16, 3)  # letters, Japanese letters, trees and depth
-SHORT_START = (12, 6, 10, 2)
-
-
-def _hash(words: tuple[str, ...]) -> int:
-    return int.from_bytes(hashlib.blake2b("\x1f".join(words).encode(), digest_size=8).digest(), "little", signed=True)
-
-
-def _units(tokens, most: int) -> list[str]:
-    """Words of a title; those of a long one are put together so that there are at most ``most``."""
-    tokens = list(tokens)
-    if len(tokens) <= most:
-        return tokens
-    size = -(-len(tokens) // most)
-    return ["".join(tokens[i : i + size]) for i in range(0, len(tokens), size)]
-
-
-def word_keys(tokens, drop: int) -> list[int]:
-    """Keys of all ways to leave ``drop`` words out, in any order of the rest (and none left out, for drop 1)."""
-    units = sorted(_units(tokens, MOST_WORDS[drop]))
-    if len(units) < drop + 2:
-        return []
-    keys = [tuple(units)] if drop == 1 else []
-    keys += combinations(units, len(units) - drop)
-    return sorted({_hash(k) for k in keys})
-
-
-def _keys(drop: int):
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def keys(tokens: pd.Series) -> pd.Series:
-        return pd.Series([word_keys(t, drop) for t in tokens])
 
-    return keys("tokens")
+from bibweave.llm.forest import KEYS, index_rows, probe_rows, slip_rows
+from bibweave.llm.works import GOES_ON, SAME, START, anchored, check_pairs, components, featurise, identified, identifier_edges, natural_endings, titles_of, ways
+from bibweave.session import cut_lineage, drop_cut
 
+RULES = {1: "same title", 2: "identifier, author and year", 3: "title but for some slips, and an author", 4: "title but for some slips, no author", 5: "start of the title, and an author"}
+DEPTH, BARE_DEPTH = 3, 4  # min-hashes of a branch; of titles with four slips in 56 letters 99 % share one of the 16
 
-def forest_keys(letters: str, trees: int, depth: int) -> list[int]:
-    """Branches of a min-hash forest over the letter trigrams: neither blanks nor the order of parts count, nor how many words are damaged."""
-    a, b = _permutations(trees * depth, 13)
-    grams = _trigrams(letters)
-    least = ((grams[:, None] * a[None, :] + b[None, :]) >> np.uint64(32)).min(axis=0).reshape(trees, depth)
-    keys = np.arange(trees, dtype=np.uint64)
-    for k in range(depth):
-        keys = (keys ^ least[:, k]) * np.uint64(0x9E3779B97F4A7C15)
-        keys ^= keys >> np.uint64(29)
-    return np.unique(keys.astype(np.int64)).tolist()
 
-
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def _slip_keys(letters: pd.Series) -> pd.Series:
-    return pd.Series([forest_keys(x + x[:2], *SLIPS) for x in letters])
-
-
-def _starts(letters: int, short: int, trees: int, depth: int):
-    """Keys of the first letters of each part that may stand first; a start may have slips too. ``short``: letters of a Japanese one."""
-
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def keys(titles: pd.Series, breaks: pd.Series) -> pd.Series:
-        out = []
-        for x, marks in zip(titles, breaks):
-            found: set[int] = set()
-            for k in [0, *marks]:
-                start = (x[k:] + x[:k])[:letters]
-                found.update([_hash((start[:short],))] if CJK.search(start) else forest_keys(start, trees, depth))
-            out.append(sorted(found))
-        return pd.Series(out)
-
-    return keys("letters", "breaks")
-
-
-def _candidates(left: DataFrame, right: DataFrame, keys, nameless: bool) -> DataFrame:
-    """Pairs of nodes with a key and an anchor of the author lists in common; ``nameless``: nodes without authors pair on the key alone."""
-
-    def keyed(nodes: DataFrame) -> DataFrame:
-        return nodes.select("node", F.explode(keys).alias("key"), "firsts")
-
-    l, r = keyed(left), keyed(right)
-    named = lambda d, s: d.select(F.col("node").alias(s), F.explode("firsts").alias("name"), "key").select(s, F.xxhash64("key", "name").alias("k"))
-    pairs = named(l, "a").join(named(r, "b"), "k").select("a", "b")
-    if nameless:
-        bare = l.where(F.size("firsts") == 0).select(F.col("node").alias("a"), "key").join(r.select(F.col("node").alias("b"), "key"), "key").select("a", "b")
-        pairs = pairs.union(bare.select(F.least("a", "b"), F.greatest("a", "b")))
-        if left is not right:
-            pairs = pairs.union(l.select(F.col("node").alias("a"), "key").join(r.where(F.size("firsts") == 0).select(F.col("node").alias("b"), "key"), "key").select("a", "b"))
-    return pairs.where("a < b" if left is right else "a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def candidates(anchors: DataFrame) -> DataFrame:
+    """(a, b, rule) of nodes that share a key, a < b, each pair once with its strongest rule."""
+    rows = anchors.select("node", "letters", "breaks", "cut", "first", "least")
+    slips = rows.mapInArrow(slip_rows(DEPTH), KEYS).select("k", "node")
+    same = slips.select("k", F.col("node").alias("a")).join(slips.select("k", F.col("node").alias("b")), "k").where("a < b").select("a", "b", F.lit(3).alias("rule"))
+    asked = rows.mapInArrow(probe_rows(BARE_DEPTH), KEYS).select("k", F.col("node").alias("p"), F.col("role").alias("rp"))
+    index = rows.mapInArrow(index_rows(BARE_DEPTH), KEYS).select("k", F.col("node").alias("x"), F.col("role").alias("rx"))
+    met = asked.join(index, "k").where("p <> x AND NOT (rp = 1 AND rx = 1)").select(F.least("p", "x").alias("a"), F.greatest("p", "x").alias("b"), F.lit(4).alias("rule"))
+    return same.union(met).groupBy("a", "b").agg(F.min("rule").alias("rule"))
 
 
 def cascade(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(edges with their rule, roots of all resolved nodes) of featurised records."""
-    nodes = cut_lineage(nodes_of(records))
-    titled = nodes.where("names_work")
-    edges = cut_lineage(identifier_edges(records).withColumn("rule", F.lit(2)))
-    starts = None
-    for rule, keys, nameless in ((3, _keys(1), True), (4, _slip_keys("letters"), True), (5, _starts(*START), True)):
-        pairs = cut_lineage(_candidates(titled, titled, keys, nameless))
-        free_shuffles(records.sparkSession)
-        found = cut_lineage(check_pairs(pairs, nodes).withColumn("rule", F.lit(rule)))
-        edges = edges.unionByName(found.where("level = 2").select("a", "b", "rule"))
-        free_shuffles(records.sparkSession)
-        if rule == 5:  # titles cut so short that they have no start of the full length
-            short = titled.where(F.length("letters") < START[0])
-            found = found.unionByName(cut_lineage(check_pairs(_candidates(short, titled, _starts(*SHORT_START), nameless), nodes).where("level = 1").withColumn("rule", F.lit(rule)))).distinct()
-        starts = found if starts is None else starts.unionByName(found)
-    edges = cut_lineage(edges)
+    anchors = cut_lineage(anchored(records))
+    by_ident = cut_lineage(identifier_edges(identified(records)))
+    resolved = components(by_ident)
+    titles = cut_lineage(titles_of(anchors).join(resolved, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    pairs = cut_lineage(candidates(anchors))
+    checked = cut_lineage(check_pairs(pairs, titles, "rule"))
+    drop_cut(anchors, pairs)
+    cut_here = natural_endings(checked, titles).withColumn("ends", F.lit(True))
+    checked = cut_lineage(
+        checked.join(F.broadcast(cut_here) if cut_here.count() < 100_000 else cut_here, "rest", "left")
+        .where(f"level <> {GOES_ON} OR ends")
+        .select("a", "b", "na", "nb", F.when(F.col("level") == GOES_ON, START).otherwise(F.col("level")).alias("level"), F.when(F.col("level") == SAME, F.col("rule")).otherwise(5).alias("rule"))
+    )
+    edges = by_ident.withColumn("rule", F.lit(2)).unionByName(checked.where(F.col("level") == SAME).select("a", "b", "rule"))
     roots = components(edges)
-    attached = cut_lineage(attach(starts, roots, nodes))
-    return edges, attached
+    attached = ways(checked, roots, titles.drop("root"))
+    whole = components(edges.select("a", "b").union(attached))
+    return edges, whole
 
 
 def rule_confidence(edges: DataFrame, records: DataFrame, groups: DataFrame) -> DataFrame:
@@ -165,15 +90,18 @@ def match_sources(papers: DataFrame, registry: DataFrame, groups: DataFrame | No
     right = featurise(registry, "bib_id", "title", "authors", "published", F.col("doi"), none).withColumn("source", F.lit(1))
     records = cut_lineage(left.unionByName(right.withColumn("node", F.when(~F.col("names_work"), F.xxhash64(F.lit("registry"), "id")).otherwise(F.col("node")))))
     edges, roots = cascade(records)
-    passed = edges.select(F.explode(F.array("a", "b")).alias("node"), "rule").groupBy("node").agg(F.min("rule").alias("rule"))
-    placed = records.select("source", "id", "node").distinct().join(roots, "node", "left").join(passed, "node", "left")
-    # A node without an edge has rule 1 with its own records; one that was only attached has rule 5.
-    rule = F.coalesce("rule", F.when(F.col("root").isNotNull(), 5).otherwise(1))
-    placed = placed.select("source", "id", "node", F.coalesce("root", "node").alias("root"), rule.alias("rule"))
+    placed = records.select("source", "id", "node").distinct().join(roots, "node", "left").select("source", "id", "node", F.coalesce("root", "node").alias("root"))
+    if groups is not None:
+        # A node without an edge has rule 1 with its own records; one that was only attached has rule 5.
+        passed = edges.select(F.explode(F.array("a", "b")).alias("node"), "rule").groupBy("node").agg(F.min("rule").alias("rule"))
+        placed = placed.join(passed, "node", "left").withColumn("rule", F.coalesce("rule", F.when(F.col("root") != F.col("node"), 5).otherwise(1)))
+    else:
+        placed = placed.withColumn("rule", F.lit(None).cast("int"))
     p = placed.where("source = 0").select(F.col("id").alias("rec_id"), F.col("node").alias("np"), "root", F.col("rule").alias("rp"))
     b = placed.where("source = 1").select(F.col("id").alias("bib_id"), F.col("node").alias("nb"), "root", F.col("rule").alias("rb"))
+    # A record has one node and a node one root, so every pair comes out once.
     pairs = p.join(b, "root").select("rec_id", "bib_id", F.when(F.col("np") == F.col("nb"), 1).otherwise(F.greatest("rp", "rb", F.lit(2))).alias("rule"))
-    best = pairs.groupBy("rec_id", "bib_id").agg(F.min("rule").alias("rule"))
     if groups is None:
-        return best.withColumn("confidence", F.lit(None).cast("double"))
+        return pairs.select("rec_id", "bib_id", "rule", F.lit(None).cast("double").alias("confidence")).dropDuplicates(["rec_id", "bib_id"])
+    best = pairs.groupBy("rec_id", "bib_id").agg(F.min("rule").alias("rule"))
     return best.join(F.broadcast(rule_confidence(edges, records, groups)), "rule", "left").select("rec_id", "bib_id", "rule", "confidence")  # five rows

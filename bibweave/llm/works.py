@@ -13,15 +13,21 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bibweave.llm.forest import CJK, text_key
 from bibweave.llm.text import HYPHEN_BREAK, STRONG_BREAK, fold, least_rotation
-from bibweave.session import cut_lineage, drop_cut, free_shuffles
+from bibweave.session import cut_lineage, drop_cut
 
 # Labels that aggregators put on titles without meaning another work.
 LABEL = re.compile(r"[(\[]\s*(v\d{1,2}|preprint|extended abstract|technical report)\s*[)\]]|[,;:]?\s*\b(technical report|extended abstract)\s*(?=\W*$)")
@@ -31,17 +37,18 @@ ROMAN = re.compile(r"^(i{2,3}|iv|vi{0,3}|ix|x)$")
 CUT = re.compile(r"(…|\.\.\.|\[\s*\.*\s*\])[\s\W]*$")
 PIECE = re.compile(r"[ァ-ヿ]+|[ぁ-ゟ]+|[一-鿿々]+|[^\W_ぁ-ヿ一-鿿々]+")
 HIRAGANA = re.compile(r"^[ぁ-ゟ]+$")
-CJK = re.compile(r"[ぁ-ヿ一-鿿]")
 
 FEATURES = T.StructType(
     [
-        T.StructField("key", T.StringType()),  # the same for titles that are equal but for formatting, labels and small words
+        T.StructField("key", T.LongType()),  # the same for titles that are equal but for formatting, labels and small words
         T.StructField("letters", T.StringType()),
         T.StructField("breaks", T.ArrayType(T.IntegerType())),  # letter offsets where a part of the title may begin
-        T.StructField("tokens", T.ArrayType(T.StringType())),
+        T.StructField("starts", T.ArrayType(T.IntegerType())),  # letter offsets of the words
         T.StructField("marks", T.StringType()),  # numbers, as they tell sequels apart
         T.StructField("cut", T.BooleanType()),
         T.StructField("names_work", T.BooleanType()),  # false for headings such as "Editorial"
+        T.StructField("words", T.ArrayType(T.IntegerType())),  # hashes of the long words
+        T.StructField("names", T.ArrayType(T.IntegerType())),  # hashes of the surnames, in order
     ]
 )
 
@@ -82,11 +89,6 @@ def title_features(title: str | None) -> tuple[str, str, list[int], list[str], s
     return letters[start:] + letters[:start], letters, sorted({b for b in breaks if 0 < b < len(letters)}), tokens, marks, cut, names_work
 
 
-@F.pandas_udf(FEATURES)
-def _title_features(titles: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([title_features(t) for t in titles], columns=[f.name for f in FEATURES])
-
-
 def surnames(authors) -> list[str]:
     """Folded surnames, in order; any of "First Last", "Last, First", "F. Last", "LAST F"."""
     found: list[str] = []
@@ -109,9 +111,20 @@ def surnames(authors) -> list[str]:
     return found
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _surnames(authors: pd.Series) -> pd.Series:
-    return pd.Series([surnames(a) for a in authors])
+def _short(text: str) -> int:
+    """A 32-bit hash that is never 0, which stands for no name."""
+    return (xxhash.xxh32_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 31)) or 1
+
+
+def record_features(title: str | None, authors) -> tuple:
+    turned, letters, breaks, tokens, marks, cut, names_work = title_features(title)
+    starts = [0, *accumulate(len(t) for t in tokens)][: len(tokens)]
+    return text_key(turned), letters, breaks, starts, marks, cut, names_work, [_short(t) for t in tokens if len(t) >= 6], [_short(n) for n in surnames(authors)]
+
+
+@F.pandas_udf(FEATURES)
+def _record_features(titles: pd.Series, authors: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([record_features(t, a) for t, a in zip(titles, authors)], columns=[f.name for f in FEATURES])
 
 
 def doi(value: Column) -> Column:
@@ -141,65 +154,66 @@ def featurise(records: DataFrame, id_col: str, title: str, authors: str, publish
     """(id, node, title features, names, year, ids). Records of one node have the same title, and the same first author if it is cut short."""
     base = records.select(
         F.col(id_col).cast("long").alias("id"),
-        _title_features(F.col(title)).alias("t"),
-        _surnames(F.col(authors)).alias("names"),
-        F.regexp_extract(F.coalesce(F.col(published).cast("string"), F.lit("")), r"((?:19|20)\d\d)", 1).cast("string").alias("year"),
-        identifiers(doi_col, arxiv_col).alias("ids"),
+        _record_features(F.col(title), F.col(authors)).alias("t"),
+        F.regexp_extract(F.coalesce(F.col(published).cast("string"), F.lit("")), r"((?:19|20)\d\d)", 1).try_cast("int").alias("year"),
+        F.transform(identifiers(doi_col, arxiv_col), lambda x: F.xxhash64(x)).alias("ids"),
     ).where("id IS NOT NULL")
-    first = F.coalesce(F.get("names", F.lit(0)), F.lit(""))
+    first = F.coalesce(F.get("t.names", F.lit(0)), F.lit(0))
     node = (
         F.when(~F.col("t.names_work"), F.xxhash64(F.lit("record"), "id"))
         .when(F.col("t.cut"), F.xxhash64(F.lit("cut"), "t.letters", first))
-        .otherwise(F.xxhash64(F.lit("title"), "t.key"))
+        .otherwise(F.col("t.key"))
     )
-    return base.select("id", node.alias("node"), "t.*", "names", "year", "ids")
+    least = F.coalesce(F.array_min("t.names"), F.lit(0))
+    return base.select("id", node.alias("node"), "t.*", "year", "ids", first.alias("first"), least.alias("least")).drop("key")
 
 
-def nodes_of(records: DataFrame) -> DataFrame:
-    """One row per node: its title and the anchors of the author lists of its records."""
-    titles = records.groupBy("node").agg(
-        F.min_by(F.struct("letters", "breaks", "tokens", "marks", "cut", "names_work"), "id").alias("t"),
-        F.min("id").alias("least"),
-        F.collect_set(F.when(F.col("year") != "", F.col("year"))).alias("years"),  # as many entries as there are years
-    )
-    # Two anchors of an author list: its first name, and the least (lists get reordered, and cut at the end).
-    anchors = records.where("size(names) > 0").select("node", F.explode(F.array_distinct(F.array(F.element_at("names", 1), F.array_min("names")))).alias("name"))
-    firsts = anchors.distinct().groupBy("node").agg(F.collect_set("name").alias("firsts"))
-    none = F.array().cast("array<string>")
-    joined = titles.join(firsts, "node", "left")
-    return joined.select("node", "least", "years", "t.*", F.coalesce("firsts", none).alias("firsts"))
-
-
-def identifier_edges(records: DataFrame, families: int = 3) -> DataFrame:
-    """Edges (a, b) between nodes whose records share an identifier and an author and agree in the year, as stars.
-
-    An identifier that more than ``families`` different first authors use names a
-    volume or a source, not a work, and gives no edge, unless more than half of its
-    records share one author: then the others are slips of a work with many copies,
-    reordered lists and wrong entries. One that was entered
-    wrongly shares no author, or is years away.  A record without authors joins
-    only where the others of the identifier have one first author, its own year,
-    and a long word of its title.
+TITLE = ("letters", "breaks", "starts", "marks", "cut")
+
+
+def anchored(records: DataFrame) -> DataFrame:
+    """One row per title that names a work and pair of author anchors: the first name, and the least (lists get reordered, and cut at the end)."""
+    titles = F.min_by(F.struct(*TITLE), "id").alias("t")
+    return records.where("names_work").groupBy("node", "first", "least").agg(titles, F.min("year").alias("from"), F.max("year").alias("to")).select("node", "first", "least", "from", "to", "t.*")
+
+
+def titles_of(anchors: DataFrame) -> DataFrame:
+    """One row per node, with the years of its records."""
+    return anchors.groupBy("node").agg(F.min_by(F.struct(*TITLE), F.struct("first", "least")).alias("t"), F.min("from").alias("from"), F.max("to").alias("to")).select("node", "from", "to", "t.*")
+
+
+def identified(records: DataFrame) -> DataFrame:
+    """(ident, node, names, year, words): a row per record and identifier."""
+    return records.where("size(ids) > 0").select(F.explode("ids").alias("ident"), "node", "names", "year", "words")
+
+
+def identifier_edges(rows: DataFrame) -> DataFrame:
+    """Edges (a, b) between nodes whose records (see ``identified``) share an identifier and an author and agree in the year, as stars.
+
+    An author counts whose share of the identifier's records is over a third: of an
+    identifier that names a volume each author has little, of one that names a work
+    slips in names, reordered lists and wrong entries leave the author most. One that
+    was entered wrongly shares no author, or is years away. A record without authors
+    joins only where the others of the identifier have one first author, its own
+    year, and a long word of its title.
     """
-    used = records.where("size(ids) > 0").select("node", F.explode("ids").alias("ident"), "names", "year", F.filter("tokens", lambda t: F.length(t) >= 6).alias("words"))
-    first = F.element_at("names", 1)
-    kinds = used.where("size(names) > 0").groupBy("ident").agg(F.approx_count_distinct(first, 0.02).alias("families"))
-    held = used.where("size(names) > 0").select("ident", F.explode("names").alias("name")).groupBy("ident", "name").count().groupBy("ident").agg(F.max("count").alias("top"))
-    sizes = used.where("size(names) > 0").groupBy("ident").agg(F.count("*").alias("n"))
-    kinds = cut_lineage(kinds.join(held, "ident").join(sizes, "ident"))  # read in several places below
-    specific = used.join(kinds.where((F.col("families") <= families) | (2 * F.col("top") > F.col("n"))), "ident")
-    named = specific.where("size(names) > 0").select("ident", F.explode("names").alias("name"), "year", "node", "words").dropDuplicates(["ident", "name", "year", "node"])
-    hubs = named.groupBy("ident", "name", "year").agg(F.min("node").alias("hub"))
-    stars = named.join(hubs, ["ident", "name", "year"]).select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    dated = hubs.where("year <> ''")
-    after = dated.select("ident", "name", (F.col("year").cast("int") - 1).cast("string").alias("year"), F.col("hub").alias("b"))
-    years = dated.withColumnRenamed("hub", "a").join(after, ["ident", "name", "year"]).select("a", "b")  # neighbouring years are one work
-    any_year = dated.groupBy("ident", "name").agg(F.min("hub").alias("b"))
-    undated = hubs.where("year = ''").withColumnRenamed("hub", "a").join(any_year, ["ident", "name"]).select("a", "b")
-    unnamed = specific.where("size(names) = 0 AND families = 1").select("ident", "year", F.col("node").alias("a"), "words").distinct()
-    told = named.select("ident", "year", F.col("node").alias("b"), F.col("words").alias("words_b")).dropDuplicates(["ident", "year", "b"])
+    with_names = F.count_if(F.size("names") > 0)
+    sizes = rows.groupBy("ident").agg(with_names.alias("n"), F.count("*").alias("all"), F.min(F.get("names", F.lit(0))).alias("low"), F.max(F.get("names", F.lit(0))).alias("high")).where("all > 1")
+    used = cut_lineage(rows.join(sizes, "ident"))  # read in several places below
+    named = used.where("size(names) > 0").select("ident", "n", F.explode("names").alias("name"), F.coalesce("year", F.lit(0)).alias("year"), "node")
+    hubs = named.groupBy("ident", "name", "year").agg(F.min("node").alias("hub"), F.count("*").alias("c"), F.max("n").alias("n"))
+    # As many entries as there are years.
+    held = hubs.groupBy("ident", "name").agg(F.sum("c").alias("c"), F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("year", "hub"))).alias("by")).where("3 * c > n")
+    stars = named.select("ident", "name", "year", F.col("node").alias("a")).join(hubs.select("ident", "name", "year", F.col("hub").alias("b")), ["ident", "name", "year"])
+    stars = stars.join(held.select("ident", "name"), ["ident", "name"], "left_semi").select("a", "b")
+    dated = F.expr("filter(by, x -> x.year > 0)")
+    between = held.where("size(by) > 1").select(dated.alias("d"), F.expr("filter(by, x -> x.year = 0)").alias("u"))
+    years = between.select(F.explode(F.expr("filter(transform(d, (x, i) -> struct(x.hub AS a, get(d, i - 1).hub AS b, coalesce(x.year - get(d, i - 1).year <= 1, false) AS near)), x -> x.near)")).alias("e"))  # neighbouring years are one work
+    undated = between.where("size(d) > 0").select(F.explode(F.expr("transform(u, x -> struct(x.hub AS a, get(d, 0).hub AS b, true AS near))")).alias("e"))
+    unnamed = used.where("size(names) = 0 AND low = high").select("ident", "year", F.col("node").alias("a"), "words").distinct()
+    told = used.where("size(names) > 0").select("ident", "year", F.col("node").alias("b"), F.col("words").alias("words_b")).dropDuplicates(["ident", "year", "b"])
     nameless = unnamed.join(told, ["ident", "year"]).where(F.arrays_overlap("words", "words_b")).groupBy("a", "ident").agg(F.min("b").alias("b")).select("a", "b")
-    return stars.union(years).union(undated).union(nameless).where("a <> b").distinct()
+    return stars.union(years.select("e.a", "e.b")).union(undated.select("e.a", "e.b")).union(nameless).where("a <> b").distinct()
 
 
 def _edits(a: str, b: str, most: int) -> int:
@@ -246,109 +260,161 @@ def _bunched(a: str, b: str, slips: int) -> bool:
     return slips > 2 and max(len(a), len(b)) - i - j <= 8
 
 
-def same_title(a: str, breaks_a: list[int], marks_a: str, cut_a: bool, b: str, breaks_b: list[int], marks_b: str, cut_b: bool) -> int:
-    """2: one title; 1: one is the start of the other, cut short; 0: different titles."""
+SAME, START, GOES_ON = 2, 1, 3
+
+
+def same_title(a: str, breaks_a: list[int], starts_a: list[int], marks_a: str, cut_a: bool, b: str, breaks_b: list[int], starts_b: list[int], marks_b: str, cut_b: bool) -> tuple[int, str | None]:
+    """(2, None): one title; (1, None): one is the start of the other, cut short; (3, rest): one goes on with whole words after the other; (0, None): different titles."""
     if not a or not b:
-        return 0
+        return 0, None
     short = min(len(a), len(b))
-    budget = min(4, short // 14) if not CJK.search(a) else min(2, max(1, short // 10))
+    cjk = bool(CJK.search(a))
+    budget = min(4, short // 14) if not cjk else min(2, max(1, short // 10))
     if marks_a == marks_b and abs(len(a) - len(b)) <= budget:
-        turns = [b] + [b[k:] + b[:k] for k in breaks_b]
-        for turned in turns:
-            slips = _edits(a, turned, budget)
-            if slips <= budget and not _bunched(a, turned, slips):
-                return 2
-        for k in breaks_a:
-            turned = a[k:] + a[:k]
-            slips = _edits(turned, b, budget)
-            if slips <= budget and not _bunched(turned, b, slips):
-                return 2
+        for x, y in [(a, b), *((a, b[k:] + b[:k]) for k in breaks_b), *((a[k:] + a[:k], b) for k in breaks_a)]:
+            slips = _edits(x, y, budget)
+            if slips <= budget and not _bunched(x, y, slips):
+                return SAME, None
     if len(a) == len(b):
-        return 0
+        return 0, None
     if len(a) > len(b):
-        a, breaks_a, cut_a, marks_a, b, breaks_b, cut_b, marks_b = b, breaks_b, cut_b, marks_b, a, breaks_a, cut_a, marks_a
+        a, cut_a, marks_a, b, breaks_b, starts_b, marks_b = b, cut_b, marks_b, a, breaks_a, starts_a, marks_a
     if len(a) < 12 and not CJK.search(a) or len(a) < 6 or len(a) < 0.35 * len(b):
-        return 0
-    for k in [0, *breaks_b]:
+        return 0, None
+    slips = min(2, budget)
+    n = len(b)
+    for k in (0, *breaks_b):
         turned = b[k:] + b[:k]
-        if _edits(a, turned[: len(a)], min(2, budget)) <= min(2, budget):
-            rest = turned[len(a) :]
-            # Without a mark, only a cut inside a word counts: what begins a new word may be a sequel's own.
-            if cut_a:
-                return 1
-            return 1 if len(rest) >= (2 if CJK.search(rest) else 3) and marks_a == marks_b and not _goes_on(turned, len(a)) else 0
-    return 0
-
-
-# How sequels, errata and later editions go on where the first work's title ends.
-SEQUEL = re.compile(r"^(again|revisited|edition|extended|volume|vol|part|tenyears|later|realhardware|without|half|cost|reply|comment|erratum|corrigendum|i+$|\d)|\d|supervision|hardware|edition|revisited|yearslater|halfcost")
-SEQUEL_ENDS = ("again", "revisited", "realhardware", "withoutsupervision", "tenyearslater", "extendededition", "halfcost", "partii")
-
+        if _edits(a, turned[: len(a)], slips) > slips:
+            continue
+        if cut_a:
+            return START, None
+        if marks_a != marks_b and not marks_b.startswith(marks_a):
+            continue
+        # Without a mark: cut inside a word, or before whole words, which may as well be a sequel's own.
+        ends = [len(a)] if turned.startswith(a) else sorted(range(len(a) - slips, min(n - 1, len(a) + slips) + 1), key=lambda e: (_edits(a, turned[:e], slips + 1), abs(e - len(a))))[:1]
+        end = ends[0]
+        begins = {(x - k) % n for x in starts_b}
+        if end in begins:
+            return GOES_ON, turned[end:]
+        if n - end >= (2 if CJK.search(turned[end:]) else 3) and marks_a == marks_b and (turned.startswith(a) or not begins & {end - 1, end + 1}):
+            return START, None
+    return 0, None
 
-def _goes_on(title: str, end: int) -> bool:
-    """Whether what follows the first ``end`` letters, give or take two for slips before it, is how a sequel goes on."""
-    rests = {title[max(0, end + d) :] for d in (-2, -1, 0, 1, 2)}
-    return any(SEQUEL.search(r) or any(_edits(r, w, 2) <= (2 if len(w) > 6 else 1) for w in SEQUEL_ENDS) for r in rests if r)
 
+LEVEL = T.StructType([T.StructField("level", T.IntegerType()), T.StructField("rest", T.StringType())])
 
-def check_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(a, b, level) of candidate pairs of nodes whose titles agree; level as in ``same_title``."""
-    side = lambda s: nodes.select(F.col("node").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("letters", "breaks", "marks", "cut")))
-    joined = pairs.select("a", "b").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(side("a"), "a").join(side("b"), "b")
 
-    @F.pandas_udf(T.IntegerType())
-    def level(la: pd.Series, ba: pd.Series, ma: pd.Series, ca: pd.Series, lb: pd.Series, bb: pd.Series, mb: pd.Series, cb: pd.Series) -> pd.Series:
-        return pd.Series([same_title(x[0], list(x[1]), x[2], x[3], x[4], list(x[5]), x[6], x[7]) for x in zip(la, ba, ma, ca, lb, bb, mb, cb)], dtype="int32")
+def check_pairs(pairs: DataFrame, titles: DataFrame, *keep: str) -> DataFrame:
+    """(a, b, level, rest) of distinct candidate pairs of nodes whose titles agree; level as in ``same_title``.
 
-    checked = joined.select("a", "b", level(*(f"{c}_{s}" for s in ("a", "b") for c in ("letters", "breaks", "marks", "cut"))).alias("level"))
-    return checked.where("level > 0")
+    ``titles`` may have a ``root``: pairs that are already in one class aren't compared again.
+    """
+    known = "root" in titles.columns
+    cols = (*TITLE, "root") if known else TITLE
+    side = lambda s: titles.select(F.col("node").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in cols))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    if known:
+        joined = joined.where("root_a <> root_b")
+    # Lengths that differ by more than slips, and no cut: nothing to compare.
+    near = F.abs(F.length("letters_a") - F.length("letters_b")) <= 4
+    shorter = F.least(F.length("letters_a"), F.length("letters_b")) >= 0.35 * F.greatest(F.length("letters_a"), F.length("letters_b"))
+    joined = joined.where((near & (F.col("marks_a") == F.col("marks_b"))) | shorter)
+
+    @F.pandas_udf(LEVEL)
+    def level(la: pd.Series, ba: pd.Series, sa: pd.Series, ma: pd.Series, ca: pd.Series, lb: pd.Series, bb: pd.Series, sb: pd.Series, mb: pd.Series, cb: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([same_title(*x) for x in zip(*(c.tolist() for c in (la, ba, sa, ma, ca, lb, bb, sb, mb, cb)))], columns=["level", "rest"])
+
+    checked = joined.select("a", "b", *keep, F.length("letters_a").alias("na"), F.length("letters_b").alias("nb"), level(*(f"{c}_{s}" for s in ("a", "b") for c in TITLE)).alias("v"))
+    return checked.select("a", "b", *keep, "na", "nb", "v.*").where("level > 0")
+
+
+def endings(titles: DataFrame) -> DataFrame:
+    """(rest, ended): in how many titles the last words are these, for up to six words; whole titles don't count."""
+    tails = F.expr("transform(slice(starts, -least(6, size(starts) - 1), 6), s -> substring(letters, s + 1))")
+    return titles.where("NOT cut AND size(starts) > 1").select(F.explode(tails).alias("rest")).groupBy("rest").agg(F.count("*").alias("ended"))
+
+
+def natural_endings(checked: DataFrame, titles: DataFrame, least: int = 5, share: float = 0.15) -> DataFrame:
+    """(rest) of continuations that are plain ends of titles.
+
+    Of the titles that end in "part two" or "ten years later", many stand beside one
+    without these words: the words make another work. Of those that end in "large
+    cities" hardly any does, and then it was cut short. Counted over all titles; what
+    fewer than ``least`` of them end in tells nothing and is taken for another work.
+    """
+    goes_on = checked.where(F.col("level") == GOES_ON).select("rest", F.when(F.col("na") < F.col("nb"), F.col("a")).otherwise(F.col("b")).alias("base")).distinct()
+    bases = goes_on.groupBy("rest").agg(F.count("*").alias("bases"))
+    return bases.join(endings(titles), "rest").where((F.col("ended") >= least) & (F.col("bases") <= share * F.col("ended"))).select("rest")
+
+
+def union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Least node of each class, of all edges of one task."""
+    a, b = ([np.empty(0, np.int64)] for _ in range(2))
+    for batch in batches:
+        a.append(batch.column("a").to_numpy())
+        b.append(batch.column("b").to_numpy())
+    nodes, at = np.unique(np.concatenate([*a, *b]), return_inverse=True)
+    x, y = at[: len(at) // 2], at[len(at) // 2 :]
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[x], root[y])
+        after = root.copy()
+        np.minimum.at(after, root[x], low)
+        np.minimum.at(after, root[y], low)
+        after = after[after]
+        if (after == root).all():
+            break
+        root = after
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root])], names=["node", "root"])
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, one_task: int = 2_000_000) -> DataFrame:
     """(node, root) of all nodes that have an edge: least node of each connected class.
 
-    Every round takes the least root among neighbours and then jumps along
-    roots, so long chains close in logarithmically many rounds; each round is cut.
+    Up to ``one_task`` edges, which take some 100 MB, one task does it; beyond, every
+    round takes the least root among neighbours and then jumps along roots, so long
+    chains close in logarithmically many rounds, and each round is cut.
     """
+    held = cut_lineage(edges.select("a", "b").where("a <> b"))
+    if held.count() <= one_task:
+        return cut_lineage(held.coalesce(1).mapInArrow(union_find, "node long, root long"))
+    return components_in_rounds(held)
+
+
+def components_in_rounds(edges: DataFrame) -> DataFrame:
     both = cut_lineage(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct())
     labels = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
     while True:
+        # A hub's label is copied to all its neighbours: AQE splits the skewed side of the join, and minima combine before they are shuffled.
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("root").alias("near"))
         met = labels.join(near, labels.node == near.a).select("node", "root", F.least("root", "near").alias("next"))
         jump = labels.select(F.col("node").alias("next"), F.col("root").alias("far"))
-        moved = met.join(jump, "next", "left").select("node", F.col("root").alias("old"), F.least("next", F.coalesce("far", "next")).alias("root"))
-        after = cut_lineage(moved)
+        after = cut_lineage(met.join(jump, "next", "left").select("node", F.col("root").alias("old"), F.least("next", F.coalesce("far", "next")).alias("root")))
         drop_cut(labels)
-        free_shuffles(edges.sparkSession)
         if not after.where("old <> root").limit(1).count():
             return after.select("node", "root")
         labels = after.select("node", "root")
         labels.cut_path = after.cut_path
 
 
-def attach(found: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Roots with the titles cut short added, each class of them to the one class it fits best.
+def ways(checked: DataFrame, roots: DataFrame, titles: DataFrame) -> DataFrame:
+    """Edges (a, b) that attach titles cut short, each class of them to the one class it fits best.
 
     A title cut short may be the start of several works; it never joins them.
     Classes of titles that are whole are taken first, then those with a record
     of the same year, then the least.  A class that has a whole title isn't
-    moved, but for a single title that goes on inside a word.
+    moved, but for a single title that was cut without a mark.
     """
-    info = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), F.col("root").isNotNull().alias("joined"), "cut", "years", F.length("letters").alias("n"))
-    classes = info.groupBy("root").agg((F.bool_or(~F.col("cut")) & F.bool_or("joined")).alias("fixed"), F.bool_and("cut").alias("cuts"), F.max("n").alias("most"))
-    placed = cut_lineage(info.join(classes, "root"))
-    a, b = (placed.select(F.col("node").alias(s), F.struct("root", "fixed", "cuts", "most", "years", "n").alias(f"_{s}")) for s in ("a", "b"))
-    pairs = found.where("level = 1").select("a", "b").join(a, "a").join(b, "b")
-    shorter = F.col("_a.n") < F.col("_b.n")
-    aimed = pairs.select(F.when(shorter, F.col("_a")).otherwise(F.col("_b")).alias("s"), F.when(shorter, F.col("_b")).otherwise(F.col("_a")).alias("t"))
+    starts = checked.where(F.col("level") == START).select(F.when(F.col("na") < F.col("nb"), F.col("a")).otherwise(F.col("b")).alias("s"), F.when(F.col("na") < F.col("nb"), F.col("b")).otherwise(F.col("a")).alias("t"))
+    met = starts.select(F.explode(F.array("s", "t")).alias("node")).distinct()
+    info = titles.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), F.col("root").isNotNull().alias("joined"), "cut", "from", "to", F.length("letters").alias("n"))
+    classes = info.groupBy("root").agg((F.bool_or(~F.col("cut")) & F.bool_or("joined")).alias("fixed"), F.bool_and("cut").alias("cuts"), F.max("n").alias("most"), F.min("from").alias("from"), F.max("to").alias("to"))
+    placed = cut_lineage(info.select("node", "root").join(met, "node", "left_semi").join(classes, "root"))
+    s, t = (placed.select(F.col("node").alias(x), F.struct("root", "fixed", "cuts", "most", "from", "to").alias(f"_{x}")) for x in ("s", "t"))
+    aimed = starts.join(s, "s").join(t, "t")
     # Towards a fixed class or a longer title only, so that no way comes back.
-    free = aimed.where("NOT s.fixed AND s.root <> t.root AND (t.fixed OR s.most < t.most)")
-    rank = F.struct(F.col("t.cuts"), ~F.arrays_overlap("s.years", "t.years"), F.col("t.root"))
-    ways = cut_lineage(free.groupBy(F.col("s.root").alias("root")).agg(F.min(rank).alias("c")).select("root", F.col("c.root").alias("to")))
-    while True:  # a way may lead to a class that is itself attached
-        on = ways.select(F.col("root").alias("to"), F.col("to").alias("far"))
-        if not ways.join(on, "to", "left_semi").limit(1).count():
-            break
-        ways = cut_lineage(ways.join(on, "to", "left").select("root", F.coalesce("far", "to").alias("to")))
-    moved = info.join(ways, "root", "left").where("joined OR to IS NOT NULL")
-    return moved.select("node", F.coalesce("to", "root").alias("root"))
+    free = aimed.where("NOT _s.fixed AND _s.root <> _t.root AND (_t.fixed OR _s.most < _t.most)")
+    apart = ~F.coalesce((F.col("_s.from") <= F.col("_t.to")) & (F.col("_t.from") <= F.col("_s.to")), F.lit(False))
+    best = free.groupBy(F.col("_s.root").alias("a")).agg(F.min(F.struct(F.col("_t.cuts").alias("c"), apart.alias("y"), F.col("_t.root").alias("r"))).alias("w"))
+    return best.select("a", F.col("w.r").alias("b"))
