@@ -7,7 +7,6 @@ a cut.  ``localCheckpoint`` is not used anywhere.
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 import uuid
@@ -59,24 +58,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return cut
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def drop_cut(*tables: DataFrame) -> None:
     """Delete tables of ``cut_lineage`` that nothing reads any more, such as those of past rounds of a loop."""
     for df in tables:
         path = getattr(df, "cut_path", None)
         if path:
-            jvm = df.sparkSession.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished steps now.
-
-    They go when the driver collects the plans that wrote them, which a driver
-    with room to spare may put off until the disks are full.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+            drop_path(df.sparkSession, path)
 
 
 def _importable(spark: SparkSession) -> None:
