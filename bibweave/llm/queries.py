@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from bibweave.llm import corpus_encoding, entity_match, format_duplicates, history_dedup, leakage, subjects, survivorship, value_mapping
 from bibweave.llm.works import featurise
-from bibweave.session import read_table
+from bibweave.session import cut_lineage, read_table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,8 +53,12 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     forest = history_dedup.HashForest(spark)
     ledger, candidates = (read_table(spark, sf_dir, t) for t in ("seen_ledger", "candidates"))
     forest.add(featurise(ledger, "seen_id", "title", "authors", "pub_date", F.col("doi"), F.col("arxiv_id")))
-    batch = forest.add(featurise(candidates, "cand_id", "title", "authors", "published", F.col("doi"), F.col("arxiv_id")))
-    return batch.where("first_id < id").select("first_id", F.col("id").alias("cand_id"))
+    made = featurise(candidates, "cand_id", "title", "authors", "published", F.col("doi"), F.col("arxiv_id"), F.coalesce("batch_no", F.lit(1 << 30)).alias("batch_no"))
+    arrived = cut_lineage(made)
+    for (batch,) in sorted(arrived.select("batch_no").distinct().collect()):  # a row a batch
+        forest.add(arrived.where(F.col("batch_no") == batch).drop("batch_no"))
+    found = forest.first_ids().where("first_id < id").select("first_id", F.col("id").alias("cand_id"))
+    return found.join(arrived.select(F.col("id").alias("cand_id")), "cand_id", "left_semi").select("first_id", "cand_id")
 
 
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

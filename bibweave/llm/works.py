@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -150,13 +150,14 @@ def identifiers(doi_value: Column, arxiv_value: Column) -> Column:
     return F.array_distinct(F.filter(listed, lambda x: x.isNotNull()))
 
 
-def featurise(records: DataFrame, id_col: str, title: str, authors: str, published: str, doi_col: Column, arxiv_col: Column) -> DataFrame:
+def featurise(records: DataFrame, id_col: str, title: str, authors: str, published: str, doi_col: Column, arxiv_col: Column, *extra: Column) -> DataFrame:
     """(id, node, title features, names, year, ids). Records of one node have the same title, and the same first author if it is cut short."""
     base = records.select(
         F.col(id_col).cast("long").alias("id"),
         _record_features(F.col(title), F.col(authors)).alias("t"),
         F.regexp_extract(F.coalesce(F.col(published).cast("string"), F.lit("")), r"((?:19|20)\d\d)", 1).try_cast("int").alias("year"),
         F.transform(identifiers(doi_col, arxiv_col), lambda x: F.xxhash64(x)).alias("ids"),
+        F.struct(F.lit(0).alias("_"), *extra).alias("more"),
     ).where("id IS NOT NULL")
     first = F.coalesce(F.get("t.names", F.lit(0)), F.lit(0))
     node = (
@@ -165,7 +166,7 @@ def featurise(records: DataFrame, id_col: str, title: str, authors: str, publish
         .otherwise(F.col("t.key"))
     )
     least = F.coalesce(F.array_min("t.names"), F.lit(0))
-    return base.select("id", node.alias("node"), "t.*", "year", "ids", first.alias("first"), least.alias("least")).drop("key")
+    return base.select("id", node.alias("node"), "t.*", "year", "ids", first.alias("first"), least.alias("least"), "more.*").drop("key", "_")
 
 
 TITLE = ("letters", "breaks", "starts", "marks", "cut")
@@ -376,9 +377,10 @@ def components(edges: DataFrame, one_task: int = 2_000_000) -> DataFrame:
     round takes the least root among neighbours and then jumps along roots, so long
     chains close in logarithmically many rounds, and each round is cut.
     """
-    held = cut_lineage(edges.select("a", "b").where("a <> b"))
-    if held.count() <= one_task:
-        return cut_lineage(held.coalesce(1).mapInArrow(union_find, "node long, root long"))
+    seen = Observation()
+    held = cut_lineage(edges.select("a", "b").where("a <> b").observe(seen, F.count(F.lit(1)).alias("n")))
+    if seen.get["n"] <= one_task:
+        return held.coalesce(1).mapInArrow(union_find, "node long, root long")
     return components_in_rounds(held)
 
 
@@ -408,8 +410,10 @@ def ways(checked: DataFrame, roots: DataFrame, titles: DataFrame) -> DataFrame:
     """
     starts = checked.where(F.col("level") == START).select(F.when(F.col("na") < F.col("nb"), F.col("a")).otherwise(F.col("b")).alias("s"), F.when(F.col("na") < F.col("nb"), F.col("b")).otherwise(F.col("a")).alias("t"))
     met = starts.select(F.explode(F.array("s", "t")).alias("node")).distinct()
-    info = titles.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), F.col("root").isNotNull().alias("joined"), "cut", "from", "to", F.length("letters").alias("n"))
-    classes = info.groupBy("root").agg((F.bool_or(~F.col("cut")) & F.bool_or("joined")).alias("fixed"), F.bool_and("cut").alias("cuts"), F.max("n").alias("most"), F.min("from").alias("from"), F.max("to").alias("to"))
+    known = F.col("fixed") if "fixed" in titles.columns else F.lit(False)  # what the class was before this batch
+    info = titles.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), known.alias("known"), "cut", "from", "to", F.length("letters").alias("n"))
+    several = F.min("node") != F.max("node")
+    classes = info.groupBy("root").agg((F.bool_or("known") | (F.bool_or(~F.col("cut")) & several)).alias("fixed"), F.bool_and("cut").alias("cuts"), F.max("n").alias("most"), F.min("from").alias("from"), F.max("to").alias("to"))
     placed = cut_lineage(info.select("node", "root").join(met, "node", "left_semi").join(classes, "root"))
     s, t = (placed.select(F.col("node").alias(x), F.struct("root", "fixed", "cuts", "most", "from", "to").alias(f"_{x}")) for x in ("s", "t"))
     aimed = starts.join(s, "s").join(t, "t")
