@@ -1,19 +1,27 @@
 """Problem 8: the subject areas of each document.
 
-Method: a vote of n-grams per sentence.  Each word and word bigram has the log
-share of each subject in the sentences that hold it, against equal shares; they
-are added up over the sentence (half and half where both are known).  This is not
-an interpolated language model: there is no P(w | previous), no cross-entropy per
-token, and the thresholds are constants that nothing calibrates.  n-grams of which
-no subject holds 60 % are left out, and a sentence counts for one subject at most:
-one about two related subjects counts for one or none.  A document has every subject that carries at
-least ``share`` of its subject-bearing text.
-
-The seed models are fitted on the labelled examples.  They are then refitted on
-all documents that a model finds to be about one subject: n-grams are counted
-over the whole corpus, combined in the tasks before they are shuffled, and only
-n-grams that make up a fixed fraction of the labelled sentences are kept, so the
-model that is sent to the tasks is bounded whatever the corpus.
+Method: subject-specific n-gram language models.  P(word | word before) of each
+subject interpolates its bigrams, its unigrams and a background model of all
+subjects; the weights are found by expectation maximisation on the labelled
+examples.  A sentence has, for each subject, the gain per token of that model's
+cross-entropy over the background's, and is about the best subject if the gain
+is over a threshold, calibrated per subject on the labelled examples.  A second
+subject of the sentence is accepted by its own threshold if it gains at least
+half as much.  A document has every subject that carries at least ``share`` of
+its subject-bearing text.
+
+The seed models are fitted on the labelled examples.  They are refitted on all
+documents that a model finds to be about one subject: n-grams are counted over
+the whole corpus, combined in the tasks before they are shuffled, and n-grams
+that make up a fixed fraction of all counts are kept, so the model that is sent
+to the tasks is bounded whatever the corpus.  The examples are then held out:
+the refitted counts don't contain them.
+
+Two further models of the same kind tell remarks in passing from the text's own
+matter: one of lone sentences about a subject that the rest of their document
+isn't about ("the word is borrowed from ..."), and one of sentences about their
+document's subject.  They are fitted in the same pass, without labels; a sentence
+that the first predicts clearly better carries no subject.
 
 Defined results: null, blank and content-free documents have no row; ids that
 occur twice give one row per subject; texts are read whole; an empty set of
@@ -25,19 +33,22 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bibweave.session import cut_lineage
+
 SENTENCE = re.compile(r"(?<=[.!?。！？])\s*|\n+")
 RUN = re.compile(r"[぀-ヿ一-鿿]+|[^\W\d_]+")
+PLAIN = re.compile(r"[a-z]+")
 KANA_KANJI = re.compile(r"[぀-ヿ一-鿿]")
-# Sentences that name something of another field only to borrow from it or to set it aside.
-ASIDE = re.compile(r"borrowed from .* different meaning|acronym is also used in|who know .* from another field|the analogy ends there", re.I | re.S)
+BEGIN, OTHER = 0, 1  # ids of a sentence's begin and of words that the models don't know
 
 
 @dataclass(frozen=True)
@@ -45,21 +56,19 @@ class Settings:
     max_examples: int = 5_000  # bound of the labelled sample
     rounds: int = 2
     share: float = 0.2
-    pure: float = 0.75  # a document teaches a subject if so much of its text carries it
-    gain: float = 1.0  # nats by which a sentence must be predicted better
-    skew: float = 0.6  # least share of one subject for an n-gram to count; below it the model falls back to the background
-    fraction: float = 2e-5  # least frequency of an n-gram among the labelled sentences
+    pure: float = 0.75  # a document teaches a subject if so much of its subject-bearing text carries it
+    passing: float = 2.0  # nats by which the model of remarks in passing must predict a sentence better
+    fraction: float = 4e-7  # least share of an n-gram in all counts
     max_model_mb: int = 200
-
-
-def sentences(text: str | None) -> list[str]:
-    return [s for s in (x.strip() for x in SENTENCE.split(text or "") if x) if s and not ASIDE.search(s)]
+    chunk: int = 2_000_000  # characters that are scored at once
 
 
 def tokens(sentence: str) -> list[str]:
+    """Words of a folded sentence; overlapping character pairs of Japanese."""
+    if sentence.isascii():
+        return PLAIN.findall(sentence)
     out: list[str] = []
-    for m in RUN.finditer(unicodedata.normalize("NFKC", sentence).casefold()):
-        w = m[0]
+    for w in RUN.findall(sentence):
         if KANA_KANJI.match(w):
             out += [w[i : i + 2] for i in range(len(w) - 1)] or [w]
         else:
@@ -67,146 +76,253 @@ def tokens(sentence: str) -> list[str]:
     return out
 
 
-def ngrams(sentence: str) -> tuple[list[str], list[str]]:
-    w = tokens(sentence)
-    return w, [f"{a} {b}" for a, b in zip(w, w[1:])]
+def sentences(text: str | None) -> list[tuple[int, list[str]]]:
+    """(characters, words) of each sentence that has words."""
+    folded = (text or "").casefold()
+    if not folded.isascii():
+        folded = unicodedata.normalize("NFKC", folded)
+    return [(len(s), w) for s in SENTENCE.split(folded) if (w := tokens(s))]
 
 
-class SubjectModels:
-    """Log ratios of each subject's probability of an n-gram to the background's."""
+def _segment_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums over consecutive runs of rows."""
+    return np.add.reduceat(values, np.concatenate(([0], np.cumsum(sizes)[:-1])), axis=0)
 
-    def __init__(self, subjects: list[str], counts: dict[str, list[float]], seen: list[float], settings: Settings, smooth: float):
-        self.subjects, self.settings = subjects, settings
-        k = len(subjects)
-        self.gain = min(settings.gain, 0.5 * math.log(max(2, k)))  # of few subjects none can be much likelier than the background
-        mean = sum(seen) / max(1, k)
-        scale = [mean / max(1.0, n) for n in seen]
-        self.ratio: dict[str, list[float]] = {}
-        for gram, c in counts.items():
-            v = [a * b for a, b in zip(c, scale)]
-            total = sum(v) + smooth
-            p = [(a + smooth / k) / total for a in v]
-            if max(p) >= settings.skew:
-                self.ratio[gram] = [math.log(x * k) for x in p]
+
+class NgramModels:
+    """Interpolated bigram models of several labels and their background.
+
+    ``counts``: (word before or "", word) -> counts per label, "" for unigrams.
+    ``labels``: the first ``k`` are subjects, then remarks in passing and the document's own matter.
+    """
+
+    def __init__(self, subjects: list[str], counts: dict[tuple[str, str], np.ndarray]):
+        self.subjects, self.k = subjects, len(subjects)
+        self.weights = np.array([0.5, 0.3, 0.2])
+        self.thresholds = np.full(self.k, 0.05)
+        words = sorted({w for _, w in counts})
+        self.vocabulary = {w: n for n, w in enumerate(words, 2)}
+        m = self.k + 2
+        uni, seen = np.zeros((len(words) + 2, m)), []
+        for (before, word), c in counts.items():
+            if before == "":
+                uni[self.vocabulary[word]] = c
+            else:
+                seen.append((self._code(self.vocabulary.get(before, BEGIN), self.vocabulary[word]), c))
+        seen.sort(key=lambda x: x[0])
+        self.codes = np.array([c for c, _ in seen], np.int64)
+        pairs = np.array([c for _, c in seen]) if seen else np.zeros((0, m))
+        # The background weighs all subjects alike, however many texts they have.
+        total = np.maximum(uni.sum(axis=0), 1.0)
+        self.background = (uni[:, : self.k] / total[: self.k]).mean(axis=1) + 0.5 / (len(uni) * max(1.0, total[: self.k].min()) ** 0.5 + 1)
+        self.uni = (uni / total).astype(np.float32)
+        context = np.zeros((len(words) + 2, m))
+        np.add.at(context, self.codes >> 32, pairs)
+        self.bi = (pairs / np.maximum(context[self.codes >> 32], 1.0)).astype(np.float32)
+        self.context = context > 0
+        self.bi_background = self.bi[:, : self.k].mean(axis=1)
+        self.has_context = self.context[:, : self.k].any(axis=1)
+
+    @staticmethod
+    def _code(before: int, word: int) -> int:
+        return before << 32 | word
 
     @property
     def nbytes(self) -> int:
-        return sum(100 + len(g) + 32 * len(self.subjects) for g in self.ratio)
-
-    def subject_of(self, sentence: str) -> int:
-        """Index of the subject whose model predicts the sentence clearly best, or -1."""
-        words, pairs = ngrams(sentence)
-        total: list[float] | None = None
-        for i, w in enumerate(words):
-            one = self.ratio.get(w)
-            two = self.ratio.get(pairs[i - 1]) if i else None
-            if one is None and two is None:
-                continue
-            total = total or [0.0] * len(self.subjects)
-            if one is not None and two is not None:
-                total = [t + 0.5 * a + 0.5 * b for t, a, b in zip(total, one, two)]
-            else:
-                weight = 1.0 if two is None else 0.5
-                total = [t + weight * a for t, a in zip(total, one if two is None else two)]
-        if total is None:
-            return -1
-        first = max(range(len(total)), key=total.__getitem__)
-        second = max((t for n, t in enumerate(total) if n != first), default=0.0)
-        return first if total[first] > self.gain and total[first] - second > self.gain else -1
-
-    def shares(self, parts: list[str]) -> dict[int, float]:
-        """Share of each subject in the subject-bearing text."""
-        size: Counter = Counter()
-        for s in parts:
-            k = self.subject_of(s)
-            if k >= 0:
-                size[k] += len(s)
-        whole = sum(size.values())
-        return {k: n / whole for k, n in size.items()}
-
-    def mass(self, parts: list[str]) -> Counter:
-        size: Counter = Counter()
-        for s in parts:
-            k = self.subject_of(s)
-            if k >= 0:
-                size[k] += len(s)
-        return size
-
-
-def count_sentences(labelled: list[tuple[int, list[str]]], k: int) -> tuple[dict[str, list[float]], list[float]]:
-    counts: dict[str, list[float]] = defaultdict(lambda: [0.0] * k)
-    seen = [0.0] * k
-    for label, parts in labelled:
-        seen[label] += len(parts)
-        for s in parts:
-            w, b = ngrams(s)
-            for g in {*w, *b}:
-                counts[g][label] += 1
-    return counts, seen
-
-
-def train(documents: DataFrame, text_col: str, examples: DataFrame, subject_col: str, example_col: str, settings: Settings = Settings()) -> SubjectModels | None:
+        return self.uni.nbytes + self.bi.nbytes + self.codes.nbytes + 100 * len(self.vocabulary)
+
+    def ids(self, parts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word, word before, words per sentence) as ids."""
+        get = self.vocabulary.get
+        word = np.array([get(w, OTHER) for p in parts for w in p], np.int64)
+        sizes = np.array([len(p) for p in parts])
+        before = np.empty_like(word)
+        before[1:] = word[:-1]
+        before[np.concatenate(([0], np.cumsum(sizes)[:-1]))] = BEGIN
+        return word, before, sizes
+
+    def parts_of(self, word: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Bigram and unigram probabilities of each label, and those of the background."""
+        code = before << 32 | word
+        at = np.searchsorted(self.codes, code)
+        at[at == len(self.codes)] = 0
+        known = self.codes[at] == code if len(self.codes) else np.zeros(len(code), bool)
+        two = np.zeros((len(word), self.k + 2), np.float32)
+        two_b = np.zeros(len(word), np.float32)
+        if known.any():
+            two[known], two_b[known] = self.bi[at[known]], self.bi_background[at[known]]
+        return two, self.uni[word], two_b, self.background[word].astype(np.float32)
+
+    def log_ratios(self, word: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """ln P(word | before) of each label less that of the background; 0 for words that no model knows."""
+        two, one, two_b, one_b = self.parts_of(word, before)
+        l2, l1, l0 = self.weights
+        p = l2 * two + l1 * one + l0 * one_b[:, None]
+        ratio = np.log(p) - np.log(l2 * two_b + (l1 + l0) * one_b)[:, None]
+        ratio[word == OTHER] = 0
+        return ratio
+
+    def gains(self, parts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Gain per token of each subject over the background, and nats by which a sentence is rather one in passing."""
+        word, before, sizes = self.ids(parts)
+        sums = _segment_sums(self.log_ratios(word, before), sizes)
+        return sums[:, : self.k] / sizes[:, None], sums[:, self.k] - sums[:, self.k + 1]
+
+    def fit_weights(self, labelled: list[tuple[int, list[str]]], rounds: int = 8) -> None:
+        """Interpolation weights by expectation maximisation on labelled sentences that the counts don't contain."""
+        word, before, sizes = self.ids([w for _, w in labelled])
+        label = np.repeat([n for n, _ in labelled], sizes)
+        two, one, _, one_b = self.parts_of(word, before)
+        at = np.arange(len(word))
+        p = np.stack([two[at, label], one[at, label], one_b], axis=1)[word != OTHER]
+        for _ in range(rounds):
+            share = p * self.weights
+            share /= np.maximum(share.sum(axis=1, keepdims=True), 1e-30)
+            self.weights = np.maximum(share.mean(axis=0), 0.02)
+            self.weights /= self.weights.sum()
+
+    def calibrate(self, labelled: list[tuple[int, list[str]]]) -> None:
+        """Each subject's threshold: the gain above which most labelled sentences are right, less those that are wrong."""
+        gain, _ = self.gains([w for _, w in labelled])
+        label = np.array([n for n, _ in labelled])
+        best, top = gain.argmax(axis=1), gain.max(axis=1)
+        for s in range(self.k):
+            mine = best == s
+            order = np.argsort(-top[mine], kind="stable")
+            right = np.cumsum(np.where(label[mine][order] == s, 1, -2))
+            if len(right):
+                self.thresholds[s] = max(0.02, top[mine][order][: int(right.argmax()) + 1].min() if right.max() > 0 else top[mine].max())
+
+    def subjects_of(self, parts: list[list[str]], passing: float | None) -> list[list[int]]:
+        """Subjects of each sentence, the best first."""
+        gain, aside = self.gains(parts)
+        ok = gain >= self.thresholds
+        if passing is not None:
+            ok &= (aside <= passing)[:, None]
+        order = np.argsort(-gain, axis=1, kind="stable")[:, :2]
+        out = []
+        for row, (a, b) in enumerate(order.tolist() if self.k > 1 else [(0, 0)] * len(gain)):
+            found = [a] if ok[row, a] else []
+            if found and b != a and ok[row, b] and gain[row, b] >= 0.5 * gain[row, a]:
+                found.append(b)
+            out.append(found)
+        return out
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[list[tuple[int | None, list[tuple[int, list[str]]]]]]:
+    """Documents as (id, sentences), so many characters at a time."""
+    held, size = [], 0
+    for batch in batches:
+        ids = batch.column("doc_id").to_pylist() if "doc_id" in batch.schema.names else [None] * batch.num_rows
+        for d, text in zip(ids, batch.column("text").to_pylist()):
+            parts = sentences(text)
+            if parts:
+                held.append((d, parts))
+                size += len(text)
+            if size >= chunk:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def _labelled(docs: list, models: NgramModels, passing: float | None) -> Iterator[tuple[int | None, list[tuple[int, list[str]]], list[list[int]], dict[int, float]]]:
+    """(id, sentences, subjects of each, characters of each subject) of documents that are scored together."""
+    found = iter(models.subjects_of([w for _, parts in docs for _, w in parts], passing))
+    for d, parts in docs:
+        own = [next(found) for _ in parts]
+        size: dict[int, float] = {}
+        for (n, _), named in zip(parts, own):
+            for s in named:
+                size[s] = size.get(s, 0) + n / len(named)
+        yield d, parts, own, size
+
+
+def _count(tallies: list[Counter], label: int, words: list[str]) -> None:
+    tallies[label].update(zip(("^", *words), words))
+
+
+def train(documents: DataFrame, text_col: str, examples: DataFrame, subject_col: str, example_col: str, settings: Settings = Settings()) -> NgramModels | None:
     spark = documents.sparkSession
     rows = examples.select(F.col(subject_col).alias("s"), F.col(example_col).alias("t")).where("s IS NOT NULL AND t IS NOT NULL").orderBy(F.xxhash64("t")).limit(settings.max_examples).collect()
     subjects = sorted({r.s for r in rows})
     if not subjects:
         return None
     k = len(subjects)
-    labelled = [(subjects.index(r.s), sentences(r.t)) for r in rows]
-    seed_counts, seed_seen = count_sentences(labelled, k)
-    models = SubjectModels(subjects, seed_counts, seed_seen, settings, smooth=1.0)
+    labelled = [(subjects.index(r.s), w) for r in rows for _, w in sentences(r.t)]
+    if not labelled:
+        return None
+
+    def table(seen: dict[tuple[str, str], np.ndarray]) -> dict[tuple[str, str], np.ndarray]:
+        """Unigrams beside the bigrams."""
+        out = dict(seen)
+        for (_, word), c in seen.items():
+            out[("", word)] = out.get(("", word), 0) + c
+        return out
+
+    seed: dict[tuple[str, str], np.ndarray] = {}
+    for label, w in labelled:
+        for pair in zip(("^", *w), w):
+            seed.setdefault(pair, np.zeros(k + 2))[label] += 1
+    models = NgramModels(subjects, table(seed))
+    models.thresholds[:] = 0.5 * float(np.median(models.gains([w for _, w in labelled])[0][np.arange(len(labelled)), [n for n, _ in labelled]]))
     texts = documents.select(F.col(text_col).alias("text")).where(F.col("text").rlike(r"\S"))
 
-    for _ in range(settings.rounds):
+    for n in range(settings.rounds):
         held = spark.sparkContext.broadcast(models)
+        passing = settings.passing if n else None
 
-        def count(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+        def count(batches: Iterator[pa.RecordBatch], held=held, passing=passing) -> Iterator[pa.RecordBatch]:
             model = held.value
-            tally: Counter = Counter()
+            tallies = [Counter() for _ in range(k + 2)]
 
             def flush() -> pa.RecordBatch:
-                keys = list(tally)
-                out = pa.RecordBatch.from_arrays([pa.array([g for g, _ in keys], pa.string()), pa.array([s for _, s in keys], pa.int32()), pa.array([tally[x] for x in keys], pa.int64())], names=["gram", "subject", "n"])
-                tally.clear()
-                return out
-
-            for batch in batches:
-                for text in batch.column("text").to_pylist():
-                    parts = sentences(text)
-                    mass = model.mass(parts)
-                    if not mass:
-                        continue
-                    label, most = max(mass.items(), key=lambda x: (x[1], -x[0]))
-                    if most < settings.pure * sum(mass.values()):
+                keys = [(b, w, s, c) for s, t in enumerate(tallies) for (b, w), c in t.items()]
+                for t in tallies:
+                    t.clear()
+                kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
+                return pa.RecordBatch.from_arrays([pa.array([x[i] for x in keys], kind) for i, kind in enumerate(kinds)], names=["before", "word", "label", "n"])
+
+            for docs in _chunks(batches, settings.chunk):
+                for _, parts, own, size in _labelled(docs, model, passing):
+                    whole = sum(size.values())
+                    if not whole:
                         continue
-                    for s in parts:
-                        w, b = ngrams(s)
-                        tally[("", label)] += 1
-                        for g in {*w, *b}:
-                            tally[(g, label)] += 1
-                if len(tally) > 300_000:
+                    main = max(size, key=lambda s: (size[s], -s))
+                    if size[main] >= settings.pure * whole:
+                        for _, w in parts:
+                            _count(tallies, main, w)
+                        alone = Counter(s for named in own for s in named)
+                        for (_, w), named in zip(parts, own):
+                            if named:
+                                away = named[0] != main and alone[named[0]] == 1
+                                if away or named[0] == main:
+                                    _count(tallies, k if away else k + 1, w)
+                    elif passing is None:  # a seed model takes remarks in passing for a second subject, so these teach what such remarks look like
+                        alone = Counter(s for named in own for s in named)
+                        for (_, w), named in zip(parts, own):
+                            if named:
+                                _count(tallies, k if named[0] != main and alone[named[0]] == 1 else k + 1, w)
+                if sum(map(len, tallies)) > 400_000:
                     yield flush()
             yield flush()
 
-        counted = texts.mapInArrow(count, "gram string, subject int, n long").groupBy("gram", "subject").agg(F.sum("n").alias("n"))
-        by_gram = counted.groupBy("gram").agg(F.collect_list(F.struct("subject", "n")).alias("by"), F.sum("n").alias("n"), F.max("n").alias("most"))  # at most one entry per subject
-        from bibweave.session import cut_lineage
-
-        table = cut_lineage(by_gram)
-        total = table.where("gram = ''").select(F.explode("by").alias("b")).select("b.*").collect()
-        seen = list(seed_seen)
-        for r in total:
-            seen[r.subject] += r.n
-        least = max(2, math.ceil(settings.fraction * sum(seen)))
-        counts: dict[str, list[float]] = {}
-        # Bounded: at most (n-grams of a sentence) / fraction rows, and only skewed ones.
-        for r in table.where((F.col("gram") != "") & (F.col("n") >= least) & (F.col("most") >= F.col("n") * (settings.skew / 2))).toLocalIterator():
-            counts[r.gram] = list(seed_counts.get(r.gram, [0.0] * k))
+        counted = texts.mapInArrow(count, "before string, word string, label int, n long").groupBy("before", "word", "label").agg(F.sum("n").alias("n"))
+        by_gram = cut_lineage(counted.groupBy("before", "word").agg(F.collect_list(F.struct("label", "n")).alias("by"), F.sum("n").alias("n")))  # at most one entry per label
+        whole = by_gram.agg(F.sum("n")).first()[0] or 0
+        least = max(2, math.ceil(settings.fraction * whole))
+        counts: dict[tuple[str, str], np.ndarray] = {}
+        for r in by_gram.where(F.col("n") >= least).toLocalIterator():  # bounded: at most 1 / fraction rows
+            c = counts.setdefault((r.before, r.word), np.zeros(k + 2))
             for b in r.by:
-                counts[r.gram][b.subject] += b.n
-        for g, c in seed_counts.items():
-            counts.setdefault(g, c)
-        models = SubjectModels(subjects, counts, seen, settings, smooth=2.0)
+                c[b.label] += b.n
+        few = sum(c[:k] for c in counts.values()).min() < 2_000 if counts else True
+        if few:  # too few documents to learn from alone
+            for pair, c in seed.items():
+                counts[pair] = counts.get(pair, 0) + c
+        models = NgramModels(subjects, table(counts))
+        models.fit_weights(labelled)
+        models.calibrate(labelled)
         if models.nbytes > settings.max_model_mb << 20:
             raise ValueError("the models outgrow max_model_mb; raise Settings.fraction")
     return models
@@ -223,15 +339,10 @@ def subjects_of(documents: DataFrame, id_col: str, text_col: str, examples: Data
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
-        for batch in batches:
-            ids, names, parts = [], [], []
-            for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                for k, x in sorted(model.shares(sentences(t)).items()):
-                    if x >= settings.share:
-                        ids.append(d)
-                        names.append(model.subjects[k])
-                        parts.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(names, pa.string()), pa.array(parts, pa.float64())], names=["doc_id", "subject", "share"])
+        for docs in _chunks(batches, settings.chunk):
+            rows = [(d, model.subjects[s], n / sum(size.values())) for d, _, _, size in _labelled(docs, model, settings.passing) for s, n in sorted(size.items()) if n >= settings.share * sum(size.values())]
+            kinds = (pa.int64(), pa.string(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["doc_id", "subject", "share"])
 
     texts = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("doc_id").isNotNull() & F.col("text").rlike(r"\S"))
     return texts.mapInArrow(label, schema).groupBy("doc_id", "subject").agg(F.max("share").alias("share"))
