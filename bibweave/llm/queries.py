@@ -55,8 +55,9 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     forest.add(featurise(ledger, "seen_id", "title", "authors", "pub_date", F.col("doi"), F.col("arxiv_id")))
     made = featurise(candidates, "cand_id", "title", "authors", "published", F.col("doi"), F.col("arxiv_id"), F.coalesce("batch_no", F.lit(1 << 30)).alias("batch_no"))
     arrived = cut_lineage(made)
-    for (batch,) in sorted(arrived.select("batch_no").distinct().collect()):  # a row a batch
-        forest.add(arrived.where(F.col("batch_no") == batch).drop("batch_no"))
+    sizes = sorted(arrived.groupBy("batch_no").count().collect())  # a row a batch
+    for several in history_dedup.together(sizes):
+        forest.add(arrived.where(F.col("batch_no").isin(several)).drop("batch_no"))
     found = forest.first_ids().where("first_id < id").select("first_id", F.col("id").alias("cand_id"))
     return found.join(arrived.select(F.col("id").alias("cand_id")), "cand_id", "left_semi").select("first_id", "cand_id")
 

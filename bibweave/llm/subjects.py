@@ -10,6 +10,10 @@ subject of the sentence is accepted by its own threshold if it gains at least
 half as much.  A document has every subject that carries at least ``share`` of
 its subject-bearing text.
 
+Each language has models of its own, so that no subject gains by being written
+about in it more often; a sentence's language is told by its script and its
+function words, or is that of its document.
+
 The seed models are fitted on the labelled examples.  They are refitted on all
 documents that a model finds to be about one subject: n-grams are counted over
 the whole corpus, combined in the tasks before they are shuffled, and n-grams
@@ -36,6 +40,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +53,14 @@ SENTENCE = re.compile(r"(?<=[.!?。！？])\s*|\n+")
 RUN = re.compile(r"[぀-ヿ一-鿿]+|[^\W\d_]+")
 PLAIN = re.compile(r"[a-z]+")
 KANA_KANJI = re.compile(r"[぀-ヿ一-鿿]")
+# Function words by which a sentence's language is told.
+FUNCTION_WORDS = {
+    "en": "the of and to in is that for with as are was by on be this from at which or an not have it were we but their than these been has they its had when after only",
+    "de": "der die das und ist von zu den mit für auf im des ein eine nicht dem sich als auch werden wurde wurden bei aus nach wir sind zur zum alle über war waren einer durch noch",
+    "fr": "le la les de des du et un une est dans pour sur que qui par avec plus au aux ne pas sont ce cette nous sans ont été étaient sa ses leur après toutes peu",
+}
+LANGUAGE = {w: n for n, line in enumerate(FUNCTION_WORDS.values(), 1) for w in line.split()}
+JAPANESE = 4
 BEGIN, OTHER = 0, 1  # ids of a sentence's begin and of words that the models don't know
 
 
@@ -59,6 +72,7 @@ class Settings:
     pure: float = 0.75  # a document teaches a subject if so much of its subject-bearing text carries it
     passing: float = 2.0  # nats by which the model of remarks in passing must predict a sentence better
     fraction: float = 4e-7  # least share of an n-gram in all counts
+    few: int = 500  # words of a subject and language below which the examples stay part of its counts
     max_model_mb: int = 200
     chunk: int = 2_000_000  # characters that are scored at once
 
@@ -84,6 +98,14 @@ def sentences(text: str | None) -> list[tuple[int, list[str]]]:
     return [(len(s), w) for s in SENTENCE.split(folded) if (w := tokens(s))]
 
 
+def languages(parts: list[list[str]]) -> list[int]:
+    """Language of each sentence of a text; 0 where nothing tells it."""
+    votes = [Counter(LANGUAGE[w] for w in p if w in LANGUAGE) if not KANA_KANJI.match(p[0]) else Counter({JAPANESE: len(p)}) for p in parts]
+    whole = sum(votes, Counter())
+    usual = max(whole, key=lambda x: (whole[x], -x)) if whole else 0
+    return [max(v, key=lambda x: (v[x], whole[x], -x)) if v else usual for v in votes]
+
+
 def _segment_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Sums over consecutive runs of rows."""
     return np.add.reduceat(values, np.concatenate(([0], np.cumsum(sizes)[:-1])), axis=0)
@@ -99,7 +121,6 @@ class NgramModels:
     def __init__(self, subjects: list[str], counts: dict[tuple[str, str], np.ndarray]):
         self.subjects, self.k = subjects, len(subjects)
         self.weights = np.array([0.5, 0.3, 0.2])
-        self.thresholds = np.full(self.k, 0.05)
         words = sorted({w for _, w in counts})
         self.vocabulary = {w: n for n, w in enumerate(words, 2)}
         m = self.k + 2
@@ -181,10 +202,43 @@ class NgramModels:
             self.weights = np.maximum(share.mean(axis=0), 0.02)
             self.weights /= self.weights.sum()
 
-    def calibrate(self, labelled: list[tuple[int, list[str]]]) -> None:
+
+class SubjectModels:
+    """The models of all languages, and the thresholds of the subjects."""
+
+    def __init__(self, subjects: list[str], counts: dict[tuple[int, str, str], np.ndarray]):
+        self.subjects, self.k = subjects, len(subjects)
+        self.thresholds = np.full(self.k, 0.05)
+        by: dict[int, dict[tuple[str, str], np.ndarray]] = {}
+        for (lang, before, word), c in counts.items():
+            own = by.setdefault(lang, {})
+            own[before, word] = c
+            own["", word] = own.get(("", word), 0) + c
+        self.models = {lang: NgramModels(subjects, own) for lang, own in by.items()}
+
+    @property
+    def nbytes(self) -> int:
+        return sum(m.nbytes for m in self.models.values())
+
+    def gains(self, parts: list[list[str]], langs: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        gain, aside = np.zeros((len(parts), self.k)), np.zeros(len(parts))
+        by = np.array(langs)
+        for lang, model in self.models.items():
+            at = np.flatnonzero(by == lang)
+            if len(at):
+                gain[at], aside[at] = model.gains([parts[i] for i in at])
+        return gain, aside
+
+    def fit_weights(self, labelled: list[tuple[int, int, list[str]]]) -> None:
+        for lang, model in self.models.items():
+            own = [(n, w) for n, x, w in labelled if x == lang]
+            if own:
+                model.fit_weights(own)
+
+    def calibrate(self, labelled: list[tuple[int, int, list[str]]]) -> None:
         """Each subject's threshold: the gain above which most labelled sentences are right, less those that are wrong."""
-        gain, _ = self.gains([w for _, w in labelled])
-        label = np.array([n for n, _ in labelled])
+        gain, _ = self.gains([w for _, _, w in labelled], [x for _, x, _ in labelled])
+        label = np.array([n for n, _, _ in labelled])
         best, top = gain.argmax(axis=1), gain.max(axis=1)
         for s in range(self.k):
             mine = best == s
@@ -193,9 +247,9 @@ class NgramModels:
             if len(right):
                 self.thresholds[s] = max(0.02, top[mine][order][: int(right.argmax()) + 1].min() if right.max() > 0 else top[mine].max())
 
-    def subjects_of(self, parts: list[list[str]], passing: float | None) -> list[list[int]]:
+    def subjects_of(self, parts: list[list[str]], langs: list[int], passing: float | None) -> list[list[int]]:
         """Subjects of each sentence, the best first."""
-        gain, aside = self.gains(parts)
+        gain, aside = self.gains(parts, langs)
         ok = gain >= self.thresholds
         if passing is not None:
             ok &= (aside <= passing)[:, None]
@@ -209,15 +263,15 @@ class NgramModels:
         return out
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[list[tuple[int | None, list[tuple[int, list[str]]]]]]:
-    """Documents as (id, sentences), so many characters at a time."""
+def _chunks(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[list[tuple[int | None, list[tuple[int, int, list[str]]]]]]:
+    """Documents as (id, sentences with their languages), so many characters at a time."""
     held, size = [], 0
     for batch in batches:
         ids = batch.column("doc_id").to_pylist() if "doc_id" in batch.schema.names else [None] * batch.num_rows
         for d, text in zip(ids, batch.column("text").to_pylist()):
             parts = sentences(text)
             if parts:
-                held.append((d, parts))
+                held.append((d, [(n, x, w) for (n, w), x in zip(parts, languages([w for _, w in parts]))]))
                 size += len(text)
             if size >= chunk:
                 yield held
@@ -226,46 +280,35 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[list[tupl
         yield held
 
 
-def _labelled(docs: list, models: NgramModels, passing: float | None) -> Iterator[tuple[int | None, list[tuple[int, list[str]]], list[list[int]], dict[int, float]]]:
+def _labelled(docs: list, models: SubjectModels, passing: float | None) -> Iterator[tuple[int | None, list[tuple[int, int, list[str]]], list[list[int]], dict[int, float]]]:
     """(id, sentences, subjects of each, characters of each subject) of documents that are scored together."""
-    found = iter(models.subjects_of([w for _, parts in docs for _, w in parts], passing))
+    found = iter(models.subjects_of([w for _, parts in docs for _, _, w in parts], [x for _, parts in docs for _, x, _ in parts], passing))
     for d, parts in docs:
         own = [next(found) for _ in parts]
         size: dict[int, float] = {}
-        for (n, _), named in zip(parts, own):
+        for (n, _, _), named in zip(parts, own):
             for s in named:
                 size[s] = size.get(s, 0) + n / len(named)
         yield d, parts, own, size
 
 
-def _count(tallies: list[Counter], label: int, words: list[str]) -> None:
-    tallies[label].update(zip(("^", *words), words))
-
-
-def train(documents: DataFrame, text_col: str, examples: DataFrame, subject_col: str, example_col: str, settings: Settings = Settings()) -> NgramModels | None:
+def train(documents: DataFrame, text_col: str, examples: DataFrame, subject_col: str, example_col: str, settings: Settings = Settings()) -> SubjectModels | None:
     spark = documents.sparkSession
     rows = examples.select(F.col(subject_col).alias("s"), F.col(example_col).alias("t")).where("s IS NOT NULL AND t IS NOT NULL").orderBy(F.xxhash64("t")).limit(settings.max_examples).collect()
     subjects = sorted({r.s for r in rows})
     if not subjects:
         return None
     k = len(subjects)
-    labelled = [(subjects.index(r.s), w) for r in rows for _, w in sentences(r.t)]
+    labelled = [(subjects.index(r.s), x, w) for r in rows for parts in [[w for _, w in sentences(r.t)]] for x, w in zip(languages(parts), parts)]
     if not labelled:
         return None
-
-    def table(seen: dict[tuple[str, str], np.ndarray]) -> dict[tuple[str, str], np.ndarray]:
-        """Unigrams beside the bigrams."""
-        out = dict(seen)
-        for (_, word), c in seen.items():
-            out[("", word)] = out.get(("", word), 0) + c
-        return out
-
-    seed: dict[tuple[str, str], np.ndarray] = {}
-    for label, w in labelled:
-        for pair in zip(("^", *w), w):
-            seed.setdefault(pair, np.zeros(k + 2))[label] += 1
-    models = NgramModels(subjects, table(seed))
-    models.thresholds[:] = 0.5 * float(np.median(models.gains([w for _, w in labelled])[0][np.arange(len(labelled)), [n for n, _ in labelled]]))
+    seed: dict[tuple[int, str, str], np.ndarray] = {}
+    for label, x, w in labelled:
+        for before, word in zip(("^", *w), w):
+            seed.setdefault((x, before, word), np.zeros(k + 2))[label] += 1
+    models = SubjectModels(subjects, seed)
+    gain, _ = models.gains([w for _, _, w in labelled], [x for _, x, _ in labelled])
+    models.thresholds[:] = 0.5 * float(np.median(gain[np.arange(len(labelled)), [n for n, _, _ in labelled]]))
     texts = documents.select(F.col(text_col).alias("text")).where(F.col("text").rlike(r"\S"))
 
     for n in range(settings.rounds):
@@ -277,11 +320,14 @@ def train(documents: DataFrame, text_col: str, examples: DataFrame, subject_col:
             tallies = [Counter() for _ in range(k + 2)]
 
             def flush() -> pa.RecordBatch:
-                keys = [(b, w, s, c) for s, t in enumerate(tallies) for (b, w), c in t.items()]
+                keys = [(x, b, w, s, c) for s, t in enumerate(tallies) for (x, b, w), c in t.items()]
                 for t in tallies:
                     t.clear()
-                kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
-                return pa.RecordBatch.from_arrays([pa.array([x[i] for x in keys], kind) for i, kind in enumerate(kinds)], names=["before", "word", "label", "n"])
+                kinds = (pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int64())
+                return pa.RecordBatch.from_arrays([pa.array([x[i] for x in keys], kind) for i, kind in enumerate(kinds)], names=["lang", "before", "word", "label", "n"])
+
+            def add(label: int, lang: int, words: list[str]) -> None:
+                tallies[label].update(zip(repeat(lang), ("^", *words), words))
 
             for docs in _chunks(batches, settings.chunk):
                 for _, parts, own, size in _labelled(docs, model, passing):
@@ -289,38 +335,35 @@ def train(documents: DataFrame, text_col: str, examples: DataFrame, subject_col:
                     if not whole:
                         continue
                     main = max(size, key=lambda s: (size[s], -s))
-                    if size[main] >= settings.pure * whole:
-                        for _, w in parts:
-                            _count(tallies, main, w)
-                        alone = Counter(s for named in own for s in named)
-                        for (_, w), named in zip(parts, own):
-                            if named:
-                                away = named[0] != main and alone[named[0]] == 1
-                                if away or named[0] == main:
-                                    _count(tallies, k if away else k + 1, w)
-                    elif passing is None:  # a seed model takes remarks in passing for a second subject, so these teach what such remarks look like
+                    pure = size[main] >= settings.pure * whole
+                    if pure:
+                        for _, x, w in parts:
+                            add(main, x, w)
+                    if pure or passing is None:  # a seed model takes remarks in passing for a second subject, so these texts teach what such remarks look like
                         alone = Counter(s for named in own for s in named)
-                        for (_, w), named in zip(parts, own):
+                        for (_, x, w), named in zip(parts, own):
                             if named:
-                                _count(tallies, k if named[0] != main and alone[named[0]] == 1 else k + 1, w)
+                                add(k if named[0] != main and alone[named[0]] == 1 else k + 1, x, w)
                 if sum(map(len, tallies)) > 400_000:
                     yield flush()
             yield flush()
 
-        counted = texts.mapInArrow(count, "before string, word string, label int, n long").groupBy("before", "word", "label").agg(F.sum("n").alias("n"))
-        by_gram = cut_lineage(counted.groupBy("before", "word").agg(F.collect_list(F.struct("label", "n")).alias("by"), F.sum("n").alias("n")))  # at most one entry per label
+        gram = ("lang", "before", "word")
+        counted = texts.mapInArrow(count, "lang int, before string, word string, label int, n long").groupBy(*gram, "label").agg(F.sum("n").alias("n"))
+        by_gram = cut_lineage(counted.groupBy(*gram).agg(F.collect_list(F.struct("label", "n")).alias("by"), F.sum("n").alias("n")))  # at most one entry per label
         whole = by_gram.agg(F.sum("n")).first()[0] or 0
         least = max(2, math.ceil(settings.fraction * whole))
-        counts: dict[tuple[str, str], np.ndarray] = {}
+        counts: dict[tuple[int, str, str], np.ndarray] = {}
+        learnt: dict[int, np.ndarray] = {}
         for r in by_gram.where(F.col("n") >= least).toLocalIterator():  # bounded: at most 1 / fraction rows
-            c = counts.setdefault((r.before, r.word), np.zeros(k + 2))
+            c = counts.setdefault((r.lang, r.before, r.word), np.zeros(k + 2))
             for b in r.by:
                 c[b.label] += b.n
-        few = sum(c[:k] for c in counts.values()).min() < 2_000 if counts else True
-        if few:  # too few documents to learn from alone
-            for pair, c in seed.items():
-                counts[pair] = counts.get(pair, 0) + c
-        models = NgramModels(subjects, table(counts))
+            learnt[r.lang] = learnt.get(r.lang, 0) + c[:k]
+        for (x, before, word), c in seed.items():
+            if np.min(learnt.get(x, 0)) < settings.few:  # a language with too few texts to learn from alone
+                counts[x, before, word] = counts.get((x, before, word), 0) + c
+        models = SubjectModels(subjects, counts)
         models.fit_weights(labelled)
         models.calibrate(labelled)
         if models.nbytes > settings.max_model_mb << 20:

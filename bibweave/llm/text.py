@@ -66,12 +66,12 @@ def least_rotation(s: str) -> int:
     if n <= 256:
         doubled = s + s
         least = min(s) if s else ""
-        best, at = "", 0
-        for i, ch in enumerate(s):
-            if ch == least:
-                turned = doubled[i : i + n]
-                if not best or turned < best:
-                    best, at = turned, i
+        best, at, i = "", 0, s.find(least)
+        while 0 <= i < n:
+            turned = doubled[i : i + n]
+            if not best or turned < best:
+                best, at = turned, i
+            i = s.find(least, i + 1)
         return at
     i, j, k = 0, 1, 0
     while i < n and j < n and k < n:

@@ -89,28 +89,29 @@ def title_features(title: str | None) -> tuple[str, str, list[int], list[str], s
     return letters[start:] + letters[:start], letters, sorted({b for b in breaks if 0 < b < len(letters)}), tokens, marks, cut, names_work
 
 
-def surnames(authors) -> list[str]:
-    """Folded surnames, in order; any of "First Last", "Last, First", "F. Last", "LAST F"."""
-    found: list[str] = []
-    if authors is None:
-        return found
-    for name in authors:
-        plain = fold(name).strip() if name else ""
+@lru_cache(200_000)
+def surname(name: str) -> str:
+    """Folded surname of any of "First Last", "Last, First", "F. Last", "LAST F"; '' of none."""
+    plain = fold(name).strip()
+    if not plain.isascii():
         plain = "".join(c for c in unicodedata.normalize("NFD", plain) if not unicodedata.combining(c))
-        if not plain or plain.startswith("et al") or not re.search(r"\w", plain):
-            continue
-        if "," in plain:
-            last = plain.split(",")[0]
-        else:
-            parts = plain.split()
-            long = [p for p in parts if len(p.strip(".")) > 1]
-            last = " ".join(long) if len(long) < len(parts) and long else (parts[-1] if len(parts) <= 2 else plain)
-        last = re.sub(r"[^\w ]", "", last).strip()
-        if last and last not in found:
-            found.append(last)
-    return found
+    if not plain or plain.startswith("et al") or not re.search(r"\w", plain):
+        return ""
+    if "," in plain:
+        last = plain.split(",")[0]
+    else:
+        parts = plain.split()
+        long = [p for p in parts if len(p.strip(".")) > 1]
+        last = " ".join(long) if len(long) < len(parts) and long else (parts[-1] if len(parts) <= 2 else plain)
+    return re.sub(r"[^\w ]", "", last).strip()
+
+
+def surnames(authors) -> list[str]:
+    """Distinct folded surnames, in order."""
+    return list(dict.fromkeys(x for name in (authors if authors is not None else ()) if name and (x := surname(name))))
 
 
+@lru_cache(200_000)
 def _short(text: str) -> int:
     """A 32-bit hash that is never 0, which stands for no name."""
     return (xxhash.xxh32_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 31)) or 1
@@ -303,6 +304,25 @@ def same_title(a: str, breaks_a: list[int], starts_a: list[int], marks_a: str, c
     return 0, None
 
 
+def plausible(a: list[str], b: list[str], marks_same: np.ndarray) -> np.ndarray:
+    """Which pairs may be more than different titles, by counts of their letters alone: a slip changes two counts at most."""
+    if not a:
+        return np.zeros(0, bool)
+
+    def letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.array([len(t) for t in texts])
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32) & 31
+        return sizes, np.bincount(np.repeat(np.arange(len(texts)), sizes) * 32 + codes, minlength=32 * len(texts)).reshape(-1, 32)
+
+    (na, ha), (nb, hb) = letters(a), letters(b)
+    more, less = np.maximum(ha - hb, 0).sum(axis=1), np.maximum(hb - ha, 0).sum(axis=1)
+    short = np.minimum(na, nb)
+    budget = np.clip(short // 14, 2, 4)
+    same = marks_same & (np.abs(na - nb) <= budget) & (more + less <= 2 * budget)
+    start = (na != nb) & (np.where(na < nb, more, less) <= 2) & (short >= 0.35 * np.maximum(na, nb))
+    return same | start
+
+
 LEVEL = T.StructType([T.StructField("level", T.IntegerType()), T.StructField("rest", T.StringType())])
 
 
@@ -324,7 +344,8 @@ def check_pairs(pairs: DataFrame, titles: DataFrame, *keep: str) -> DataFrame:
 
     @F.pandas_udf(LEVEL)
     def level(la: pd.Series, ba: pd.Series, sa: pd.Series, ma: pd.Series, ca: pd.Series, lb: pd.Series, bb: pd.Series, sb: pd.Series, mb: pd.Series, cb: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([same_title(*x) for x in zip(*(c.tolist() for c in (la, ba, sa, ma, ca, lb, bb, sb, mb, cb)))], columns=["level", "rest"])
+        may = plausible(la.tolist(), lb.tolist(), (ma == mb).to_numpy()).tolist()
+        return pd.DataFrame([same_title(*x) if ok else (0, None) for ok, x in zip(may, zip(*(c.tolist() for c in (la, ba, sa, ma, ca, lb, bb, sb, mb, cb))))], columns=["level", "rest"])
 
     checked = joined.select("a", "b", *keep, F.length("letters_a").alias("na"), F.length("letters_b").alias("nb"), level(*(f"{c}_{s}" for s in ("a", "b") for c in TITLE)).alias("v"))
     return checked.select("a", "b", *keep, "na", "nb", "v.*").where("level > 0")
