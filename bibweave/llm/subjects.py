@@ -2,17 +2,17 @@
 
 Method: subject-specific n-gram language models.  P(word | word before) of each
 subject interpolates its bigrams, its unigrams and a background model of all
-subjects; the weights are found by expectation maximisation on the labelled
-examples.  A sentence has, for each subject, the gain per token of that model's
+subjects, each the more the less its context was seen; the weights are those
+under which the labelled examples are most probable.  A sentence has, for each subject, the gain per token of that model's
 cross-entropy over the background's, and is about the best subject if the gain
 is over a threshold, calibrated per subject on the labelled examples.  A second
 subject of the sentence is accepted by its own threshold if it gains at least
 half as much.  A document has every subject that carries at least ``share`` of
 its subject-bearing text.
 
-Each language has models of its own, so that no subject gains by being written
-about in it more often; a sentence's language is told by its script and its
-function words, or is that of its document.
+Words and bigrams of which no subject has most are pruned: for them the
+background stands in for every subject, so neither frames of sentences nor a
+language in which one subject is written about more often tell anything.
 
 The seed models are fitted on the labelled examples.  They are refitted on all
 documents that a model finds to be about one subject: n-grams are counted over
@@ -40,7 +40,6 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -53,14 +52,6 @@ SENTENCE = re.compile(r"(?<=[.!?。！？])\s*|\n+")
 RUN = re.compile(r"[぀-ヿ一-鿿]+|[^\W\d_]+")
 PLAIN = re.compile(r"[a-z]+")
 KANA_KANJI = re.compile(r"[぀-ヿ一-鿿]")
-# Function words by which a sentence's language is told.
-FUNCTION_WORDS = {
-    "en": "the of and to in is that for with as are was by on be this from at which or an not have it were we but their than these been has they its had when after only",
-    "de": "der die das und ist von zu den mit für auf im des ein eine nicht dem sich als auch werden wurde wurden bei aus nach wir sind zur zum alle über war waren einer durch noch",
-    "fr": "le la les de des du et un une est dans pour sur que qui par avec plus au aux ne pas sont ce cette nous sans ont été étaient sa ses leur après toutes peu",
-}
-LANGUAGE = {w: n for n, line in enumerate(FUNCTION_WORDS.values(), 1) for w in line.split()}
-JAPANESE = 4
 BEGIN, OTHER = 0, 1  # ids of a sentence's begin and of words that the models don't know
 
 
@@ -68,11 +59,12 @@ BEGIN, OTHER = 0, 1  # ids of a sentence's begin and of words that the models do
 class Settings:
     max_examples: int = 5_000  # bound of the labelled sample
     rounds: int = 2
+    seed_gain: float = 0.03  # threshold of the seed models, which have no examples left to calibrate it on
     share: float = 0.2
     pure: float = 0.75  # a document teaches a subject if so much of its subject-bearing text carries it
     passing: float = 2.0  # nats by which the model of remarks in passing must predict a sentence better
     fraction: float = 4e-7  # least share of an n-gram in all counts
-    few: int = 500  # words of a subject and language below which the examples stay part of its counts
+    few: int = 5_000  # words of a subject below which the examples stay part of the counts, and nothing is left to calibrate on
     max_model_mb: int = 200
     chunk: int = 2_000_000  # characters that are scored at once
 
@@ -98,59 +90,72 @@ def sentences(text: str | None) -> list[tuple[int, list[str]]]:
     return [(len(s), w) for s in SENTENCE.split(folded) if (w := tokens(s))]
 
 
-def languages(parts: list[list[str]]) -> list[int]:
-    """Language of each sentence of a text; 0 where nothing tells it."""
-    votes = [Counter(LANGUAGE[w] for w in p if w in LANGUAGE) if not KANA_KANJI.match(p[0]) else Counter({JAPANESE: len(p)}) for p in parts]
-    whole = sum(votes, Counter())
-    usual = max(whole, key=lambda x: (whole[x], -x)) if whole else 0
-    return [max(v, key=lambda x: (v[x], whole[x], -x)) if v else usual for v in votes]
-
-
 def _segment_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Sums over consecutive runs of rows."""
     return np.add.reduceat(values, np.concatenate(([0], np.cumsum(sizes)[:-1])), axis=0)
 
 
 class NgramModels:
-    """Interpolated bigram models of several labels and their background.
+    """Interpolated bigram models of several labels, their background, and the thresholds of the subjects.
 
-    ``counts``: (word before or "", word) -> counts per label, "" for unigrams.
+    ``counts``: (word before, word) -> counts per label.
     ``labels``: the first ``k`` are subjects, then remarks in passing and the document's own matter.
+    The more often a label's context was seen, the more its own counts weigh: n / (n + mu).
     """
 
-    def __init__(self, subjects: list[str], counts: dict[tuple[str, str], np.ndarray]):
+    def __init__(self, subjects: list[str], counts: dict[tuple[str, str], np.ndarray], skew: float = 0.6):
         self.subjects, self.k = subjects, len(subjects)
-        self.weights = np.array([0.5, 0.3, 0.2])
+        k = self.k
+        self.skew = skew if k > 2 else 0.5
+        self.thresholds = np.full(k, 0.05)
         words = sorted({w for _, w in counts})
         self.vocabulary = {w: n for n, w in enumerate(words, 2)}
-        m = self.k + 2
-        uni, seen = np.zeros((len(words) + 2, m)), []
+        m = k + 2
+        self.uni, seen = np.zeros((len(words) + 2, m), np.float32), []
         for (before, word), c in counts.items():
-            if before == "":
-                uni[self.vocabulary[word]] = c
-            else:
-                seen.append((self._code(self.vocabulary.get(before, BEGIN), self.vocabulary[word]), c))
+            self.uni[self.vocabulary[word]] += c
+            seen.append((self.vocabulary.get(before, BEGIN) << 32 | self.vocabulary[word], c))
         seen.sort(key=lambda x: x[0])
         self.codes = np.array([c for c, _ in seen], np.int64)
-        pairs = np.array([c for _, c in seen]) if seen else np.zeros((0, m))
-        # The background weighs all subjects alike, however many texts they have.
-        total = np.maximum(uni.sum(axis=0), 1.0)
-        self.background = (uni[:, : self.k] / total[: self.k]).mean(axis=1) + 0.5 / (len(uni) * max(1.0, total[: self.k].min()) ** 0.5 + 1)
-        self.uni = (uni / total).astype(np.float32)
-        context = np.zeros((len(words) + 2, m))
-        np.add.at(context, self.codes >> 32, pairs)
-        self.bi = (pairs / np.maximum(context[self.codes >> 32], 1.0)).astype(np.float32)
-        self.context = context > 0
-        self.bi_background = self.bi[:, : self.k].mean(axis=1)
-        self.has_context = self.context[:, : self.k].any(axis=1)
-
-    @staticmethod
-    def _code(before: int, word: int) -> int:
-        return before << 32 | word
+        self.bi = np.array([c for _, c in seen], np.float32) if seen else np.zeros((0, m), np.float32)
+        self.context = np.zeros((len(words) + 2, m), np.float32)
+        np.add.at(self.context, self.codes >> 32, self.bi)
+        self.total = np.maximum(self.uni.sum(axis=0), 1.0)
+        self.fit(300.0, 5.0)
+
+    def fit(self, mu_uni: float, mu_bi: float) -> None:
+        """Set the weights. The background weighs all subjects alike, however many texts they have."""
+        k = self.k
+        self.mu = mu_uni, mu_bi
+        live = self.total[:k] > 1.0
+        shares = self.uni[:, :k] / self.total[:k]
+        background = shares[:, live].mean(axis=1) if live.any() else shares.sum(axis=1)
+        self.background = (background + 0.5 / (len(self.uni) * max(2.0, float(self.total[:k].sum())))).astype(np.float32)
+        flat, flat_two = self._flat()
+        own = self.total / (self.total + mu_uni)
+        self.one = (own * self.uni / self.total + (1 - own) * self.background[:, None]).astype(np.float32)
+        self.one[flat, :k] = self.background[flat, None]
+        held = self.context / (self.context + mu_bi)
+        self.held = held.astype(np.float32)
+        before = self.codes >> 32
+        self.two = (held[before] * self.bi / np.maximum(self.context[before], 1.0)).astype(np.float32)
+        # The background's bigrams are those of the average subject.
+        self.held_b = held[:, :k].mean(axis=1).astype(np.float32)
+        self.two[flat_two, :k] = self.two[flat_two, :k].mean(axis=1, keepdims=True)
+        self.held[:, :k] = self.held_b[:, None]
+        self.two_b = self.two[:, :k].mean(axis=1)
+
+    def _flat(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pruning: words and bigrams of which no subject has most; they tell nothing, and the background is taken for all subjects."""
+        out = []
+        for counts in (self.uni, self.bi):
+            share = counts[:, : self.k] / self.total[: self.k] + 1e-12
+            out.append(share.max(axis=1) < self.skew * share.sum(axis=1))
+        return out[0], out[1]
 
     @property
     def nbytes(self) -> int:
-        return self.uni.nbytes + self.bi.nbytes + self.codes.nbytes + 100 * len(self.vocabulary)
+        return sum(a.nbytes for a in (self.uni, self.bi, self.codes, self.context, self.one, self.two, self.held)) + 100 * len(self.vocabulary)
 
     def ids(self, parts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word, word before, words per sentence) as ids."""
@@ -162,94 +167,54 @@ class NgramModels:
         before[np.concatenate(([0], np.cumsum(sizes)[:-1]))] = BEGIN
         return word, before, sizes
 
-    def parts_of(self, word: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Bigram and unigram probabilities of each label, and those of the background."""
+    def log_p(self, word: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ln P(word | before) of each label, and of the background."""
         code = before << 32 | word
         at = np.searchsorted(self.codes, code)
         at[at == len(self.codes)] = 0
-        known = self.codes[at] == code if len(self.codes) else np.zeros(len(code), bool)
-        two = np.zeros((len(word), self.k + 2), np.float32)
-        two_b = np.zeros(len(word), np.float32)
-        if known.any():
-            two[known], two_b[known] = self.bi[at[known]], self.bi_background[at[known]]
-        return two, self.uni[word], two_b, self.background[word].astype(np.float32)
-
-    def log_ratios(self, word: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """ln P(word | before) of each label less that of the background; 0 for words that no model knows."""
-        two, one, two_b, one_b = self.parts_of(word, before)
-        l2, l1, l0 = self.weights
-        p = l2 * two + l1 * one + l0 * one_b[:, None]
-        ratio = np.log(p) - np.log(l2 * two_b + (l1 + l0) * one_b)[:, None]
-        ratio[word == OTHER] = 0
-        return ratio
+        known = np.flatnonzero(self.codes[at] == code) if len(self.codes) else np.zeros(0, np.int64)
+        p = (1 - self.held[before]) * self.one[word]
+        b = (1 - self.held_b[before]) * self.background[word]
+        p[known] += self.two[at[known]]
+        b[known] += self.two_b[at[known]]
+        return np.log(np.maximum(p, 1e-12)), np.log(np.maximum(b, 1e-12))
 
     def gains(self, parts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Gain per token of each subject over the background, and nats by which a sentence is rather one in passing."""
         word, before, sizes = self.ids(parts)
-        sums = _segment_sums(self.log_ratios(word, before), sizes)
+        p, b = self.log_p(word, before)
+        ratio = p - b[:, None]
+        ratio[word == OTHER] = 0  # words that no model knows
+        sums = _segment_sums(ratio, sizes)
         return sums[:, : self.k] / sizes[:, None], sums[:, self.k] - sums[:, self.k + 1]
 
-    def fit_weights(self, labelled: list[tuple[int, list[str]]], rounds: int = 8) -> None:
-        """Interpolation weights by expectation maximisation on labelled sentences that the counts don't contain."""
+    def fit_weights(self, labelled: list[tuple[int, list[str]]]) -> None:
+        """The weights under which labelled sentences that the counts don't contain are most probable."""
         word, before, sizes = self.ids([w for _, w in labelled])
         label = np.repeat([n for n, _ in labelled], sizes)
-        two, one, _, one_b = self.parts_of(word, before)
-        at = np.arange(len(word))
-        p = np.stack([two[at, label], one[at, label], one_b], axis=1)[word != OTHER]
-        for _ in range(rounds):
-            share = p * self.weights
-            share /= np.maximum(share.sum(axis=1, keepdims=True), 1e-30)
-            self.weights = np.maximum(share.mean(axis=0), 0.02)
-            self.weights /= self.weights.sum()
+        here = np.flatnonzero(word != OTHER)
 
+        def likelihood(mu: tuple[float, float]) -> float:
+            self.fit(*mu)
+            return float(self.log_p(word, before)[0][here, label[here]].sum())
 
-class SubjectModels:
-    """The models of all languages, and the thresholds of the subjects."""
+        self.fit(*max(((u, v) for u in (100.0, 300.0, 1_000.0) for v in (5.0, 20.0, 80.0)), key=likelihood))
 
-    def __init__(self, subjects: list[str], counts: dict[tuple[int, str, str], np.ndarray]):
-        self.subjects, self.k = subjects, len(subjects)
-        self.thresholds = np.full(self.k, 0.05)
-        by: dict[int, dict[tuple[str, str], np.ndarray]] = {}
-        for (lang, before, word), c in counts.items():
-            own = by.setdefault(lang, {})
-            own[before, word] = c
-            own["", word] = own.get(("", word), 0) + c
-        self.models = {lang: NgramModels(subjects, own) for lang, own in by.items()}
-
-    @property
-    def nbytes(self) -> int:
-        return sum(m.nbytes for m in self.models.values())
-
-    def gains(self, parts: list[list[str]], langs: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        gain, aside = np.zeros((len(parts), self.k)), np.zeros(len(parts))
-        by = np.array(langs)
-        for lang, model in self.models.items():
-            at = np.flatnonzero(by == lang)
-            if len(at):
-                gain[at], aside[at] = model.gains([parts[i] for i in at])
-        return gain, aside
-
-    def fit_weights(self, labelled: list[tuple[int, int, list[str]]]) -> None:
-        for lang, model in self.models.items():
-            own = [(n, w) for n, x, w in labelled if x == lang]
-            if own:
-                model.fit_weights(own)
-
-    def calibrate(self, labelled: list[tuple[int, int, list[str]]]) -> None:
+    def calibrate(self, labelled: list[tuple[int, list[str]]]) -> None:
         """Each subject's threshold: the gain above which most labelled sentences are right, less those that are wrong."""
-        gain, _ = self.gains([w for _, _, w in labelled], [x for _, x, _ in labelled])
-        label = np.array([n for n, _, _ in labelled])
+        gain, _ = self.gains([w for _, w in labelled])
+        label = np.array([n for n, _ in labelled])
         best, top = gain.argmax(axis=1), gain.max(axis=1)
         for s in range(self.k):
             mine = best == s
             order = np.argsort(-top[mine], kind="stable")
-            right = np.cumsum(np.where(label[mine][order] == s, 1, -2))
+            right = np.cumsum(np.where(label[mine][order] == s, 1, -1))
             if len(right):
                 self.thresholds[s] = max(0.02, top[mine][order][: int(right.argmax()) + 1].min() if right.max() > 0 else top[mine].max())
 
-    def subjects_of(self, parts: list[list[str]], langs: list[int], passing: float | None) -> list[list[int]]:
+    def subjects_of(self, parts: list[list[str]], passing: float | None) -> list[list[int]]:
         """Subjects of each sentence, the best first."""
-        gain, aside = self.gains(parts, langs)
+        gain, aside = self.gains(parts)
         ok = gain >= self.thresholds
         if passing is not None:
             ok &= (aside <= passing)[:, None]
@@ -263,15 +228,15 @@ class SubjectModels:
         return out
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[list[tuple[int | None, list[tuple[int, int, list[str]]]]]]:
-    """Documents as (id, sentences with their languages), so many characters at a time."""
+def _chunks(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[list[tuple[int | None, list[tuple[int, list[str]]]]]]:
+    """Documents as (id, sentences), so many characters at a time."""
     held, size = [], 0
     for batch in batches:
         ids = batch.column("doc_id").to_pylist() if "doc_id" in batch.schema.names else [None] * batch.num_rows
         for d, text in zip(ids, batch.column("text").to_pylist()):
             parts = sentences(text)
             if parts:
-                held.append((d, [(n, x, w) for (n, w), x in zip(parts, languages([w for _, w in parts]))]))
+                held.append((d, parts))
                 size += len(text)
             if size >= chunk:
                 yield held
@@ -280,35 +245,34 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[list[tupl
         yield held
 
 
-def _labelled(docs: list, models: SubjectModels, passing: float | None) -> Iterator[tuple[int | None, list[tuple[int, int, list[str]]], list[list[int]], dict[int, float]]]:
+def _labelled(docs: list, models: NgramModels, passing: float | None) -> Iterator[tuple[int | None, list[tuple[int, list[str]]], list[list[int]], dict[int, float]]]:
     """(id, sentences, subjects of each, characters of each subject) of documents that are scored together."""
-    found = iter(models.subjects_of([w for _, parts in docs for _, _, w in parts], [x for _, parts in docs for _, x, _ in parts], passing))
+    found = iter(models.subjects_of([w for _, parts in docs for _, w in parts], passing))
     for d, parts in docs:
         own = [next(found) for _ in parts]
         size: dict[int, float] = {}
-        for (n, _, _), named in zip(parts, own):
+        for (n, _), named in zip(parts, own):
             for s in named:
                 size[s] = size.get(s, 0) + n / len(named)
         yield d, parts, own, size
 
 
-def train(documents: DataFrame, text_col: str, examples: DataFrame, subject_col: str, example_col: str, settings: Settings = Settings()) -> SubjectModels | None:
+def train(documents: DataFrame, text_col: str, examples: DataFrame, subject_col: str, example_col: str, settings: Settings = Settings()) -> NgramModels | None:
     spark = documents.sparkSession
     rows = examples.select(F.col(subject_col).alias("s"), F.col(example_col).alias("t")).where("s IS NOT NULL AND t IS NOT NULL").orderBy(F.xxhash64("t")).limit(settings.max_examples).collect()
     subjects = sorted({r.s for r in rows})
     if not subjects:
         return None
     k = len(subjects)
-    labelled = [(subjects.index(r.s), x, w) for r in rows for parts in [[w for _, w in sentences(r.t)]] for x, w in zip(languages(parts), parts)]
+    labelled = [(subjects.index(r.s), w) for r in rows for _, w in sentences(r.t)]
     if not labelled:
         return None
-    seed: dict[tuple[int, str, str], np.ndarray] = {}
-    for label, x, w in labelled:
-        for before, word in zip(("^", *w), w):
-            seed.setdefault((x, before, word), np.zeros(k + 2))[label] += 1
-    models = SubjectModels(subjects, seed)
-    gain, _ = models.gains([w for _, _, w in labelled], [x for _, x, _ in labelled])
-    models.thresholds[:] = 0.5 * float(np.median(gain[np.arange(len(labelled)), [n for n, _, _ in labelled]]))
+    seed: dict[tuple[str, str], np.ndarray] = {}
+    for label, w in labelled:
+        for pair in zip(("^", *w), w):
+            seed.setdefault(pair, np.zeros(k + 2))[label] += 1
+    models = NgramModels(subjects, seed)
+    models.thresholds[:] = settings.seed_gain
     texts = documents.select(F.col(text_col).alias("text")).where(F.col("text").rlike(r"\S"))
 
     for n in range(settings.rounds):
@@ -320,14 +284,14 @@ def train(documents: DataFrame, text_col: str, examples: DataFrame, subject_col:
             tallies = [Counter() for _ in range(k + 2)]
 
             def flush() -> pa.RecordBatch:
-                keys = [(x, b, w, s, c) for s, t in enumerate(tallies) for (x, b, w), c in t.items()]
+                keys = [(b, w, s, c) for s, t in enumerate(tallies) for (b, w), c in t.items()]
                 for t in tallies:
                     t.clear()
-                kinds = (pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int64())
-                return pa.RecordBatch.from_arrays([pa.array([x[i] for x in keys], kind) for i, kind in enumerate(kinds)], names=["lang", "before", "word", "label", "n"])
+                kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
+                return pa.RecordBatch.from_arrays([pa.array([x[i] for x in keys], kind) for i, kind in enumerate(kinds)], names=["before", "word", "label", "n"])
 
-            def add(label: int, lang: int, words: list[str]) -> None:
-                tallies[label].update(zip(repeat(lang), ("^", *words), words))
+            def add(label: int, words: list[str]) -> None:
+                tallies[label].update(zip(("^", *words), words))
 
             for docs in _chunks(batches, settings.chunk):
                 for _, parts, own, size in _labelled(docs, model, passing):
@@ -337,35 +301,35 @@ def train(documents: DataFrame, text_col: str, examples: DataFrame, subject_col:
                     main = max(size, key=lambda s: (size[s], -s))
                     pure = size[main] >= settings.pure * whole
                     if pure:
-                        for _, x, w in parts:
-                            add(main, x, w)
+                        for _, w in parts:
+                            add(main, w)
                     if pure or passing is None:  # a seed model takes remarks in passing for a second subject, so these texts teach what such remarks look like
                         alone = Counter(s for named in own for s in named)
-                        for (_, x, w), named in zip(parts, own):
+                        for (_, w), named in zip(parts, own):
                             if named:
-                                add(k if named[0] != main and alone[named[0]] == 1 else k + 1, x, w)
+                                add(k if named[0] != main and alone[named[0]] == 1 else k + 1, w)
                 if sum(map(len, tallies)) > 400_000:
                     yield flush()
             yield flush()
 
-        gram = ("lang", "before", "word")
-        counted = texts.mapInArrow(count, "lang int, before string, word string, label int, n long").groupBy(*gram, "label").agg(F.sum("n").alias("n"))
+        gram = ("before", "word")
+        counted = texts.mapInArrow(count, "before string, word string, label int, n long").groupBy(*gram, "label").agg(F.sum("n").alias("n"))
         by_gram = cut_lineage(counted.groupBy(*gram).agg(F.collect_list(F.struct("label", "n")).alias("by"), F.sum("n").alias("n")))  # at most one entry per label
         whole = by_gram.agg(F.sum("n")).first()[0] or 0
         least = max(2, math.ceil(settings.fraction * whole))
-        counts: dict[tuple[int, str, str], np.ndarray] = {}
-        learnt: dict[int, np.ndarray] = {}
+        counts: dict[tuple[str, str], np.ndarray] = {}
         for r in by_gram.where(F.col("n") >= least).toLocalIterator():  # bounded: at most 1 / fraction rows
-            c = counts.setdefault((r.lang, r.before, r.word), np.zeros(k + 2))
+            c = counts.setdefault((r.before, r.word), np.zeros(k + 2))
             for b in r.by:
                 c[b.label] += b.n
-            learnt[r.lang] = learnt.get(r.lang, 0) + c[:k]
-        for (x, before, word), c in seed.items():
-            if np.min(learnt.get(x, 0)) < settings.few:  # a language with too few texts to learn from alone
-                counts[x, before, word] = counts.get((x, before, word), 0) + c
-        models = SubjectModels(subjects, counts)
-        models.fit_weights(labelled)
-        models.calibrate(labelled)
+        few = not counts or sum(c[:k] for c in counts.values()).min() < settings.few
+        if few:  # too few documents of a subject to learn from alone
+            for pair, c in seed.items():
+                counts[pair] = counts.get(pair, 0) + c
+        models = NgramModels(subjects, counts)
+        if not few:
+            models.fit_weights(labelled)
+            models.calibrate(labelled)
         if models.nbytes > settings.max_model_mb << 20:
             raise ValueError("the models outgrow max_model_mb; raise Settings.fraction")
     return models
