@@ -4,10 +4,13 @@ Method: fields are unpivoted to long rows, each row votes for its normalised
 value with the trust of its source times a decay by age, votes are summed per
 value, the winner of each field is chosen with max_by, and the winners are
 pivoted back to one surviving record.  Values that only fill a gap (place
-holders, site notices, landing pages, impossible counts) get no vote, and values
+holders, publishers' notices, landing pages, impossible counts) get no vote, and values
 cut short vote only where no complete value exists.  The half life is short, so
 the newest genuine value wins and older equal values and trust break near ties.
 
+A notice is told by evidence: it has hardly a word of its record's title, and every
+sentence of it stands in the abstracts of several other authors too.
+
 Everything is aggregation with map-side combining on (group, field, value) and
 then (group, field): a group of any size never meets in one task.
 
@@ -29,11 +32,6 @@ FIELDS = ("citations", "venue", "pdf_url", "abstract")
 # What stands in a venue field in place of a venue.
 NO_VENUE = ["", "-", "?", "n/a", "na", "none", "null", "tbd", "tba", "unknown", "untitled", "arxiv", "arxiv (preprint)", "corr", "preprint", "preprint server", "未取得"]
 NOT_YET = r"^(submitted to|under review|in preparation|manuscript)\b"
-# Phrases of publishers' pages that get stored as abstracts.
-NOTICE = (
-    "through your institution|sign in or contact|limited preview of this item|could not be supplied|small files that remember"
-    "|service is maintained on|export the reference, or set|appear below after login|rights of the respective owners"
-)
 NO_ABSTRACT = r"^(n/?a|tba|tbd|none|null|-+|see pdf|abstract[.:]?|(no abstract|abstract not|keine kurzfassung|kein abstract|pas de résumé|résumé non).*|要旨なし)$"
 CUT_MARK = r"(…|\.\.\.?|\[\s*\.*\s*\]|\[…\]|\(more\))\s*$"
 MAX_CITATIONS = 1_000_000
@@ -70,7 +68,7 @@ def genuine(name: str, value: Column, title: Column) -> Column:
     body = F.trim(F.regexp_replace(plain, r"(?i)^abstract\s*[.:]\s*", ""))
     sentence = F.length(body) >= F.when(body.rlike(r"[぀-ヿ一-鿿]"), 12).otherwise(30)
     ended = body.rlike(r"[.!?。！？][\"'”’)\]]*$") & ~body.rlike(CUT_MARK) & (F.coalesce(value, F.lit("")).rlike(r"\S$"))
-    fake = ~sentence | F.lower(body).rlike(NO_ABSTRACT) | body.rlike(f"(?i)({NOTICE})") | (_letters(body) == _letters(title))
+    fake = ~sentence | F.lower(body).rlike(NO_ABSTRACT) | (_letters(body) == _letters(title))
     return F.when(fake, 0).when(ended, 2).otherwise(0)
 
 
@@ -78,6 +76,30 @@ def _normal(name: str, value: Column) -> Column:
     return value.cast("string") if name == "citations" else F.lower(_plain(value))
 
 
+def notices(records: DataFrame, suspects: DataFrame, authors: int = 3) -> DataFrame:
+    """(rec_id) of abstracts that are a publisher's notices: each of their sentences stands in texts of several other authors.
+
+    ``suspects``: (rec_id, abstract) of texts that have hardly a word of their title. Sentences are counted over all records.
+    """
+
+    def sentences(df: DataFrame, *keep: str) -> DataFrame:
+        own = F.transform(F.split(_plain(F.col("abstract")), r"(?<=[.!?])\s+"), lambda x: F.xxhash64(_letters(x)))
+        return df.select(*keep, F.explode(F.array_distinct(own)).alias("sentence"))
+
+    asked = sentences(suspects, "rec_id")
+    author = F.xxhash64(_letters(F.coalesce(F.get("authors", F.lit(0)), F.col("title"))))
+    seen = sentences(records.where("abstract IS NOT NULL").select(author.alias("author"), "abstract"), "author").join(asked.select("sentence").distinct(), "sentence", "left_semi")
+    common = seen.distinct().groupBy("sentence").agg(F.count("*").alias("n")).where(F.col("n") >= authors)
+    return asked.join(common, "sentence", "left").groupBy("rec_id").agg(F.bool_and(F.col("n").isNotNull()).alias("all")).where("all").select("rec_id")
+
+
+def _has_title_words() -> Column:
+    """Whether the abstract has two longer words of its title, as one may be met by chance; texts written without blanks count as having them."""
+    words = F.filter(F.split(F.lower(F.coalesce("title", F.lit(""))), r"[^\p{L}]+"), lambda w: F.length(w) >= 5)
+    low = F.lower("abstract")
+    return (F.size(F.filter(words, lambda w: F.contains(low, w))) >= 2) | F.col("abstract").rlike(r"[぀-ヿ一-鿿]")
+
+
 def votes(groups: DataFrame, records: DataFrame, policy: Policy = Policy()) -> DataFrame:
     """Long rows (group_id, field_name, norm, level, rec_id, fetched_at, trust) of all real values."""
     members = groups.select(F.col("group_id").cast("long"), F.col("rec_id").cast("long")).where("group_id IS NOT NULL AND rec_id IS NOT NULL").distinct()
@@ -95,9 +117,12 @@ def votes(groups: DataFrame, records: DataFrame, policy: Policy = Policy()) -> D
         )
     )
     # The texts are looked at after the join: only members of groups pay for it, and the generator keeps each test from running twice.
+    members_of = records.select(F.col("rec_id").cast("long").alias("rec_id"), "title", F.col("abstract"))
+    suspects = members_of.where("length(abstract) >= 30").where(~_has_title_words()).join(members.select("rec_id").distinct(), "rec_id", "left_semi").select("rec_id", "abstract")
+    fake = notices(records, suspects).withColumn("field_name", F.lit("abstract"))
     plain = records.select(F.col("rec_id").cast("long").alias("rec_id"), F.col("fetched_at").cast("timestamp").alias("fetched_at"), trust.alias("trust"), "title", *FIELDS)
     joined = members.join(plain, "rec_id").select("group_id", "rec_id", "fetched_at", "trust", F.explode(unpivoted).alias("v"))
-    return joined.select("group_id", "rec_id", "fetched_at", "trust", "v.*").where("level > 0")
+    return joined.select("group_id", "rec_id", "fetched_at", "trust", "v.*").where("level > 0").join(fake, ["rec_id", "field_name"], "left_anti")
 
 
 def winners(groups: DataFrame, records: DataFrame, policy: Policy = Policy()) -> DataFrame:
