@@ -36,6 +36,7 @@ SMALL = set("the a an of for in on with using under and to from given by at de l
 ROMAN = re.compile(r"^(i{2,3}|iv|vi{0,3}|ix|x)$")
 CUT = re.compile(r"(…|\.\.\.|\[\s*\.*\s*\])[\s\W]*$")
 PIECE = re.compile(r"[ァ-ヿ]+|[ぁ-ゟ]+|[一-鿿々]+|[^\W_ぁ-ヿ一-鿿々]+")
+PLAIN_PIECE = re.compile(r"[a-z0-9]+")
 HIRAGANA = re.compile(r"^[ぁ-ゟ]+$")
 
 FEATURES = T.StructType(
@@ -67,15 +68,17 @@ def _small(word: str) -> bool:
 
 def title_features(title: str | None) -> tuple[str, str, list[int], list[str], str, bool, bool]:
     text = fold(HYPHEN_BREAK.sub("", title)) if title else ""
-    cut = bool(CUT.search(text))
-    text = LABEL.sub(" ", text)
+    cut = ("…" in text or ".." in text or "]" in text) and bool(CUT.search(text))
+    if "(" in text or "[" in text or "technical report" in text or "extended abstract" in text:
+        text = LABEL.sub(" ", text)
     tokens: list[str] = []
     breaks: list[int] = []
     at, last = 0, 0
-    for m in PIECE.finditer(text):
+    for m in (PLAIN_PIECE if text.isascii() else PIECE).finditer(text):
         w = m[0]
-        gap, last = text[last : m.start()], m.end()
-        if STRONG_BREAK.search(gap):
+        begin, end = m.span()
+        gap, last = text[last:begin], end
+        if gap != " " and gap and STRONG_BREAK.search(gap):
             breaks.append(at)
         if _small(w):
             continue
