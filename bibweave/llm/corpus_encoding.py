@@ -1,14 +1,16 @@
 """Problem 6: encoding a corpus with a public tokenizer, and decoding it again.
 
-Method: overlapping chunks.  A long text is cut into chunks that overlap; the
-chunks are pre-tokenised in parallel; two neighbours are stitched at the first
-pre-token boundary that both found inside their overlap (from there on their
-boundaries are the same, because a pre-token depends only on the text from its
-start on); then the pieces between the stitches are encoded in parallel and the
-ids put together again.  A text whose neighbours never resynchronise (a run
-without any boundary longer than the overlap) is encoded in one piece, so the
-ids are always those of the whole text.  Decoding concatenates the raw bytes of
-the tokens before it decodes them, so characters split over tokens survive.
+Method: overlapping chunks.  A text longer than a chunk is cut into chunks that
+overlap, which are encoded on their own; two neighbours are stitched at the first
+place in their overlap where both begin a pre-token with the same bytes (from
+there on they agree, because a pre-token depends only on the text from its start
+on).  A text whose neighbours never resynchronise (a run without any boundary
+longer than the overlap) is encoded in one piece, so the ids are always those of
+the whole text.  Chunks of a text stay in its task, and nothing is shuffled.
+Giant texts, longer than ``spread``, are cut into parts of that size that other
+tasks pre-tokenise, stitch in the same way, and encode.  Decoding concatenates
+the raw bytes of the tokens before it decodes them, so characters split over
+tokens survive.
 
 Defined results: null and empty texts give an empty list; strings that look like
 special tokens are ordinary text; rows that occur twice come out twice; other
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
-CHUNK, OVERLAP = 32_768, 1_024
+CHUNK, OVERLAP, SPREAD = 1_024, 128, 262_144
 IDS = T.ArrayType(T.IntegerType())
 
 _loaded: dict[str, object] = {}
@@ -53,26 +55,65 @@ def _encode(texts: list[str], path: str) -> list[list[int]]:
     return [e.ids for e in tokenizer(path).encode_batch(texts, add_special_tokens=False)]
 
 
-def encode(documents: DataFrame, id_col: str, text_col: str, path: str = DEFAULT_TOKENIZER, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+def _marks(piece: str, path: str, final: bool, chunk: int, overlap: int) -> tuple[list[int], list[int]]:
+    """Boundaries of a chunk's pre-tokens: those in the overlap with the chunk before, and those in the overlap with the next, as offsets into that."""
+    found = [span[0] for _, span in tokenizer(path).pre_tokenizer.pre_tokenize_str(piece)]
+    if not final:
+        found = found[:-2]  # these may be cut by the end of the chunk, or by what a look-ahead couldn't see
+    # A piece must not end in white space: what its last run of spaces becomes depends on the text behind it.
+    return [a for a in found if a < overlap], [a - chunk for a in found if a >= chunk and not piece[a - 1].isspace()]
+
+
+def stitched(chunks: list, chunk: int, overlap: int) -> list[int] | None:
+    """Ids of a text from the encodings of its overlapping chunks; None if two neighbours don't resynchronise."""
+    out: list[int] = []
+    begin, ids = 0, chunks[0].ids
+    for one, two in zip(chunks, chunks[1:]):
+        following = two.ids
+        safe = (one.token_to_word(len(ids) - 1) or 0) - 2  # the last pre-tokens may be cut by the end of the chunk, or by what a look-ahead couldn't see
+        for at in range(1, overlap):
+            s, t = one.char_to_token(chunk + at), two.char_to_token(at)
+            if s is None or not t or ids[s] != following[t] or one.token_to_chars(s)[0] != chunk + at or two.token_to_chars(t)[0] != at:
+                continue
+            word = one.token_to_word(s)
+            if word <= safe and word != one.token_to_word(s - 1) and two.token_to_word(t) != two.token_to_word(t - 1):
+                break  # both begin a pre-token here, with the same bytes
+        else:
+            return None
+        out += ids[begin:s]
+        begin, ids = t, following
+    return out + ids[begin:]
+
+
+def encode_texts(texts: list[str], path: str, chunk: int, overlap: int) -> list[list[int]]:
+    """Ids of texts, those longer than a chunk by their chunks."""
+    cut = [[t[i : i + chunk + overlap] for i in range(0, len(t), chunk)] if len(t) > chunk else [t] for t in texts]
+    encoded = iter(tokenizer(path).encode_batch([p for parts in cut for p in parts], add_special_tokens=False))
+    out: list[list[int] | None] = []
+    for parts in cut:
+        own = [next(encoded) for _ in parts]
+        out.append(own[0].ids if len(own) == 1 else stitched(own, chunk, overlap))
+    again = [n for n, ids in enumerate(out) if ids is None]
+    for n, ids in zip(again, _encode([texts[n] for n in again], path)):
+        out[n] = ids
+    return out
+
+
+def encode(documents: DataFrame, id_col: str, text_col: str, path: str = DEFAULT_TOKENIZER, chunk: int = CHUNK, overlap: int = OVERLAP, spread: int = SPREAD) -> DataFrame:
     """(id, ids): the token ids of every text."""
-    if overlap >= chunk:
-        raise ValueError("the overlap must be shorter than a chunk")
+    if overlap >= chunk or spread < chunk:
+        raise ValueError("the overlap must be shorter than a chunk, and a chunk no longer than what is spread")
+    inner, chunk = chunk, spread
 
     @F.pandas_udf(IDS)
     def encode_whole(texts: pd.Series) -> pd.Series:
-        return pd.Series(_encode(["" if t is None else t for t in texts], path))
+        return pd.Series(encode_texts(["" if t is None else t for t in texts], path, inner, overlap))
 
     spans = T.StructType([T.StructField("head", IDS), T.StructField("tail", IDS)])
 
     @F.pandas_udf(spans)
     def boundaries(texts: pd.Series, last: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t, final in zip(texts, last):
-            found = [span[0] for _, span in tokenizer(path).pre_tokenizer.pre_tokenize_str(t)]
-            if not final:
-                found = found[:-2]  # these may be cut by the end of the chunk, or by what a look-ahead couldn't see
-            # A piece must not end in white space: what its last run of spaces becomes depends on the text behind it.
-            rows.append(([a for a in found if a < overlap], [a - chunk for a in found if a >= chunk and not t[a - 1].isspace()]))
+        rows = [_marks(t, path, final, chunk, overlap) for t, final in zip(texts, last)]
         return pd.DataFrame(rows, columns=["head", "tail"])
 
     texts = documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("n", F.length("text"))

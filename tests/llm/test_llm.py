@@ -213,11 +213,11 @@ def test_identifier_of_a_work_with_many_copies(spark):
 TEXTS = [None, "", " ", "plain words here", "a <|endoftext|> b", "日本語のテキスト 😀 é", "line\n\n  two\t\ttabs   \n", "x" * 500, "don't we'll 's 123 " * 60, "a b " * 300 + "\n" * 90 + "end"]
 
 
-@pytest.mark.parametrize("chunk,overlap", [(64, 24), (100, 40), (32_768, 1_024)])
-def test_encoding_is_that_of_the_whole_text(spark, chunk, overlap):
+@pytest.mark.parametrize("chunk,overlap,spread", [(64, 24, 10**6), (100, 40, 100), (64, 24, 200), (32_768, 1_024, 32_768)])
+def test_encoding_is_that_of_the_whole_text(spark, chunk, overlap, spread):
     loaded = corpus_encoding.tokenizer(corpus_encoding.DEFAULT_TOKENIZER)
     df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").withColumn("n", F.lit(1))
-    got = corpus_encoding.encode(df, "doc_id", "text", chunk=chunk, overlap=overlap)
+    got = corpus_encoding.encode(df, "doc_id", "text", chunk=chunk, overlap=overlap, spread=spread)
     ids = {r.id: list(r.ids) for r in got.collect()}
     assert ids == {n: loaded.encode(t or "", add_special_tokens=False).ids for n, t in enumerate(TEXTS)}
     back = {r.id: r.text for r in corpus_encoding.decode(got, "id", "ids").collect()}
