@@ -9,8 +9,7 @@ same place.  What names no entry is reported with id 0.
 Only distinct values are scored, so a venue of a third of all rows is scored
 once; ids come back by a join on the value, whose hot keys are spread by a salt
 that the small side is copied over.  The reference list is fixed; its index goes
-to the tasks behind a check of its size and is otherwise joined as a table of
-postings.
+to the tasks behind a check of its size, and a larger list is refused.
 
 Defined results: null and white-space values have no row; an empty list maps
 everything to 0; ties within the margin go to the name that more rows spell out
@@ -171,7 +170,8 @@ class VenueIndex:
                 scores[at] += weight * w
         scores /= math.sqrt(norm)
         words = _spell(text, self.vocabulary)
-        near = [k for k in np.argsort(-scores, kind="stable")[:8] if scores[k] >= self.rule.threshold]
+        met = np.flatnonzero(scores >= self.rule.threshold)
+        near = met[np.argsort(-scores[met], kind="stable")].tolist()
         order: list[int] = []
         for k in near:
             if order and scores[k] < scores[order[0]] - self.rule.margin:
@@ -195,7 +195,9 @@ def map_values(records: DataFrame, reference: DataFrame, id_col: str, value_col:
     held = spark.sparkContext.broadcast(index)
 
     values = records.select(F.col(id_col).cast("long").alias("id"), F.col(value_col).alias("value")).where(F.col("value").rlike(r"(?U)\S"))
-    distinct = values.groupBy("value").agg(F.count("*").alias("n"))
+    # Scoring is the costly step: a fixed number of partitions keeps it spread, however few bytes the values have.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    distinct = values.groupBy("value").agg(F.count("*").alias("n")).repartition(tasks, "value")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
