@@ -53,13 +53,12 @@ def candidates(anchors: DataFrame) -> DataFrame:
 
 def cascade(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(edges with their rule, roots of all resolved nodes) of featurised records."""
-    anchors = cut_lineage(anchored(records))
     by_ident = cut_lineage(identifier_edges(identified(records)))
-    resolved = components(by_ident)
-    titles = cut_lineage(titles_of(anchors).join(resolved, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    pairs = cut_lineage(candidates(anchors))
-    checked = cut_lineage(check_pairs(pairs, titles, "rule"))
-    drop_cut(anchors, pairs)
+    titles = cut_lineage(titles_of(records))
+    anchors = cut_lineage(anchored(records, titles))
+    placed = titles.join(components(by_ident), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    checked = cut_lineage(check_pairs(candidates(anchors), placed, "rule"))
+    drop_cut(anchors)
     cut_here = cut_lineage(natural_endings(checked, titles).withColumn("ends", F.lit(True)))
     checked = cut_lineage(
         checked.join(cut_here, "rest", "left")
@@ -68,7 +67,7 @@ def cascade(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     edges = by_ident.withColumn("rule", F.lit(2)).unionByName(checked.where(F.col("level") == SAME).select("a", "b", "rule"))
     roots = components(edges)
-    attached = ways(checked, roots, titles.drop("root"))
+    attached = ways(checked, roots, titles)
     whole = components(edges.select("a", "b").union(attached))
     return edges, whole
 

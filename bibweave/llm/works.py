@@ -176,15 +176,15 @@ def featurise(records: DataFrame, id_col: str, title: str, authors: str, publish
 TITLE = ("letters", "breaks", "starts", "marks", "cut")
 
 
-def anchored(records: DataFrame) -> DataFrame:
-    """One row per title that names a work and pair of author anchors: the first name, and the least (lists get reordered, and cut at the end)."""
+def titles_of(records: DataFrame) -> DataFrame:
+    """One row per node that names a work: its title, and the years of its records."""
     titles = F.min_by(F.struct(*TITLE), "id").alias("t")
-    return records.where("names_work").groupBy("node", "first", "least").agg(titles, F.min("year").alias("from"), F.max("year").alias("to")).select("node", "first", "least", "from", "to", "t.*")
+    return records.where("names_work").groupBy("node").agg(titles, F.min("year").alias("from"), F.max("year").alias("to")).select("node", "from", "to", "t.*")
 
 
-def titles_of(anchors: DataFrame) -> DataFrame:
-    """One row per node, with the years of its records."""
-    return anchors.groupBy("node").agg(F.min_by(F.struct(*TITLE), F.struct("first", "least")).alias("t"), F.min("from").alias("from"), F.max("to").alias("to")).select("node", "from", "to", "t.*")
+def anchored(records: DataFrame, titles: DataFrame) -> DataFrame:
+    """Titles with each pair of author anchors of their records: the first name, and the least (lists get reordered, and cut at the end)."""
+    return records.where("names_work").select("node", "first", "least").distinct().join(titles.select("node", "letters", "breaks", "cut"), "node")
 
 
 def identified(records: DataFrame) -> DataFrame:
