@@ -51,27 +51,36 @@ def signatures(titles: list[str], length: int = LENGTH, trees: int = TREES) -> n
     return out
 
 
+KEY_BITS = 48  # keys only bring candidates together, which are then compared, so short ones, that take less room in a shuffle, will do
+
+
 def mixed(*parts: np.ndarray | int) -> np.ndarray:
-    """A 64-bit key of whole numbers."""
+    """A key of whole numbers."""
     key = np.full(1, 0x243F6A8885A308D3, np.uint64)  # arrays wrap around silently
     for p in parts:
         key = (key ^ np.asarray(p).astype(np.int64).astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         key = key ^ key >> np.uint64(29)
-    return key.astype(np.int64)
+    return (key >> np.uint64(64 - KEY_BITS)).astype(np.int64)
 
 
 def text_key(*parts: object) -> int:
     return xxhash.xxh64_intdigest("\x1f".join(map(str, parts)).encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+def short_key(*parts: object) -> int:
+    return text_key(*parts) + (1 << 63) >> (64 - KEY_BITS)
+
+
 def _pieces(letters: str, at: int, shift: int = 0) -> list[tuple[int, str]]:
-    """The first letters, twice as many, and those behind the first, of a title read from a place."""
+    """(kind, letters) of a title read from a place: 1 the first letters, 2 twice as many, 3 twice as many and 4 as many behind the first."""
     s = letters[at:] + letters[:at] if at else letters
     u = START // 2 if CJK.search(s[: 2 * START]) else START
     out = [(1, s[:u])] if len(s) >= u else []
     if len(s) >= 2 * u:
         out.append((2, s[: 2 * u]))
-    if len(s) >= 3 * u + 1:
+        if len(s) > 2 * u:
+            out.append((4, s[u + shift : 2 * u + shift]))
+    if len(s) > 3 * u:
         out.append((3, s[u + shift : 3 * u + shift]))
     return out
 
@@ -81,24 +90,21 @@ def start_keys(letters: str, breaks: list[int], name: int) -> list[tuple[int, in
     found = []
     for at in (0, *breaks):
         for kind, piece in _pieces(letters, at):
-            if name:
-                found.append((text_key(kind, piece, name), NAMED))
-            found.append((text_key(kind, piece), BARE if name else NAMELESS))
+            if name and kind < 4:
+                found.append((short_key(kind, piece, name), NAMED))
+            if kind in (1, 4):
+                found.append((short_key(kind, piece), BARE if name else NAMELESS))
     return found
 
 
 def start_probes(letters: str, cut: bool, name: int) -> list[tuple[int, int]]:
     """(key, role) with which a title looks for those it is the start of. Slips shift what stands behind them."""
     pieces = _pieces(letters, 0)
-    if cut:
-        asked = [p for p in pieces if p[0] != 1 or len(pieces) < 3]
-        asked += [p for d in (-1, 1) for p in _pieces(letters, 0, d) if p[0] == 3]
-    else:
-        asked = [p for p in pieces if p[0] == 2]
-    found = [(text_key(kind, piece, name), NAMED) for kind, piece in asked] if name else []
-    if cut or not name:
-        found += [(text_key(kind, piece), BARE if name else NAMELESS) for kind, piece in asked]
-    return found
+    if not cut:
+        return [(short_key(kind, piece, name), NAMED) for kind, piece in pieces if kind == 2] if name else []
+    shifted = [p for d in (-1, 1) for p in _pieces(letters, 0, d) if p[0] > 2]
+    found = [(short_key(kind, piece, name), NAMED) for kind, piece in pieces + shifted if kind < 4 and (kind > 1 or len(pieces) < 4)] if name else []
+    return found + [(short_key(kind, piece), BARE if name else NAMELESS) for kind, piece in pieces + shifted if kind in (1, 4)]
 
 
 def _flat(rows: list[tuple[int, int, int]], more: list[tuple[np.ndarray, np.ndarray, int]]) -> pa.RecordBatch:

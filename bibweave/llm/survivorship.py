@@ -87,7 +87,8 @@ def notices(records: DataFrame, suspects: DataFrame, authors: int = 3) -> DataFr
         return df.select(*keep, F.explode(F.array_distinct(own)).alias("sentence"))
 
     asked = sentences(suspects, "rec_id")
-    author = F.xxhash64(_letters(F.coalesce(F.get("authors", F.lit(0)), F.col("title"))))
+    first = F.get("authors", F.lit(0)) if "authors" in records.columns else F.lit(None).cast("string")
+    author = F.xxhash64(_letters(F.coalesce(first, "title")))
     seen = sentences(records.where("abstract IS NOT NULL").select(author.alias("author"), "abstract"), "author").join(asked.select("sentence").distinct(), "sentence", "left_semi")
     common = seen.distinct().groupBy("sentence").agg(F.count("*").alias("n")).where(F.col("n") >= authors)
     return asked.join(common, "sentence", "left").groupBy("rec_id").agg(F.bool_and(F.col("n").isNotNull()).alias("all")).where("all").select("rec_id")

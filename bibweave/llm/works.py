@@ -177,14 +177,15 @@ TITLE = ("letters", "breaks", "starts", "marks", "cut")
 
 
 def titles_of(records: DataFrame) -> DataFrame:
-    """One row per node that names a work: its title, and the years of its records."""
-    titles = F.min_by(F.struct(*TITLE), "id").alias("t")
-    return records.where("names_work").groupBy("node").agg(titles, F.min("year").alias("from"), F.max("year").alias("to")).select("node", "from", "to", "t.*")
+    """One row per node that names a work: its title, the years of its records, and its least record as ``least``."""
+    number = F.col("id") * 2 + (F.col("source") if "source" in records.columns else F.lit(0))
+    titles = F.min_by(F.struct(*TITLE), number).alias("t")
+    return records.where("names_work").groupBy("node").agg(titles, F.min("year").alias("from"), F.max("year").alias("to"), F.min(number).alias("least")).select("node", "from", "to", "least", "t.*")
 
 
-def anchored(records: DataFrame, titles: DataFrame) -> DataFrame:
-    """Titles with each pair of author anchors of their records: the first name, and the least (lists get reordered, and cut at the end)."""
-    return records.where("names_work").select("node", "first", "least").distinct().join(titles.select("node", "letters", "breaks", "cut"), "node")
+def anchored(records: DataFrame, titles: DataFrame, node: str = "node") -> DataFrame:
+    """Titles, under their column ``node``, with each pair of author anchors of their records: the first name, and the least (lists get reordered, and cut at the end)."""
+    return records.where("names_work").select("node", "first", "least").distinct().join(titles.select("node", F.col(node).alias("_as"), "letters", "breaks", "cut"), "node").withColumn("node", F.col("_as")).drop("_as")
 
 
 def identified(records: DataFrame) -> DataFrame:
@@ -329,15 +330,16 @@ def plausible(a: list[str], b: list[str], marks_same: np.ndarray) -> np.ndarray:
 LEVEL = T.StructType([T.StructField("level", T.IntegerType()), T.StructField("rest", T.StringType())])
 
 
-def check_pairs(pairs: DataFrame, titles: DataFrame, *keep: str) -> DataFrame:
-    """(a, b, level, rest) of distinct candidate pairs of nodes whose titles agree; level as in ``same_title``.
+def check_pairs(pairs: DataFrame, titles: DataFrame, *keep: str, by: str = "node") -> DataFrame:
+    """(a, b, level, rest) of distinct candidate pairs whose titles agree, as nodes; level as in ``same_title``.
 
+    ``by`` is the column of ``titles`` that the pairs name them by.
     ``titles`` may have a ``root``: pairs that are already in one class aren't compared again.
     """
     known = "root" in titles.columns
     cols = (*TITLE, "root") if known else TITLE
-    side = lambda s: titles.select(F.col("node").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in cols))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    side = lambda s: titles.select(F.col(by).alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("node", *cols)))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").drop("a", "b").withColumnsRenamed({"node_a": "a", "node_b": "b"})
     if known:
         joined = joined.where("root_a <> root_b")
     # Lengths that differ by more than slips, and no cut: nothing to compare.

@@ -1,12 +1,15 @@
 import itertools
+import random
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from bibweave.llm import corpus_encoding, entity_match, format_duplicates, history_dedup, leakage, subjects, survivorship, value_mapping
 from bibweave.llm.text import least_rotation, rotation_key
-from bibweave.llm.works import _edits, featurise, same_title, surnames, title_features
+from bibweave.llm.forest import TREES, signatures
+from bibweave.llm.works import _edits, components, components_in_rounds, featurise, plausible, record_features, same_title, surnames
 
 TITLES = [
     (1, "Sodozomu: lesion grading with patients"), (2, "lesion grading with patients [Sodozomu]"), (3, "SODOZOMU – LESION <b>GRADING</b> WITH PATIENTS"),
@@ -58,7 +61,7 @@ def test_survivorship(spark):
     text = "A whole abstract of a paper that ends as it should."
     rows = [
         (1, t("2026-01-01"), "arxiv", "T", 5, "Journal of X", "https://a.example/p.pdf", text), (2, t("2026-01-02"), "dblp", "T", 99_999_999, "arXiv", "https://login.example/?next=%2Fpdf", text[:30] + " …"),
-        (3, t("2026-01-03"), None, "T", -1, "Submitted to Journal of Y", "about:blank", "Please sign in or contact the help desk."), (4, None, "arxiv", None, None, None, None, None),
+        (3, t("2026-01-03"), None, "T", -1, "Submitted to Journal of Y", "about:blank", "Abstract not available."), (4, None, "arxiv", None, None, None, None, None),
         (5, t("2026-01-01"), "arxiv", "U", 0, "", "", "U"), (6, t("2026-01-09"), "crossref", "T", 7, "International Conference on Sta…", "", ""),
     ]
     papers = spark.createDataFrame(rows, "rec_id long, fetched_at timestamp, source string, title string, citations long, venue string, pdf_url string, abstract string").withColumn("level", F.lit(1))
@@ -99,7 +102,9 @@ def test_value_mapping(spark):
     [
         ("Vosuhe: Grid Maps for Deep Planning in Sites", "Grid Maps for Deep Planning in Sites (Vosuhe)", 2),
         ("Vosuhe: Grid Maps for Deep Planning in Sites", "Vosuhe: Gird Maps with Deep Planing in Sites (v2)", 2),
-        ("Vosuhe: Grid Maps for Deep Planning in Sites", "Vosuhe: Grid Maps for Deep Planning in Sites, Part II", 0),
+        ("Vosuhe: Grid Maps for Deep Planning in Sites", "Vosuhe: Grid Maps for Deep Planning in Sites, Part II", 3),
+        ("Vosuhe: Grid Maps for Deep Planning in Sites", "Vosuhe: Grid Maps for Deep Planning in Sites Addendum", 3),
+        ("Vosuhe: Grid Maps for Deep Planning in Sites", "Vosuhe: Grid Maps for Deep Plan", 1),
         ("Vosuhe: Grid Maps for Deep Planning in Sites", "Erratum to Vosuhe: Grid Maps for Deep Planning in Sites", 0),
         ("Vosuhe 2: Grid Maps for Deep Planning in Sites", "Vosuhe: Grid Maps for Deep Planning in Sites", 0),
         ("Vosuhe: Grid Maps for Deep Planning in Sites", "Kiradu: Grid Maps for Deep Planning in Sites", 0),
@@ -108,8 +113,8 @@ def test_value_mapping(spark):
     ],
 )
 def test_same_title(a, b, level):
-    f, g = title_features(a), title_features(b)
-    assert same_title(f[1], f[2], f[4], f[5], g[1], g[2], g[4], g[5]) == level == same_title(g[1], g[2], g[4], g[5], f[1], f[2], f[4], f[5])
+    f, g = ([x[1], x[2], x[3], x[4], x[5]] for x in (record_features(t, []) for t in (a, b)))
+    assert same_title(*f, *g)[0] == level == same_title(*g, *f)[0]
 
 
 def test_edits():
@@ -307,8 +312,152 @@ def test_subjects_held_out_accuracy(spark):
 
 def test_subjects_edges(spark):
     ex = spark.createDataFrame([("law", "The court heard the case."), ("law", "The court ruled."), ("sport", "The goalkeeper ran."), ("sport", "A goalkeeper saved.")], "subject string, text string")
-    docs = spark.createDataFrame([(1, "A goalkeeper fell."), (2, None), (3, " "), (4, "Nothing known."), (1, "A goalkeeper fell."), (5, "The acronym is also used in goalkeeper, which is unrelated.")], "doc_id long, text string").withColumn("share", F.lit(1))
+    docs = spark.createDataFrame([(1, "A goalkeeper fell."), (2, None), (3, " "), (4, "Nothing known."), (1, "A goalkeeper fell.")], "doc_id long, text string").withColumn("share", F.lit(1))
     got = [(r.doc_id, r.subject) for r in subjects.subjects_of(docs, "doc_id", "text", ex, "subject", "text").collect()]
     assert got == [(1, "sport")]
     assert subjects.subjects_of(docs, "doc_id", "text", ex.limit(0), "subject", "text").count() == 0
     assert subjects.subjects_of(docs.limit(0), "doc_id", "text", ex, "subject", "text").count() == 0
+
+
+def test_remarks_in_passing_are_learnt(spark):
+    """Frames that no list names: each is met with terms of all subjects, in texts about another one."""
+    terms = {
+        "law": ["courts", "statutes", "plaintiffs", "verdicts", "contracts", "appeals"], "sport": ["goalkeepers", "sprints", "coaches", "relays", "rowing", "tackles"],
+        "physics": ["photons", "lattices", "magnets", "plasmas", "lasers", "crystals"], "finance": ["bonds", "dividends", "lenders", "mortgages", "futures", "equities"],
+    }
+    rng = random.Random(3)
+    own = ["we compare {} with {} over many years", "both {} and {} matter for the result", "records of {} support what was said about {}", "without {} it is hard to judge {}"]
+    frames = ["connoisseurs of {} would smile at such an analogy here", "not to be mixed up with the namesake known among {}"]
+
+    def body(subject, n):
+        return [rng.choice(own).format(*rng.sample(terms[subject], 2)) for _ in range(n)]
+
+    examples = [(s, ". ".join(body(s, 6))) for s in terms for _ in range(8)]
+    docs, want = [], set()
+    for k in range(600):
+        subject = rng.choice(sorted(terms))
+        parts = body(subject, 3)
+        if k % 3 == 0:
+            other = rng.choice([s for s in sorted(terms) if s != subject])
+            parts.insert(1, frames[k % 2].format(rng.choice(terms[other])))
+        docs.append((k, ". ".join(parts) + "."))
+        want.add((k, subject))
+    got = subjects.subjects_of(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text", spark.createDataFrame(examples, "subject string, text string"), "subject", "text")
+    found = {(r.doc_id, r.subject) for r in got.collect()}
+    assert len(found & want) >= 0.97 * len(want) and len(found & want) >= 0.95 * len(found)
+
+
+def test_models_are_distributions():
+    counts = {("^", "a"): np.array([4.0, 1.0, 0, 1]), ("a", "b"): np.array([3.0, 0, 0, 1]), ("a", "c"): np.array([1.0, 2.0, 0, 1]), ("^", "c"): np.array([0, 3.0, 0, 2])}
+    model = subjects.NgramModels(["x", "y"], counts)
+    for before in range(len(model.uni)):
+        word = np.arange(len(model.uni))
+        p, b = model.log_p(word, np.full(len(word), before))
+        assert abs(np.exp(b).sum() - 1) < 0.15 and (np.abs(np.exp(p)[:, :2].sum(axis=0) - 1) < 0.15).all()
+
+
+def test_batches_that_join_known_works(spark):
+    """A batch may show that two known works are one; what was added before then points to the first."""
+    a, b = "Vosuhe: Grid Maps for Deep Planning in Sites", "Kiradu: wound healing under mixed light in crowded greenhouse laboratories"
+    batches = [[(1, a, ["Ann Lee"], "2024", "10.12345/a1", "")], [(2, b, ["Bo Ek"], "2024", "10.12345/b2", "")], [(10, a, ["Bo Ek"], "2024", "10.12345/b2", "")], [(20, b, ["Bo Ek"], "2024", "", "")]]
+    forest = history_dedup.HashForest(spark)
+    step = {}
+    for rows in batches:
+        step |= {r.id: r.first_id for r in forest.add(_batch(spark, rows)).collect()}
+    assert step == {1: 1, 2: 2, 10: 1, 20: 1}
+    after = {r.id: r.first_id for r in forest.first_ids().collect()}
+    whole = {r.id: r.first_id for r in history_dedup.HashForest(spark).add(_batch(spark, sum(batches, []))).collect()}
+    assert after == whole == {1: 1, 2: 1, 10: 1, 20: 1}
+
+
+def test_groups_of_batches():
+    assert history_dedup.together([(1, 10), (2, 10), (3, 30), (4, 5)], 20) == [[1, 2], [3], [4]]
+    assert history_dedup.together([], 20) == []
+
+
+def test_forest_recall_is_measured(spark):
+    """Brute force: of damaged titles that the title check accepts, the forest must find the wanted share."""
+    titles = [r.letters for r in _features(spark, "seen_ledger", "seen_id").select("letters").distinct().limit(600).collect()]
+    shares = history_dedup.measured_recall(titles)
+    shape = history_dedup.ForestShape()
+    depth = next((d for d, share in shares.items() if share >= shape.recall), shape.shortest)
+    assert shares[depth] >= 0.95 and list(shares.values()) == sorted(shares.values())
+
+
+def _features(spark, table, key):
+    df = spark.read.parquet(f"/root/testdata/sf0.01/{table}.parquet")
+    return featurise(df, key, "title", "authors", "pub_date", F.col("doi"), F.col("arxiv_id")).where("names_work")
+
+
+def test_signatures_do_not_depend_on_order_or_company():
+    a, b = "gridmapsdeepplanningsites", "deepplanningsitesgridmaps"
+    alone, together = signatures([a]), signatures(["x", a, b, "anotheroneofothers"])
+    assert (alone[0] == together[1]).all() and (together[1] == together[2]).all() and alone.shape == (1, TREES)
+
+
+def test_titles_of_many_words_match(spark):
+    """Over fourteen words, with words in front, left out, or damaged; found wherever the slip is."""
+    base = "kolori survey of seventeen river barges and their engines during nine dry summers with notes about pilots cranes ropes lamps and harbour clerks"
+    words = base.split()
+    registry = [(k, " ".join(words[:k] + [words[k][::-1][:1] + words[k][1:]] + words[k + 1 :]), ["Bela Ek"], "2020", "") for k in range(2, len(words), 3)]
+    assert _matched(spark, [(1, base, ["Bela Ek"], "2020", "")], registry) == {(1, k) for k in range(2, len(words), 3)}
+
+
+def test_continuations_are_judged_by_all_titles(spark):
+    """No list: endings that stand beside a title without them are sequels, endings of many titles that don't are cuts."""
+    rng = random.Random(8)
+    made = lambda k: f"{''.join(rng.choice('bdfgklmnprst') + rng.choice('aeiou') for _ in range(5))} {rng.choice(['drift', 'frost', 'ledger', 'turbine'])} measured over {k} stations"
+    who = lambda k: [f"Ann Holder{k}"]
+    papers, registry = [], []
+    for k in range(12):
+        t = made(k)
+        papers.append((k, t, who(k), "2020", ""))
+        registry.append((k, f"{t}: Some Field Trials Continued", who(k), "2020", ""))
+    for k in range(100, 180):
+        papers.append((k, f"{made(k)} along crowded harbours", who(k), "2020", ""))
+    cut = papers[-1][1].removesuffix(" crowded harbours")
+    registry.append((500, cut, who(179), "2020", ""))
+    assert _matched(spark, papers, registry) == {(179, 500)}
+
+
+def test_components_agree(spark):
+    rng = random.Random(1)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(260)] + [(1000 + k, 1001 + k) for k in range(60)] + [(5000, 5001 + k) for k in range(200)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    one, rounds = ({r.node: r.root for r in f(df.where("a <> b")).collect()} for f in (components, components_in_rounds))
+    root = {n: n for e in edges for n in e}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            low = min(root[a], root[b])
+            changed |= root[a] != low or root[b] != low
+            root[a] = root[b] = low
+    met = {n for a, b in edges if a != b for n in (a, b)}
+    assert one == rounds == {n: r for n, r in root.items() if n in met}
+    assert {r.node: r.root for r in components(df.where("a <> b"), one_task=1).collect()} == one
+
+
+def test_letter_counts_refuse_no_equal_titles():
+    rng = random.Random(2)
+    titles = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(16, 70))) for _ in range(200)]
+    for t in titles:
+        for slips in range(min(4, len(t) // 14) + 1):
+            other = history_dedup._damaged(t, slips, rng)
+            if same_title(t, [], [0], "", False, other, [], [0], "", False)[0] == 2:
+                assert plausible([t], [other], np.array([True]))[0]
+        cut = t[: len(t) // 2 + 3]
+        if same_title(cut, [], [0], "", True, t, [], [0], "", False)[0]:
+            assert plausible([cut], [t], np.array([True]))[0]
+
+
+def test_notices_are_told_by_counts(spark):
+    """Sentences of no list: they stand in texts of many authors and say nothing of the title."""
+    lines = ["Kindly log on through the portal of your campus.", "Cookies of this vendor were switched off.", "The entry opens once a fee was paid.", "Queries go to the front office on weekdays."]
+    t = datetime.fromisoformat("2026-01-01")
+    rows = [(k, t, "x", f"Barge lanterns of region {k}", 1, "", "", f"We looked at barge lanterns in region {k}. They burn for {k} hours.", [f"Holder{k}"]) for k in range(40)]
+    rows += [(100 + k, t + timedelta(days=1), "x", f"Barge lanterns of region {k}", 1, "", "", " ".join(lines[k % 4 :] + lines[: k % 4]), [f"Holder{k}"]) for k in range(12)]
+    papers = spark.createDataFrame(rows, "rec_id long, fetched_at timestamp, source string, title string, citations long, venue string, pdf_url string, abstract string, authors array<string>")
+    groups = spark.createDataFrame([(k, r) for k in range(12) for r in (k, 100 + k)], "group_id long, rec_id long")
+    got = {(r.group_id, r.rec_id) for r in survivorship.winners(groups, papers).where("field_name = 'abstract'").collect()}
+    assert got == {(k, k) for k in range(12)}
