@@ -18,8 +18,8 @@ from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -126,9 +126,13 @@ def record_features(title: str | None, authors) -> tuple:
     return text_key(turned), letters, breaks, starts, marks, cut, names_work, [_short(t) for t in tokens if len(t) >= 6], [_short(n) for n in surnames(authors)]
 
 
-@F.pandas_udf(FEATURES)
-def _record_features(titles: pd.Series, authors: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([record_features(t, a) for t, a in zip(titles, authors)], columns=[f.name for f in FEATURES])
+_FEATURE_KINDS = (pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.string(), pa.bool_(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+
+
+@F.arrow_udf(FEATURES)
+def _record_features(titles: pa.Array, authors: pa.Array) -> pa.Array:
+    columns = list(zip(*map(record_features, titles.to_pylist(), authors.to_pylist()))) or [()] * len(_FEATURE_KINDS)
+    return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, _FEATURE_KINDS)], names=[f.name for f in FEATURES])
 
 
 def doi(value: Column) -> Column:
@@ -137,7 +141,7 @@ def doi(value: Column) -> Column:
     bare = F.regexp_extract(plain, r"(10\.\d{4,9}/\S+)", 1)
     tail = F.regexp_replace(bare, r"[.,;\]]+$", "")
     # A suffix without a digit, or an all-zero prefix, names no article.
-    return F.when(tail.rlike(r"^10\.(?!0+/)\d+/.*\d"), tail).otherwise("")
+    return F.when(F.coalesce(value, F.lit("")).contains("10."), F.when(tail.rlike(r"^10\.(?!0+/)\d+/.*\d"), tail).otherwise("")).otherwise("")
 
 
 def arxiv(value: Column) -> Column:
@@ -347,19 +351,24 @@ def check_pairs(pairs: DataFrame, titles: DataFrame, *keep: str, by: str = "node
     shorter = F.least(F.length("letters_a"), F.length("letters_b")) >= 0.35 * F.greatest(F.length("letters_a"), F.length("letters_b"))
     joined = joined.where((near & (F.col("marks_a") == F.col("marks_b"))) | shorter)
 
-    @F.pandas_udf(LEVEL)
-    def level(la: pd.Series, ba: pd.Series, sa: pd.Series, ma: pd.Series, ca: pd.Series, lb: pd.Series, bb: pd.Series, sb: pd.Series, mb: pd.Series, cb: pd.Series) -> pd.DataFrame:
-        may = plausible(la.tolist(), lb.tolist(), (ma == mb).to_numpy()).tolist()
-        return pd.DataFrame([same_title(*x) if ok else (0, None) for ok, x in zip(may, zip(*(c.tolist() for c in (la, ba, sa, ma, ca, lb, bb, sb, mb, cb))))], columns=["level", "rest"])
+    @F.arrow_udf(LEVEL)
+    def level(la: pa.Array, ba: pa.Array, sa: pa.Array, ma: pa.Array, ca: pa.Array, lb: pa.Array, bb: pa.Array, sb: pa.Array, mb: pa.Array, cb: pa.Array) -> pa.Array:
+        a, b = la.to_pylist(), lb.to_pylist()
+        may = np.flatnonzero(plausible(a, b, pc.equal(ma, mb).to_numpy(zero_copy_only=False)))
+        levels, rests = np.zeros(len(a), np.int32), [None] * len(a)
+        few = [c.take(pa.array(may)).to_pylist() for c in (la, ba, sa, ma, ca, lb, bb, sb, mb, cb)]
+        for at, *pair in zip(may.tolist(), *few):
+            levels[at], rests[at] = same_title(*pair)
+        return pa.StructArray.from_arrays([pa.array(levels), pa.array(rests, pa.string())], names=["level", "rest"])
 
     checked = joined.select("a", "b", *keep, F.length("letters_a").alias("na"), F.length("letters_b").alias("nb"), level(*(f"{c}_{s}" for s in ("a", "b") for c in TITLE)).alias("v"))
     return checked.select("a", "b", *keep, "na", "nb", "v.*").where("level > 0")
 
 
-def endings(titles: DataFrame) -> DataFrame:
-    """(rest, ended): in how many titles the last words are these, for up to six words; whole titles don't count."""
+def endings(titles: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(rest, ended): in how many titles the last words are these wanted ones, of up to six words; whole titles don't count."""
     tails = F.expr("transform(slice(starts, -least(6, size(starts) - 1), 6), s -> substring(letters, s + 1))")
-    return titles.where("NOT cut AND size(starts) > 1").select(F.explode(tails).alias("rest")).groupBy("rest").agg(F.count("*").alias("ended"))
+    return titles.where("NOT cut AND size(starts) > 1").select(F.explode(tails).alias("rest")).join(wanted, "rest", "left_semi").groupBy("rest").agg(F.count("*").alias("ended"))
 
 
 def natural_endings(checked: DataFrame, titles: DataFrame, least: int = 5, share: float = 0.15) -> DataFrame:
@@ -371,8 +380,8 @@ def natural_endings(checked: DataFrame, titles: DataFrame, least: int = 5, share
     fewer than ``least`` of them end in tells nothing and is taken for another work.
     """
     goes_on = checked.where(F.col("level") == GOES_ON).select("rest", F.when(F.col("na") < F.col("nb"), F.col("a")).otherwise(F.col("b")).alias("base")).distinct()
-    bases = goes_on.groupBy("rest").agg(F.count("*").alias("bases"))
-    return bases.join(endings(titles), "rest").where((F.col("ended") >= least) & (F.col("bases") <= share * F.col("ended"))).select("rest")
+    bases = cut_lineage(goes_on.groupBy("rest").agg(F.count("*").alias("bases")))  # of known size, so that a small table is sent to the titles
+    return bases.join(endings(titles, bases.select("rest")), "rest").where((F.col("ended") >= least) & (F.col("bases") <= share * F.col("ended"))).select("rest")
 
 
 def union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
