@@ -33,6 +33,28 @@ def relevance(title: Column, abstract: Column, keywords: Column) -> Column:
     return F.aggregate(keywords, F.lit(0).cast("long"), lambda n, k: n + F.when(has_word(t, k), 3).otherwise(0) + F.when(has_word(a, k), 1).otherwise(0))
 
 
+def literal_matches(field: Column, title: Column, abstract: Column, keywords: dict[str, list[str]]) -> tuple[Column, Column]:
+    """(relevance, matched keywords) with the keywords of each field as literals, so that each pattern is compiled once."""
+    t, a = F.lower(text(title)), F.lower(text(abstract))
+    score, matched = None, None
+    for name, words in keywords.items():
+        total, found = F.lit(0).cast("long"), []
+        for w in words:
+            bare = (w or "").strip()
+            if not bare:
+                continue
+            pattern = rf"(?U)\b\Q{bare.lower()}\E\b"
+            in_title, in_abstract = t.rlike(pattern), a.rlike(pattern)
+            total = total + F.when(in_title, 3).otherwise(0) + F.when(in_abstract, 1).otherwise(0)
+            found.append(F.when(in_title | in_abstract, bare))
+        kept = F.filter(F.array(*found), lambda k: k.isNotNull()) if found else F.array().cast("array<string>")
+        score = F.when(field == name, total) if score is None else score.when(field == name, total)
+        matched = F.when(field == name, kept) if matched is None else matched.when(field == name, kept)
+    if score is None:
+        return F.lit(0).cast("long"), F.array().cast("array<string>")
+    return F.coalesce(score, F.lit(0).cast("long")), F.coalesce(matched, F.array().cast("array<string>"))
+
+
 def has_context(body: Column, context: Column) -> Column:
     """Any of the context words; an empty list asks for none."""
     return (F.size(context) <= 0) | F.exists(context, lambda k: has_word(body, k))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bibweave.functions.identity import strip, text
 
@@ -31,20 +35,27 @@ def _any(body: Column, phrases: list[str]) -> Column:
     return out
 
 
+@F.pandas_udf(T.StringType())
+def nfkc(values: pd.Series) -> pd.Series:
+    """Compatibility forms (full-width letters, ligatures, ...) as plain ones."""
+    return pd.Series([v if v is None or v.isascii() else unicodedata.normalize("NFKC", v) for v in values], dtype=object)
+
+
 def title_terms(title: Column) -> Column:
-    words = F.array_distinct(F.regexp_extract_all(F.lower(text(title)), F.lit("([a-z0-9]+)"), F.lit(1)))
-    return F.filter(words, lambda w: (F.length(w) >= 4) & ~w.isin(TITLE_STOP))
+    """Longer words of a title, without those that identify nothing."""
+    words = F.regexp_extract_all(F.lower(nfkc(text(title))), F.lit("(?<![a-z0-9])([a-z0-9]{4,})(?![a-z0-9])"), F.lit(1))
+    return F.array_except(words, F.array(*map(F.lit, TITLE_STOP)))
 
 
 def text_matches_title(body: Column, title: Column) -> Column:
     """Two of the title's words (one of fewer than three) stand in the text."""
-    terms, low = title_terms(title), F.lower(text(body))
-    hits = F.size(F.filter(terms, lambda t: F.rlike(low, F.concat(F.lit(r"\b"), t, F.lit(r"\b")))))
+    terms = title_terms(title)
+    hits = F.size(F.array_intersect(terms, F.split(F.lower(nfkc(text(body))), r"[^\p{L}\p{M}\p{N}_]+")))
     return (F.size(terms) == 0) | (hits >= F.when(F.size(terms) >= 3, 2).otherwise(1))
 
 
 def looks_like_template(body: Column) -> Column:
-    low = F.regexp_replace(F.lower(text(body)), r"(?U)\s+", " ")
+    low = F.regexp_replace(F.lower(nfkc(text(body))), r"(?U)\s+", " ")
     hits = sum((low.contains(m).cast("int") for m in TEMPLATE), F.lit(0))
     return low.contains("formatting instructions") & (hits >= 3)
 
@@ -121,3 +132,52 @@ def heuristic_reading_value(citations: Column, basis: Column, blob: Column) -> C
     score = F.lit(2) + F.when(citations >= 100, 2).when(citations >= 20, 1).otherwise(0)
     score = score + F.when(text(basis).startswith("fulltext"), 1).otherwise(0) + F.when(F.length(text(blob)) >= 900, 1).otherwise(0)
     return F.greatest(F.lit(1), F.least(F.lit(5), score))
+
+
+TEX = r"\\[A-Za-z]+|\\[()\[\]]"
+NUMBERED = r"(?i)(?:図|表|アルゴリズム|式|擬似コード)\s*[0-9０-９IVXivx]+|\b(?:fig(?:ure)?|table|algorithm|equation|eq\.)\s*[0-9IVXivx]+"
+#: Names that stand within a few characters of the words for function, step, call, run, use.
+NAMED_STEP = r"(?<![A-Za-z0-9_])([A-Za-z][A-Za-z0-9]*)(?=(?:[^A-Za-z0-9_]|$).{0,15}(?:関数|手順|呼び出|実行|用い|適用))"
+
+
+def has_tex(body: Column) -> Column:
+    return text(body).contains("$") | text(body).rlike(TEX)
+
+
+def has_numbered_reference(body: Column) -> Column:
+    """A figure, table, equation or algorithm by its number, which a reader of the summary can't look up."""
+    return text(body).rlike(NUMBERED)
+
+
+def has_code_name(body: Column) -> Column:
+    """A name with two or more humps that a text uses as a function's."""
+    names = F.regexp_extract_all(text(body), F.lit(NAMED_STEP), F.lit(1))
+    return F.exists(names, lambda n: F.size(F.regexp_extract_all(n, F.lit("([a-z](?=[A-Z]))"), F.lit(1))) >= 2)
+
+
+def section_issues(body: Column) -> Column:
+    """Reasons why a section's summary has to be written again."""
+    return F.filter(F.array(F.when(has_tex(body), "TeX left"), F.when(has_numbered_reference(body), "numbered reference"), F.when(has_code_name(body), "name from pseudo-code")), lambda x: x.isNotNull())
+
+
+@F.pandas_udf(T.DoubleType())
+def best_sentence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Greatest similarity of a sentence of one list to one of the other."""
+    from difflib import SequenceMatcher
+
+    return pd.Series([max((SequenceMatcher(None, x, y).ratio() for x in p for y in q), default=0.0) for p, q in zip(a, b)], dtype="float64")
+
+
+def parts_repeat(a: Column, b: Column, sentences_a: Column, sentences_b: Column, shared: float = 0.68, alike: float = 0.86) -> Column:
+    """Whether two parts of a summary say the same: most character n-grams in common, or two sentences that are nearly equal."""
+    return (containment(a, b) >= shared) | (best_sentence_ratio(sentences_a, sentences_b) >= alike)
+
+
+def unknown_phrases(whole: Column, phrase: str = "提供された情報からは不明") -> Column:
+    """How often a summary says that it doesn't know."""
+    return ((F.length(text(whole)) - F.length(F.replace(text(whole), F.lit(phrase), F.lit("")))) / len(phrase)).cast("int")
+
+
+def no_text(abstract: Column, sections: Column) -> Column:
+    """Neither sections nor an abstract: nothing to summarise."""
+    return (F.coalesce(F.size(sections), F.lit(0)) <= 0) & (strip(abstract) == "")

@@ -54,6 +54,28 @@ def evidence_excerpt(body: Column, limit: int, pattern: str) -> Column:
     return F.when(F.length(t) <= limit, t).otherwise(short)
 
 
+# Words of sentences that report numbers, results and limits.
+EVIDENCE = r"(?i)\d|%|percent|result|outperform|improv|success|runtime|latency|limitation|failure|ablation|比較|結果|成功率|実行時間|限界|失敗"
+MIDDLE, END = "\n[middle, in part]\n", "\n[end]\n"
+
+
+def excerpt(body: Column, limit: Column, pattern: str = EVIDENCE) -> Column:
+    """Head, sentences of the middle that match while they fit (its start if none does), and tail; ``limit`` may differ by row."""
+    t = F.trim(text(body))
+    head, tail = F.greatest(F.lit(400), (limit * 0.45).cast("int")), F.greatest(F.lit(300), (limit * 0.25).cast("int"))
+    room = F.greatest(F.lit(0), limit - head - tail - 30)
+    middle = F.substring(t, head + 1, F.greatest(F.length(t) - head - tail, F.lit(0)))
+    wanted = F.filter(F.split(middle, r"(?<=[.!?。！？])\s+"), lambda s: s.rlike(pattern) & (F.trim(s) != ""))
+
+    def step(acc: Column, s: Column) -> Column:
+        fits = F.length(acc) + F.length(F.trim(s)) + 1 <= room
+        return F.when(fits, F.when(acc == "", F.trim(s)).otherwise(F.concat(acc, F.lit(" "), F.trim(s)))).otherwise(acc)
+
+    picked = F.aggregate(wanted, F.lit(""), step)
+    shown = F.when(picked != "", picked).otherwise(F.substring(middle, F.lit(1), room))
+    return F.when(F.length(t) <= limit, t).otherwise(F.substring(F.concat(F.substring(t, F.lit(1), head), F.lit(MIDDLE), shown, F.lit(END), F.right(t, tail)), F.lit(1), limit))
+
+
 def pack_sections(sections: Column, limit: int) -> Column:
     """Sections within a budget: whole if they fit, else each up to a quota while room is left."""
     shown = F.transform(sections, lambda s: F.concat(F.lit("## "), s["heading"], F.lit("\n"), s["body"]))
@@ -89,6 +111,17 @@ def parse_rating(body: Column) -> Column:
     return F.coalesce(F.nullif(named, F.lit("")), F.nullif(plain, F.lit("")), F.lit("3")).cast("int")
 
 
+def rating_reason(body: Column, default: str = "a provisional rating from the summary and the metadata") -> Column:
+    """First line of the reason behind a rating, at most 120 characters."""
+    found = F.trim(F.regexp_extract(text(body), r"(?i)reason\W*([^\n]+)", 1))
+    return F.substring(F.when(found != "", found).otherwise(default), 1, 120)
+
+
+def no_markers(body: Column) -> Column:
+    """A text without any ``@@KEY@@`` marker is an error, not an empty summary."""
+    return ~text(body).rlike("@@[A-Z_]+@@")
+
+
 def restore_inverted(index: Column) -> Column:
     """Text of an inverted index word -> positions."""
     pairs = F.flatten(F.transform(F.map_entries(index), lambda e: F.transform(e["value"], lambda p: F.struct(p.alias("p"), e["key"].alias("w")))))

@@ -20,8 +20,9 @@ from bibweave.session import cut_lineage, drop_cut
 def alias_classes(rows: DataFrame, group: str, seq: str, aliases: str) -> DataFrame:
     """(group, seq, root): least seq of each connected class of rows that share an alias within a group.
 
-    Rounds alternate between rows and aliases; each is two aggregations with
-    map-side combining, so a hot alias never gathers its rows in one task.
+    Rounds alternate between rows and aliases.  Minima are combined in the tasks
+    before they are shuffled; where the rows of a hot alias get its minimum back,
+    the side with the minima has one row an alias, and AQE splits the other.
     """
     links = cut_lineage(rows.select(F.col(group).alias("g"), F.col(seq).alias("s"), F.explode(aliases).alias("alias")).distinct())
     labels = cut_lineage(rows.select(F.col(group).alias("g"), F.col(seq).alias("s"), F.col(seq).alias("root")))
@@ -110,12 +111,12 @@ def merge_clusters(papers: DataFrame, cluster: str) -> DataFrame:
 
 
 def merge_ledger(ledger: DataFrame, group: str) -> DataFrame:
-    """One entry per class: attributes from the newest entry that has them, dates and file from the oldest."""
-    order = F.struct("added_at", "seen_id")
+    """One entry per class: attributes from the newest entry that has them, dates and file from the oldest, which survives."""
+    order = F.struct(F.when(F.col("added_at") != "", F.col("added_at")).otherwise(F.col("added_on")), "paper_key", "seen_id")
     newest = lambda c: F.coalesce(F.max_by(F.when(F.col(c) != "", F.col(c)), F.when(F.col(c) != "", order)), F.lit("")).alias(c)
     oldest = lambda c: F.min_by(c, order).alias(c)
     texts = ("title", "venue", "url", "pdf_url", "arxiv_id", "doi", "pub_date", "tldr", "basis")
-    return ledger.groupBy(group).agg(F.min("seen_id").alias("seen_id"), F.max(F.coalesce("citations", F.lit(0))).alias("citations"), F.count("*").alias("members"), *map(newest, texts), *map(oldest, ("paper_key", "page_file", "added_on", "added_at")))
+    return ledger.groupBy(group).agg(F.min_by("seen_id", order).alias("survivor"), F.max(F.coalesce("citations", F.lit(0))).alias("citations"), F.count("*").alias("members"), *map(newest, texts), *map(oldest, ("paper_key", "page_file", "added_on", "added_at")))
 
 
 def remove_entries(ledger: DataFrame, arxiv_id: str | None = None, slug: str | None = None, title_part: str | None = None) -> DataFrame:

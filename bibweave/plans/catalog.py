@@ -24,7 +24,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    from bibweave.plans import core_queries  # noqa: F401  registers them
+    from bibweave.plans import core_queries, run_queries  # noqa: F401  they register them
 
     return dict(QUERIES)
 

@@ -205,11 +205,16 @@ def r2_rank_recent(spark, d):
     return _ranked(spark, d, ranking.RECENT, "n").select("field_slug", "seq", "n")
 
 
-@query(f"WITH {q.SCORED} SELECT field_slug, seq, n FROM (SELECT *, row_number() OVER (PARTITION BY field_slug ORDER BY relevance DESC, fulltext DESC, citations DESC, published DESC, seq) AS n FROM scored WHERE relevance > 0 AND seq NOT IN (SELECT seq FROM (SELECT seq, row_number() OVER (PARTITION BY field_slug ORDER BY relevance DESC, fulltext DESC, published DESC, seq) AS r FROM scored) WHERE r <= 5)) WHERE n <= k")
+@query(
+    f"""WITH {q.SCORED}, used AS (SELECT field_slug, paper_key FROM (SELECT *, row_number() OVER (PARTITION BY field_slug ORDER BY relevance DESC, fulltext DESC, published DESC, seq) AS r FROM scored) WHERE r <= 5),
+    o AS (SELECT *, row_number() OVER (PARTITION BY field_slug, paper_key ORDER BY relevance DESC, fulltext DESC, citations DESC, published DESC, seq) AS copy_no FROM scored s WHERE relevance > 0 AND NOT EXISTS (SELECT 1 FROM used u WHERE u.field_slug = s.field_slug AND u.paper_key = s.paper_key))
+    SELECT field_slug, seq, n FROM (SELECT *, row_number() OVER (PARTITION BY field_slug ORDER BY relevance DESC, fulltext DESC, citations DESC, published DESC, seq) AS n FROM o WHERE copy_no = 1) WHERE n <= k"""
+)
 def r3_take_ranked(spark, d):
     s = ranking.scored(schema.papers(spark, d), schema.subscriptions(spark, d))
-    used = ranking.rank(s, ranking.RECENT, "r", 5).select("seq")
-    return ranking.rank(s.join(used, "seq", "left_anti").where("relevance > 0"), ranking.IMPORTANT, "n").where("n <= k").select("field_slug", "seq", "n")
+    used = ranking.rank(s, ranking.RECENT, "r", 5).select("field_slug", "paper_key").distinct()
+    rest = ranking.first_of_key(s.join(used, ["field_slug", "paper_key"], "left_anti").where("relevance > 0"), ranking.IMPORTANT)
+    return ranking.rank(rest, ranking.IMPORTANT, "n", ranking.MAX_K).where("n <= k").select("field_slug", "seq", "n")
 
 
 @query(
@@ -235,21 +240,22 @@ def r6_selection_queue(spark, d):
     return queue(spark, d).select("field_slug", "seq", "phase", "queue_pos")
 
 
-_PASS = "(length(title) % 3 = 0)"
-_TAKEN = f"taken AS (SELECT * FROM (SELECT *, coalesce(sum(CAST(passed AS INTEGER)) OVER (PARTITION BY field_slug ORDER BY queue_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT q.*, {_PASS} AS passed FROM queue q JOIN {P} USING (seq))) WHERE before < k)".replace("JOIN " + P + " USING (seq)", f"JOIN (SELECT seq, title FROM {P}) USING (seq)")
+# A candidate passes if its gates are clear: context, and a text to summarise.
+_PASS = "(issue = '' AND fulltext > 0)"
+_TAKEN = f"taken AS (SELECT * FROM (SELECT *, coalesce(sum(CAST(passed AS INTEGER)) OVER (PARTITION BY field_slug ORDER BY queue_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT q.*, {_PASS} AS passed FROM queue q JOIN (SELECT field_slug, seq, issue, fulltext FROM gated) USING (field_slug, seq))) WHERE before < k)"
 
 
 def taken(spark, d) -> DataFrame:
-    return ranking.first_passing(queue(spark, d), F.length("title") % 3 == 0, C("k"))
+    return ranking.waves(queue(spark, d), (C("issue") == "") & (C("fulltext") > 0), C("k"))
 
 
-@query(f"WITH {q.SCORED}, {q.QUEUE}, {_TAKEN} SELECT field_slug, seq, queue_pos, CAST(passed AS INTEGER) AS passed FROM taken")
+@query(f"WITH {q.SCORED}, {q.GATED}, {q.QUEUE}, {_TAKEN} SELECT field_slug, seq, queue_pos, CAST(passed AS INTEGER) AS passed FROM taken")
 def r7_first_k_passing(spark, d):
     return taken(spark, d).select("field_slug", "seq", "queue_pos", "passed")
 
 
 @query(
-    f"WITH {q.SCORED}, {q.QUEUE}, {_TAKEN}, o AS (SELECT username, row_number() OVER (ORDER BY username) AS field_idx FROM subscriptions), n AS (SELECT t.field_slug, seq, row_number() OVER (ORDER BY field_idx, queue_pos) AS page_no FROM taken t JOIN o ON o.username = t.field_slug WHERE passed) SELECT * FROM n WHERE page_no <= 100"
+    f"WITH {q.SCORED}, {q.GATED}, {q.QUEUE}, {_TAKEN}, o AS (SELECT username, row_number() OVER (ORDER BY username) AS field_idx FROM subscriptions), n AS (SELECT t.field_slug, seq, row_number() OVER (ORDER BY field_idx, queue_pos) AS page_no FROM taken t JOIN o ON o.username = t.field_slug WHERE passed) SELECT * FROM n WHERE page_no <= 100"
 )
 def r8_global_cap(spark, d):
     fields = schema.subscriptions(spark, d).select("username", F.row_number().over(Window.orderBy("username")).alias("field_idx"))  # a row per subscription
@@ -257,18 +263,18 @@ def r8_global_cap(spark, d):
 
 
 @query(
-    f"WITH {q.SCORED} SELECT field_slug, seq, n FROM (SELECT *, row_number() OVER (PARTITION BY field_slug ORDER BY relevance DESC, fulltext DESC, published DESC, seq) AS n FROM scored WHERE relevance > 0 AND seq NOT IN (SELECT a.seq FROM ({_PA}) a WHERE EXISTS (SELECT 1 FROM ({_LA}) l WHERE l.field_slug = a.field_slug AND l.alias = a.alias))) WHERE n <= 500"
+    f"WITH {q.SCORED}, {q.GATED} SELECT field_slug, seq, n FROM (SELECT *, row_number() OVER (PARTITION BY field_slug ORDER BY relevance DESC, fulltext DESC, published DESC, seq) AS n FROM gated WHERE relevance > 0 AND issue = '' AND seq NOT IN (SELECT a.seq FROM ({_PA}) a WHERE EXISTS (SELECT 1 FROM ({_LA}) l WHERE l.field_slug = a.field_slug AND l.alias = a.alias))) WHERE n <= 500"
 )
 def r9_cacheable_top500(spark, d):
-    s = ranking.scored(unseen(spark, d), schema.subscriptions(spark, d)).where("relevance > 0")
+    s = ranking.scored(unseen(spark, d), schema.subscriptions(spark, d)).where("relevance > 0 AND issue = ''")
     return ranking.rank(s, ranking.RECENT, "n", ranking.CACHE_ROWS).select("field_slug", "seq", "n")
 
 
 @query("SELECT seen_id, field_slug, row_number() OVER (PARTITION BY field_slug ORDER BY CASE WHEN coalesce(added_at,'') <> '' THEN added_at ELSE coalesce(added_on,'') END DESC, coalesce(page_file,'') DESC, seen_id) AS n FROM (SELECT * REPLACE (coalesce(field_slug,'') AS field_slug) FROM seen_ledger)")
 def r11_index_order(spark, d):
     at = F.coalesce(F.nullif(C("added_at"), F.lit("")), C("added_on"))
-    w = Window.partitionBy("field_slug").orderBy(at.desc(), C("page_file").desc(), C("seen_id"))
-    return schema.ledger(spark, d).select("seen_id", "field_slug", F.row_number().over(w).alias("n"))
+    rows = schema.ledger(spark, d).select("seen_id", "field_slug", at.alias("at"), "page_file")
+    return ranking.numbered(rows, "field_slug", [C("at").desc(), C("page_file").desc(), C("seen_id")], "n").select("seen_id", "field_slug", "n")
 
 
 @query("SELECT seen_id, coalesce(title,'') AS title FROM seen_ledger ORDER BY CASE WHEN coalesce(added_at,'') <> '' THEN added_at ELSE coalesce(added_on,'') END DESC, coalesce(page_file,'') DESC, seen_id LIMIT 30")
@@ -282,7 +288,7 @@ def r14_first_authors(spark, d):
     return schema.papers(spark, d).select("seq", F.array_join(F.slice("authors", 1, 12), "; ").alias("first_authors"), F.size("authors").alias("n"))
 
 
-_MERGE_KEY = f"(SELECT *, {q.ntitle('title')} AS cluster FROM {P})"
+_MERGE_KEY = f"(SELECT *, CASE WHEN {q.ntitle('title')} <> '' THEN {q.ntitle('title')} ELSE 'record ' || seq END AS cluster FROM {P})"
 
 
 def _attr(a: str) -> str:
@@ -290,13 +296,14 @@ def _attr(a: str) -> str:
 
 
 @query(
-    f"""WITH c AS (SELECT *, {q.ftext()} AS s, length(trim(abstract)) > 0 AS h FROM {_MERGE_KEY} WHERE cluster <> ''),
+    f"""WITH c AS (SELECT *, {q.ftext()} AS s, length(trim(abstract)) > 0 AS h FROM {_MERGE_KEY}),
     b AS (SELECT *, max(s) OVER w AS best, coalesce(bool_or(h) OVER w, false) AS had FROM c WINDOW w AS (PARTITION BY cluster ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
     m AS (SELECT *, best IS NULL OR s > best OR (s = best AND h AND NOT had) AS base FROM b)
     SELECT cluster, min(seq) AS seq, max(citations) AS citations, count(*) AS members, max_by(source, seq) FILTER (WHERE base) AS source, max_by(title, seq) FILTER (WHERE base) AS title, {', '.join(map(_attr, dedup.ATTRIBUTES))} FROM m GROUP BY cluster"""
 )
 def d2_merge_records(spark, d):
-    p = schema.papers(spark, d).withColumn("cluster", I.normalize_title(C("title"))).where("cluster <> ''")
+    name = I.normalize_title(C("title"))  # a title without ASCII letters names no cluster; its record stays alone
+    p = schema.papers(spark, d).withColumn("cluster", F.when(name != "", name).otherwise(F.concat(F.lit("record "), "seq")))
     return dedup.merge_clusters(p, "cluster")
 
 
@@ -326,13 +333,17 @@ _LT = [c for c in ("title", "venue", "url", "pdf_url", "arxiv_id", "doi", "pub_d
 
 
 @query(
-    f"""WITH l AS (SELECT seen_id, coalesce(citations,0) AS citations, {', '.join(f"coalesce({c},'') AS {c}" for c in [*_LT, 'paper_key', 'page_file', 'added_on', 'added_at'])}, {q.ntitle('title')} AS work FROM seen_ledger),
-    o AS (SELECT *, row_number() OVER (ORDER BY added_at, seen_id) AS ord FROM l WHERE work <> '')
-    SELECT work, min(seen_id) AS seen_id, max(citations) AS citations, count(*) AS members, {', '.join(f"coalesce(max_by({c}, ord) FILTER (WHERE {c} <> ''), '') AS {c}" for c in _LT)}, {', '.join(f'min_by({c}, ord) AS {c}' for c in ('paper_key', 'page_file', 'added_on', 'added_at'))} FROM o GROUP BY work"""
+    f"""WITH RECURSIVE {_E}, near AS (SELECT DISTINCT a.seen_id AS a, b.seen_id AS b FROM e a JOIN e b ON a.field_slug = b.field_slug AND a.alias = b.alias), walk AS (SELECT seen_id, seen_id AS root FROM seen_ledger UNION SELECT n.b, w.root FROM walk w JOIN near n ON n.a = w.seen_id),
+    g AS (SELECT seen_id, min(root) AS work FROM walk GROUP BY seen_id),
+    l AS (SELECT seen_id, g.work, coalesce(citations,0) AS citations, {', '.join(f"coalesce({c},'') AS {c}" for c in [*_LT, 'paper_key', 'page_file', 'added_on', 'added_at'])} FROM seen_ledger JOIN g USING (seen_id)),
+    o AS (SELECT *, row_number() OVER (ORDER BY CASE WHEN added_at <> '' THEN added_at ELSE added_on END, paper_key, seen_id) AS ord FROM l)
+    SELECT work, min_by(seen_id, ord) AS survivor, max(citations) AS citations, count(*) AS members, {', '.join(f"coalesce(max_by({c}, ord) FILTER (WHERE {c} <> ''), '') AS {c}" for c in _LT)}, {', '.join(f'min_by({c}, ord) AS {c}' for c in ('paper_key', 'page_file', 'added_on', 'added_at'))} FROM o GROUP BY work"""
 )
 def d4_ledger_merge(spark, d):
-    led = schema.ledger(spark, d).withColumn("work", I.normalize_title(C("title"))).where("work <> ''")
-    return dedup.merge_ledger(led, "work")
+    """Classes of entries that share an alias, each merged into its oldest entry: the ledger's self-repair."""
+    rows = _ledger_rows(spark, d)
+    work = dedup.alias_classes(rows, "field_slug", "seen_id", "aliases").select("seen_id", C("root").alias("work"))
+    return dedup.merge_ledger(schema.ledger(spark, d).join(work, "seen_id"), "work")
 
 
 @query("SELECT seen_id FROM seen_ledger WHERE NOT contains(lower(coalesce(title,'')), 'robust')")
@@ -390,18 +401,21 @@ def pred7_gates(spark, d):
     return schema.ledger(spark, d).select("seen_id", quality.too_short(C("tldr"), C("tldr")).alias("too_short"), ((value != 0) & (value < 2)).alias("low_value"))
 
 
-_TT = "list_filter(list_distinct(regexp_extract_all(lower(p.title), '[a-z0-9]+')), lambda w: length(w) >= 4 AND w NOT IN (" + ", ".join(map(q.lit, quality.TITLE_STOP)) + "))"
+_FULL = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
+_HALF = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)).replace("'", "''")
+_WIDE = lambda x: f"translate({x}, '{_FULL}', '{_HALF}')"  # noqa: E731  the compatibility forms that matter for words
+_TT = "list_filter(list_distinct(regexp_extract_all(lower(" + _WIDE("p.title") + "), '[a-z0-9]+')), lambda w: length(w) >= 4 AND w NOT IN (" + ", ".join(map(q.lit, quality.TITLE_STOP)) + "))"
 
 
 @query(
-    f"SELECT doc_id, terms = 0 OR hits >= CASE WHEN terms >= 3 THEN 2 ELSE 1 END AS matches FROM (SELECT d.doc_id, len({_TT}) AS terms, (SELECT count(*) FROM (SELECT unnest({_TT}) AS t) u WHERE regexp_matches(lower(coalesce(d.text,'')), '\\b' || u.t || '\\b')) AS hits FROM documents d JOIN {P} p ON p.seq = d.rec_id)"
+    f"SELECT doc_id, terms = 0 OR hits >= CASE WHEN terms >= 3 THEN 2 ELSE 1 END AS matches FROM (SELECT d.doc_id, len({_TT}) AS terms, (SELECT count(*) FROM (SELECT unnest({_TT}) AS t) u WHERE list_contains(string_split_regex(lower({_WIDE("coalesce(d.text,'')")}), '[^\\p{{L}}\\p{{M}}\\p{{N}}_]+'), u.t)) AS hits FROM documents d JOIN {P} p ON p.seq = d.rec_id)"
 )
 def pred10_title_terms(spark, d):
     j = read_table(spark, d, "documents").join(schema.papers(spark, d).select(C("seq").alias("rec_id"), "title"), "rec_id")
     return j.select("doc_id", quality.text_matches_title(C("text"), C("title")).alias("matches"))
 
 
-_LOW = f"regexp_replace(lower(coalesce(text,'')), '{q.WS}+', ' ', 'g')"
+_LOW = f"regexp_replace(lower({_WIDE("coalesce(text,'')")}), '{q.WS}+', ' ', 'g')"
 
 
 @query(f"SELECT doc_id, contains({_LOW}, 'formatting instructions') AND ({' + '.join(f'CAST(contains({_LOW}, {q.lit(m)}) AS INTEGER)' for m in quality.TEMPLATE)}) >= 3 AS template, {' OR '.join(f'contains(lower(coalesce(heading,{chr(39)}{chr(39)})), {q.lit(m)})' for m in quality.DENY)} AS denied FROM documents")
@@ -475,7 +489,9 @@ def j3_best_title(spark, d):
 
 @query()
 def j10_fuzzy_resolve(spark, d):
-    return lookup.resolve_title(schema.ledger(spark, d), "Robust Passage Ranking")
+    led = schema.ledger(spark, d)
+    first = led.where("title <> '' AND page_file <> ''").orderBy("seen_id").select("title").first()  # one title to ask for, without its end
+    return lookup.resolve_title(led, first.title[:-3] if first else "")
 
 
 @query()
@@ -494,13 +510,6 @@ def t13_excerpt(spark, d):
     return read_table(spark, d, "documents").select("doc_id", texts.evidence_excerpt(C("text"), 900, r"\d+(\.\d+)?\s*(%|percent)").alias("excerpt"))
 
 
-@query()
-def t9_line_sections(spark, d):
-    docs = read_table(spark, d, "documents").where("text <> ''").select(C("doc_id").cast("string").alias("paper_id"), F.posexplode(F.split("text", "\n+")).alias("pos", "txt"))
-    lines = docs.select("paper_id", "pos", F.when(F.length("txt") < 40, 14.0).otherwise(10.0).alias("size"), F.lit(False).alias("bold"), "txt")
-    return sections.sections_of_lines(lines)
-
-
 @query(f"SELECT s.username, greatest(1, least(CAST(s.k AS INTEGER), 20)) AS k, coalesce((SELECT max(nullif(l.added_on, '')) FROM seen_ledger l WHERE l.field_slug = s.username), '') AS latest FROM subscriptions s")
 def r10_clamped_k(spark, d):
     latest = schema.ledger(spark, d).groupBy(C("field_slug").alias("username")).agg(F.max(F.nullif("added_on", F.lit(""))).alias("latest"))
@@ -508,11 +517,16 @@ def r10_clamped_k(spark, d):
     return s.join(latest, "username", "left").select("username", "k", F.coalesce("latest", F.lit("")).alias("latest"))
 
 
-@query(f"SELECT seq, row_number() OVER (PARTITION BY field_slug ORDER BY citations DESC, seq) AS by_citations, row_number() OVER (PARTITION BY field_slug ORDER BY published DESC, seq) AS by_date FROM {P}")
+_SORTS = {
+    "added": "CASE WHEN coalesce(added_at,'') <> '' THEN added_at ELSE coalesce(added_on,'') END DESC", "published": "coalesce(pub_date,'') DESC", "value": "coalesce(TRY_CAST(reading_value AS BIGINT), 0) DESC", "title": "lower(coalesce(title,''))", "author": "lower(coalesce(authors[1],''))",
+}
+
+
+@query("SELECT seen_id, " + ", ".join(f"CAST(row_number() OVER (PARTITION BY coalesce(field_slug,'') ORDER BY {o}, seen_id) AS INTEGER) AS by_{n}" for n, o in _SORTS.items()) + " FROM seen_ledger")
 def r13_sort_modes(spark, d):
-    w = Window.partitionBy("field_slug")
-    p = schema.papers(spark, d)
-    return p.select("seq", F.row_number().over(w.orderBy(C("citations").desc(), "seq")).alias("by_citations"), F.row_number().over(w.orderBy(C("published").desc(), "seq")).alias("by_date"))
+    """The five orders of a list; equal entries keep their place. Texts are compared by code points here; a collation is a parameter of the view."""
+    rows = schema.ledger(spark, d).select("seen_id", "field_slug", F.coalesce(F.nullif(C("added_at"), F.lit("")), C("added_on")).alias("added"), C("pub_date").alias("published"), I.tolerant_int(C("reading_value")).alias("value"), F.lower("title").alias("title"), F.lower(F.coalesce(F.get("authors", F.lit(0)), F.lit(""))).alias("author"))
+    return ranking.sort_modes(rows, "field_slug", "seen_id", {"added": True, "published": True, "value": True, "title": False, "author": False})
 
 
 @query(f"SELECT seq, len(list_distinct(list_filter(matched_keywords, lambda k: trim(k) <> ''))) AS distinct_keywords FROM {P}")
@@ -521,17 +535,27 @@ def d5_distinct_keywords(spark, d):
     return schema.papers(spark, d).select("seq", F.size(F.array_distinct(kept)).alias("distinct_keywords"))
 
 
-@query(f"WITH {q.SCORED} SELECT scored.seq, relevance < 1 AS weak, abstract = '' AS no_abstract FROM scored JOIN {P} USING (seq)".replace("SELECT scored.seq", "SELECT seq"))
+@query(f"WITH {q.SCORED}, {q.GATED} SELECT field_slug, seq, relevance < 1 OR len(matched) = 0 AS weak, fulltext = 0 AS no_fulltext, abstract = '' AS no_abstract FROM gated")
 def pred6_pre_gates(spark, d):
     p = schema.papers(spark, d)
-    s = ranking.scored(p, schema.subscriptions(spark, d)).select("seq", "relevance")
-    return s.join(p.select("seq", "abstract"), "seq").select("seq", (C("relevance") < 1).alias("weak"), (C("abstract") == "").alias("no_abstract"))
+    s = ranking.scored(p, schema.subscriptions(spark, d)).join(p.select("seq", "abstract"), "seq")
+    return s.select("field_slug", "seq", quality.weak_relevance(C("relevance"), C("matched")).alias("weak"), (C("fulltext") == 0).alias("no_fulltext"), quality.no_text(C("abstract"), F.array()).alias("no_abstract"))
 
 
-@query("SELECT source, coalesce(lang,'') AS lang, count(*) AS n, coalesce(sum(n_chars), 0)::BIGINT AS chars, max(n_chars) AS longest FROM documents GROUP BY source, coalesce(lang,'')")
-def a8_text_sizes(spark, d):
-    by = read_table(spark, d, "documents").groupBy("source", F.coalesce("lang", F.lit("")).alias("lang"))
-    return by.agg(F.count("*").alias("n"), F.coalesce(F.sum("n_chars"), F.lit(0)).alias("chars"), F.max("n_chars").alias("longest"))
+_LINES = """lines AS (SELECT doc_id AS paper_id, i AS pos, txt, CASE WHEN length(txt) < 14 THEN 12.0 WHEN length(txt) < 40 THEN 11.0 ELSE 10.0 END AS size, length(txt) % 7 = 0 AS bold FROM (SELECT doc_id, unnest(w) AS txt, generate_subscripts(w, 1) AS i FROM (SELECT doc_id, list_filter(list_transform(string_split_regex(text, '\\n+'), lambda t: """ + q.strip("t") + """), lambda t: t <> '') AS w FROM documents WHERE text <> '')))"""
+
+
+def _lines(spark, d) -> DataFrame:
+    """Lines of the documents in the form of a PDF's: sizes and weights stand for what an extractor finds."""
+    w = F.filter(F.transform(F.split("text", "\\n+"), I.strip), lambda t: t != "")
+    docs = read_table(spark, d, "documents").where("text <> ''").select(C("doc_id").alias("paper_id"), F.posexplode(w).alias("p", "txt"))
+    size = F.when(F.length("txt") < 14, 12.0).when(F.length("txt") < 40, 11.0).otherwise(10.0)
+    return docs.select("paper_id", (C("p") + 1).alias("pos"), size.alias("size"), (F.length("txt") % 7 == 0).alias("bold"), "txt")
+
+
+@query(f"WITH {_LINES} SELECT paper_id, max_by(size, chars * 1000000 - first_pos) AS body_size FROM (SELECT paper_id, size, sum(length(txt)) AS chars, min(pos) AS first_pos FROM lines GROUP BY 1, 2) GROUP BY 1")
+def a8_body_size(spark, d):
+    return sections.body_sizes(_lines(spark, d))
 
 
 @query()
@@ -539,10 +563,17 @@ def l8_stub_summary(spark, d):
     docs = read_table(spark, d, "documents").select("rec_id", F.struct(F.coalesce("heading", F.lit("")).alias("heading"), F.coalesce("text", F.lit("")).alias("body")).alias("s")).where("rec_id IS NOT NULL")
     secs = docs.groupBy(C("rec_id").alias("seq")).agg(F.array_sort(F.collect_list("s")).alias("sections"))  # the texts of one record
     p = schema.papers(spark, d).join(secs, "seq")
-    return p.select("seq", summaries.stub(C("title"), C("abstract"), C("sections")).alias("summary")).select("seq", "summary.tldr", "summary.what", F.size("summary.sections").alias("parts"))
+    return p.select("seq", summaries.stub(C("title"), C("abstract"), C("sections")).alias("summary")).select("seq", "summary.tldr", "summary.what", "summary.basis", F.size("summary.sections").alias("parts"))
 
 
-@query()
+_CP = "(SELECT cand_id AS seq, coalesce(field_slug,'') AS field_slug, coalesce(title,'') AS title, coalesce(doi,'') AS doi, coalesce(arxiv_id,'') AS arxiv_id FROM candidates)"
+_CA = " UNION ALL ".join(f"SELECT seq, field_slug, '{k}' || {v} AS alias FROM {_CP} WHERE {v} <> ''" for k, v in _PAPER_PARTS)
+
+
+@query(
+    f"""WITH ca AS ({_CA}), la AS ({_LA}), taken AS (SELECT DISTINCT seq FROM ca SEMI JOIN la USING (field_slug, alias)), fr AS (SELECT * FROM ca WHERE seq NOT IN (SELECT seq FROM taken)), f AS (SELECT field_slug, alias, min(seq) AS first FROM fr GROUP BY 1, 2)
+    SELECT seq, field_slug FROM {_CP} WHERE seq NOT IN (SELECT seq FROM taken) AND seq NOT IN (SELECT seq FROM fr JOIN f USING (field_slug, alias) WHERE seq <> first)"""
+)
 def y1_incremental(spark, d):
     known = schema.ledger(spark, d).select("field_slug", F.explode(I.ledger_aliases(C("paper_key"), C("title"), C("doi"), C("arxiv_id"))).alias("alias"))
     batch = schema.filled(read_table(spark, d, "candidates")).withColumn("seq", C("cand_id")).withColumn("field_slug", F.coalesce("field_slug", F.lit("")))

@@ -67,7 +67,7 @@ def conference(x: str) -> str:
 
     low = f"lower({squeeze(x)})"
     names = ", ".join(map(lit, CONFERENCES))
-    return f"(regexp_matches({low}, '\\b(conference|symposium|workshop|congress|proceedings)\\b') OR list_has_any(regexp_extract_all({low}, '[a-z0-9]+'), [{names}]))"
+    return f"(list_has_any(regexp_extract_all({low}, '[a-z0-9]+'), ['conference','symposium','workshop','congress','proceedings']) OR list_has_any(regexp_extract_all({low}, '[a-z0-9]+'), [{names}]))"
 
 
 def with_year(x: str, published: str) -> str:
@@ -76,17 +76,43 @@ def with_year(x: str, published: str) -> str:
     return f"CASE WHEN {usable(x)} AND {conference(x)} AND NOT regexp_matches({v}, '\\b(?:19|20)\\d{{2}}\\b') AND {year} <> '' THEN {v} || ' ' || {year} ELSE {v} END"
 
 
-#: Papers of subscribed fields with relevance, matched keywords and full-text score.
+#: Papers of subscribed fields with key, relevance, matched keywords and full-text score.
 SCORED = f"""
 scored AS (
-  SELECT p.field_slug, p.seq, p.title, p.published, p.citations, greatest(1, least(CAST(s.k AS INTEGER), 20)) AS k, {ftext('p.arxiv_id', 'p.pdf_url', 'p.doi')} AS fulltext,
-    CAST(coalesce((SELECT sum(CASE WHEN {has_word('lower(p.title)', 'u.kw')} THEN 3 ELSE 0 END + CASE WHEN {has_word('lower(p.abstract)', 'u.kw')} THEN 1 ELSE 0 END) FROM (SELECT unnest(s.keywords) AS kw) u), 0) AS BIGINT) AS relevance
+  SELECT p.field_slug, p.seq, p.title, p.abstract, p.published, p.citations, p.scan_mode, greatest(1, least(CAST(s.k AS INTEGER), 20)) AS k, {ftext('p.arxiv_id', 'p.pdf_url', 'p.doi')} AS fulltext,
+    CASE WHEN p.doi <> '' THEN 'doi:' || lower(p.doi) WHEN p.arxiv_id <> '' THEN 'arxiv:' || lower(p.arxiv_id) ELSE 'title:' || {ntitle('p.title')} END AS paper_key,
+    s.ambiguous_keywords, s.context_keywords, s.ambiguous_context_groups,
+    CAST(coalesce((SELECT sum(CASE WHEN {has_word('lower(p.title)', 'u.kw')} THEN 3 ELSE 0 END + CASE WHEN {has_word('lower(p.abstract)', 'u.kw')} THEN 1 ELSE 0 END) FROM (SELECT unnest(s.keywords) AS kw) u), 0) AS BIGINT) AS relevance,
+    coalesce((SELECT list({strip('u.kw')} ORDER BY u.i) FROM (SELECT unnest(s.keywords) AS kw, generate_subscripts(s.keywords, 1) AS i) u WHERE {has_word('lower(p.title)', 'u.kw')} OR {has_word('lower(p.abstract)', 'u.kw')}), []) AS matched
   FROM {P} p JOIN subscriptions s ON s.username = p.field_slug)
 """
-QUEUE = """
-x AS (SELECT *, row_number() OVER (PARTITION BY field_slug ORDER BY relevance DESC, fulltext DESC, citations DESC, published DESC, seq) AS ri FROM scored WHERE relevance > 0),
-y0 AS (SELECT *, ri <= CASE WHEN k <= 1 THEN 0 ELSE least(2, k - 1) END AS im FROM x),
-y AS (SELECT *, row_number() OVER (PARTITION BY field_slug, im ORDER BY relevance DESC, fulltext DESC, published DESC, seq) AS rr FROM y0),
-z AS (SELECT *, CASE WHEN im THEN 0 WHEN rr <= k - CASE WHEN k <= 1 THEN 0 ELSE least(2, k - 1) END THEN 1 ELSE 2 END AS phase FROM y),
+#: The same with the context issue of each record, '' if there is none.
+GATED = f"""
+gb AS (SELECT field_slug, seq, lower(title || chr(10) || abstract) AS body, list_distinct(list_transform(matched, lambda m: lower(m))) AS m, list_filter(list_transform(ambiguous_keywords, lambda m: lower({strip('m')})), lambda m: m <> '') AS amb, context_keywords, ambiguous_context_groups AS acg FROM scored),
+gg AS (SELECT field_slug, seq, body, lower({strip('k')}) AS acro, grp FROM (SELECT field_slug, seq, body, unnest(map_keys(acg)) AS k, unnest(map_values(acg)) AS grp FROM gb)),
+ga AS (SELECT field_slug, seq, body, acro, unnest(grp) AS terms FROM gg),
+gok AS (SELECT field_slug, seq, acro, bool_or(len(list_filter(terms, lambda t: {strip('t')} <> '')) > 0 AND len(list_filter(terms, lambda t: {strip('t')} <> '' AND NOT {has_word('body', 't')})) = 0) AS ok FROM ga GROUP BY 1, 2, 3),
+gr AS (SELECT b.field_slug, b.seq, b.m, b.amb, coalesce((SELECT list(acro) FROM gok WHERE gok.field_slug = b.field_slug AND gok.seq = b.seq), []) AS conf, coalesce((SELECT list(upper(acro) ORDER BY upper(acro)) FROM gok WHERE gok.field_slug = b.field_slug AND gok.seq = b.seq AND NOT ok AND list_contains(b.m, acro)), []) AS missing,
+  len(context_keywords) = 0 OR EXISTS (SELECT 1 FROM (SELECT unnest(b.context_keywords) AS kw) u WHERE {has_word('b.body', 'u.kw')}) AS ctx FROM gb b),
+gated AS (SELECT s.*, CASE WHEN len(amb) = 0 OR len(m) = 0 OR NOT list_has_all(amb, m) THEN '' WHEN len(conf) > 0 AND len(missing) > 0 THEN 'required terms missing: ' || array_to_string(missing, ', ') WHEN len(conf) > 0 AND list_has_all(conf, m) THEN '' WHEN ctx THEN '' ELSE 'no context of the field: ' || array_to_string(list_sort(list_transform(m, lambda x: upper(x))), ', ') END AS issue FROM scored s JOIN gr USING (field_slug, seq))
+"""
+_IMPORTANT = "relevance DESC, fulltext DESC, citations DESC, published DESC, seq"
+_RECENT = "relevance DESC, fulltext DESC, published DESC, seq"
+
+
+def queue(source: str = "scored", quotas: str | None = None) -> str:
+    """CTEs up to ``queue``; ``source`` may have in_important and in_recent, ``quotas`` (field_slug, important_left, recent_left)."""
+    pools = "in_important, in_recent" if source != "scored" else "true AS in_important, true AS in_recent"
+    left = f"JOIN {quotas} USING (field_slug)" if quotas else ""
+    slots = "important_left, recent_left" if quotas else "CASE WHEN k <= 1 THEN 0 ELSE least(2, k - 1) END AS important_left, k - CASE WHEN k <= 1 THEN 0 ELSE least(2, k - 1) END AS recent_left"
+    return f"""
+w AS (SELECT *, row_number() OVER (PARTITION BY field_slug, paper_key ORDER BY {_IMPORTANT}) AS copy_no, {pools.replace('in_important, in_recent', '1 AS one') if source != 'scored' else pools}, {slots} FROM {source} {left} WHERE relevance > 0),
+x AS (SELECT *, row_number() OVER (PARTITION BY field_slug ORDER BY {_IMPORTANT}) AS ri, row_number() OVER (PARTITION BY field_slug, in_important ORDER BY {_IMPORTANT}) AS rp FROM w WHERE copy_no = 1),
+y0 AS (SELECT *, in_important AND rp <= important_left AS im FROM x),
+y AS (SELECT *, row_number() OVER (PARTITION BY field_slug, im, in_recent ORDER BY {_RECENT}) AS rr FROM y0),
+z AS (SELECT *, CASE WHEN im THEN 0 WHEN in_recent AND rr <= recent_left THEN 1 ELSE 2 END AS phase FROM y),
 queue AS (SELECT field_slug, seq, k, phase, row_number() OVER (PARTITION BY field_slug ORDER BY phase, CASE WHEN phase = 1 THEN rr ELSE ri END) AS queue_pos FROM z)
 """
+
+
+QUEUE = queue()

@@ -21,6 +21,7 @@ from bibweave.functions.identity import squeeze, text
 from bibweave.functions.texts import restore_inverted
 from bibweave.functions.venue import from_comment
 from bibweave.schema import PAPER, filled
+from bibweave.session import cut_lineage
 
 Connector = Callable[[DataFrame], DataFrame]
 SOURCES: dict[str, Connector] = {}
@@ -220,18 +221,83 @@ def crossref(raw: DataFrame) -> DataFrame:
     )
 
 
-def gather(answers: dict[str, DataFrame]) -> tuple[DataFrame | None, dict[str, str]]:
-    """Union of all sources, and the error of each that failed."""
-    parts, errors = [], {}
+def search(raw: DataFrame, pages: DataFrame | None = None, attempts: int = 3, wait: Callable[[int], None] | None = None) -> DataFrame:
+    """The preprint service's records: from its feed, else from its search pages.
+
+    An empty answer counts as a failure, as the service sends one when it is
+    overloaded.  After both have failed ``wait`` is called with the number of the
+    attempt (a fetcher renews the answers there); the last failure is raised.
+    """
+    failed: list[str] = []
+    for n in range(attempts):
+        for name, answer in (("arxiv", raw), ("arxiv-search", pages)):
+            if answer is None:
+                continue
+            try:
+                found = cut_lineage(search_source(name, answer))
+                if not found.isEmpty():
+                    return found
+                failed.append(f"{name}: empty")
+            except Exception as e:  # the other way may still answer
+                failed.append(f"{name}: {e}")
+        if wait and n + 1 < attempts:
+            wait(n + 1)
+    raise RuntimeError("no records: " + "; ".join(failed)[:500])
+
+
+def gather(answers: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(records, log): the union of all sources, and per source (source, n, error) how many records came, or why none did.
+
+    Each source is read and written on its own, so that one with a bad answer fails
+    here, and not in whatever action uses the union later.
+    """
+    parts, log = [], []
+    spark = next(iter(answers.values())).sparkSession
     for name, raw in answers.items():
         try:
-            parts.append(search_source(name, raw))
+            part = cut_lineage(search_source(name, raw))
+            log.append((name, part.count(), ""))
+            parts.append(part)
         except Exception as e:  # one source must not stop the others
-            errors[name] = str(e)
-    out = None
-    for p in parts:
-        out = p if out is None else out.unionByName(p)
-    return out, errors
+            log.append((name, 0, str(e).splitlines()[0][:300]))
+    out = parts[0] if parts else spark.createDataFrame([], PAPER)
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out, spark.createDataFrame(log, "source string, n long, error string")
+
+
+def limited(records: DataFrame, limit: int, mode: str) -> DataFrame:
+    """What a service gives of its hits: the most cited of the important ones, the newest of the recent ones; the limit is the feature."""
+    order = [F.col("citations").desc()] if mode == "important" else [F.col("published").desc()]
+    return records.orderBy(*order, "title").limit(limit)
+
+
+def answers_mode(source_name: str, mode: str) -> bool:
+    """Whether a source is asked in a mode: the bibliography without citations and the preprint service have no important works of their own."""
+    return not (mode == "important" and source_name in ("dblp", "arxiv", "arxiv-search"))
+
+
+def page_size(limit: int, terms: int, sizes: tuple[int, ...] = (25, 50, 100, 200)) -> int:
+    """Hits a page of a search for each of several terms: the smallest page that reaches the limit together."""
+    share = -(-min(limit, sizes[-1]) // max(1, terms))
+    return next((s for s in sizes if s >= share), sizes[-1])
+
+
+SUBSCRIPTION = "username string, label string, keywords array<string>, search_queries array<string>, ambiguous_keywords array<string>, ambiguous_context_groups map<string,array<array<string>>>, context_keywords array<string>, k bigint, sources array<string>, manual boolean"
+
+
+def subscriptions_of(spark: SparkSession, rows: list[dict]) -> DataFrame:
+    """Subscriptions as a table; a group may be one list of words or several."""
+
+    def groups(value: dict | None) -> dict | None:
+        return {k: [[g] if isinstance(g, str) else list(g) for g in v] for k, v in value.items()} if value else None
+
+    def words(value) -> list[str] | None:
+        return None if value is None else [" + ".join(v) if isinstance(v, list) else str(v) for v in value]
+
+    names = [c.split()[0] for c in SUBSCRIPTION.split(", ")]
+    made = [{**r, "search_queries": words(r.get("search_queries")), "ambiguous_context_groups": groups(r.get("ambiguous_context_groups")), "manual": bool(r.get("manual"))} for r in rows]
+    return spark.createDataFrame([tuple(r.get(c) for c in names) for r in made], SUBSCRIPTION)
 
 
 def subscriptions_from_yaml(spark: SparkSession, path: str) -> DataFrame:
@@ -240,9 +306,7 @@ def subscriptions_from_yaml(spark: SparkSession, path: str) -> DataFrame:
     except ImportError as e:  # optional
         raise RuntimeError("reading subscriptions needs a YAML library") from e
     with open(path, encoding="utf-8") as f:
-        rows = yaml.safe_load(f).get("subscriptions", [])
-    schema = "username string, label string, keywords array<string>, search_queries array<string>, k bigint, manual boolean"
-    return spark.createDataFrame([tuple(r.get(c) for c in ("username", "label", "keywords", "search_queries", "k", "manual")) for r in rows], schema)
+        return subscriptions_of(spark, yaml.safe_load(f).get("subscriptions", []))
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -270,16 +334,25 @@ class StoredAnswers(DataSource):
 
 
 class _AnswerReader(DataSourceReader):
+    """Stored answers of any file system that Arrow knows by its address; a plain path is a shared folder."""
+
     def __init__(self, path: str):
         self.path = path
 
+    def _open(self):
+        from pyarrow import fs
+
+        return fs.FileSystem.from_uri(self.path) if "://" in self.path else (fs.LocalFileSystem(), self.path)
+
     def partitions(self):
-        from pathlib import Path
+        from pyarrow import fs
 
-        return [InputPartition((n, str(p))) for n, p in enumerate(sorted(p for p in Path(self.path).iterdir() if p.is_file()))] or [InputPartition(None)]
+        system, root = self._open()
+        files = sorted(i.path for i in system.get_file_info(fs.FileSelector(root)) if i.type == fs.FileType.File)
+        return [InputPartition((n, p)) for n, p in enumerate(files)] or [InputPartition(None)]
 
     def read(self, partition):
         if partition.value is not None:
             n, path = partition.value
-            with open(path, encoding="utf-8") as f:
-                yield n, f.read()
+            with self._open()[0].open_input_file(path) as f:
+                yield n, f.read().decode("utf-8")

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bibweave.schema import PAPER
+
 
 def save_ledger(ledger: DataFrame, path: str) -> None:
     """The whole ledger, by field; the commit protocol makes the swap atomic."""
@@ -24,9 +26,24 @@ def load_ledger(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.read.schema(schema).parquet(path)
 
 
-def save_cache(ranked: DataFrame, path: str) -> None:
-    """Ranked candidates per field and mode, at most 500 each as ranked before."""
-    ranked.write.mode("overwrite").partitionBy("field_slug").parquet(path)
+def cache_path(root: str, field_slug: str, mode: str) -> str:
+    return f"{root}/{safe_path(field_slug)}/{safe_path(mode)}"
+
+
+def save_cache(ranked: DataFrame, root: str, field_slug: str, mode: str) -> None:
+    """Candidates of one field and mode in the declared columns, at most 500 as ranked before; the commit protocol makes the swap atomic."""
+    ranked.select("seq", *PAPER.fieldNames()).write.mode("overwrite").parquet(cache_path(root, field_slug, mode))
+
+
+def load_cache(spark: SparkSession, root: str, field_slug: str, mode: str) -> DataFrame:
+    """What an earlier run kept; a cache that isn't there or can't be read is empty, as it can be gathered again."""
+    schema = T.StructType([T.StructField("seq", T.LongType()), *PAPER])
+    try:
+        found = spark.read.schema(schema).parquet(cache_path(root, field_slug, mode))
+        found.select("seq").limit(1).count()  # the footers are only read now
+        return found
+    except Exception:
+        return spark.createDataFrame([], schema)
 
 
 def write_report(report: DataFrame, path: str) -> None:
