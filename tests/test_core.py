@@ -27,22 +27,22 @@ def papers(spark, rows):
 
 def test_identity(spark):
     c = lambda x: F.lit(x)
-    assert one(spark, I.normalize_title(c("MAPF - Planning with Priorities"))) == "mapf planning with priorities"
-    assert one(spark, I.normalize_doi(c("https://doi.org/10.48550/arXiv.2304.04217"))) == "10.48550/arxiv.2304.04217"
-    assert one(spark, I.doi_arxiv_id(c("https://doi.org/10.48550/arXiv.2304.04217"))) == "2304.04217"
-    assert one(spark, I.normalize_arxiv_id(c("1705.10868v2"))) == "1705.10868"
+    assert one(spark, I.normalize_title(c("KELP - Rafts under  Winter Swell!"))) == "kelp rafts under winter swell"
+    assert one(spark, I.normalize_doi(c("https://doi.org/10.48550/arXiv.2911.70042"))) == "10.48550/arxiv.2911.70042"
+    assert one(spark, I.doi_arxiv_id(c("https://doi.org/10.48550/arXiv.2911.70042"))) == "2911.70042"
+    assert one(spark, I.normalize_arxiv_id(c("arXiv:2911.70042v3"))) == "2911.70042"
     assert one(spark, I.slugify(c(" A/B  c!! "))) == "a-b-c"
     assert one(spark, I.slugify(c("!!!"))) == "item"
     assert one(spark, I.paper_aliases(c("日本"), c(""), c(""))) == []
 
 
 def test_context_gate(spark):
-    ambiguous, context = F.array(F.lit("MAPF"), F.lit("MAPD")), F.array().cast("array<string>")
-    groups = F.create_map(F.lit("MAPD"), F.array(F.array(F.lit("pickup"), F.lit("delivery"))))
+    ambiguous, context = F.array(F.lit("KRW"), F.lit("KRD")), F.array().cast("array<string>")
+    groups = F.create_map(F.lit("KRD"), F.array(F.array(F.lit("kelp"), F.lit("raft"))))
     issue = lambda title, *m: one(spark, match.context_issue(F.lit(title), F.lit(""), F.array(*map(F.lit, m)), ambiguous, context, groups))
-    assert issue("MAPD type avalanche photodetectors", "MAPD").startswith("required terms missing")
-    assert issue("MAPD with pickup and delivery", "MAPD") == ""
-    assert issue("whatever", "MAPD", "multi-agent pickup and delivery") == ""
+    assert issue("KRD as the name of a radio band", "KRD").startswith("required terms missing")
+    assert issue("KRD for a kelp farm with one raft", "KRD") == ""
+    assert issue("whatever", "KRD", "kelp raft drift") == ""
 
 
 def test_word_boundaries(spark):
@@ -57,8 +57,8 @@ def test_venues(spark):
     assert one(spark, venue.with_year(F.lit("ICAPS"), F.lit("2026-05-01"))) == "ICAPS 2026"
     assert one(spark, venue.with_year(F.lit("ICAPS 2026"), F.lit("2026"))) == "ICAPS 2026"
     assert one(spark, venue.with_year(F.lit("Artificial Intelligence"), F.lit("2026"))) == "Artificial Intelligence"
-    assert one(spark, venue.from_comment(F.lit("Accepted at AAMAS 2026. 12 pages."))) == "AAMAS 2026"
-    assert one(spark, venue.from_comment(F.lit("Submitted to AAAI 2027."))) == ""
+    assert one(spark, venue.from_comment(F.lit("Accepted at KELPCON 2031. 9 pages."))) == "KELPCON 2031"
+    assert one(spark, venue.from_comment(F.lit("Submitted to KELPCON 2032."))) == ""
 
 
 def test_quotas(spark):
@@ -89,10 +89,10 @@ def test_merge_fold(spark):
 
 
 def test_quality(spark):
-    title = F.lit("Guidance Graph Optimization for Lifelong Multi-Agent Path Finding")
+    title = F.lit("Mooring Line Inspection for Drifting Kelp Rafts")
     kit = F.lit("Formatting instructions. Paper size and camera-ready. Illustrations.")
     assert not one(spark, quality.plausible(kit, title))
-    assert one(spark, quality.plausible(F.lit("A guidance graph is an optimization"), title))
+    assert one(spark, quality.plausible(F.lit("A mooring is an inspection of its line"), title))
     assert one(spark, F.size(quality.char_ngrams(F.lit("ab")))) == 0
     assert one(spark, quality.containment(F.lit("abcdef"), F.lit("xx abcdef yy"))) == 1.0
 
@@ -112,10 +112,20 @@ def test_html_sections():
 
 
 def test_line_sections(spark):
-    lines = [(0, 16.0, "A Title"), (1, 10.0, "someone"), (2, 14.0, "Abstract"), (3, 10.0, "we do things here."), (4, 14.0, "1 Introduction"), (5, 10.0, "it starts."), (6, 10.0, "it goes on."), (7, 14.0, "References"), (8, 10.0, "[1] x")]
-    df = spark.createDataFrame([("p", p, s, False, t) for p, s, t in lines], "paper_id string, pos int, size double, bold boolean, txt string")
-    got = [(r.heading, r.body) for r in sections.sections_of_lines(df).orderBy("pos").collect()]
-    assert got == [("Abstract", "we do things here."), ("1 Introduction", "it starts. it goes on.")]
+    lines = [
+        (1, 16.0, "Kelp Rafts under Winter Swell"), (2, 10.0, "someone of somewhere"), (3, 13.0, "Abstract"), (4, 10.0, "we do things here and we say at some length what they are."), (5, 13.0, "1 Introduction"),
+        (6, 10.0, "it starts with a  sentence of some length,"), (7, 10.5, "Figure 3: not a heading"), (8, 10.0, "it goes on."), (9, 13.0, "2 Method"), (10, 10.0, "short."), (11, 13.0, "References"), (12, 10.0, "[1] x, and many words behind it to be long enough"),
+    ]
+    df = spark.createDataFrame([("p", p, s, False, t) for p, s, t in lines] + [("q", 1, 10.0, False, "no heading at all")], "paper_id string, pos int, size double, bold boolean, txt string")
+    got = [(r.section_no, r.heading, r.body) for r in sections.sections_of_lines(df).orderBy("section_no").collect()]
+    assert got == [(1, "Abstract", "we do things here and we say at some length what they are."), (2, "1 Introduction", "it starts with a sentence of some length, Figure 3: not a heading it goes on.")]
+    whole = {(r.paper_id, r.heading) for r in sections.pdf_sections(df).collect()}
+    assert whole == {("p", "Abstract"), ("p", "1 Introduction"), ("q", "本文 (1/1)")}
+
+
+@pytest.mark.parametrize("txt,size,bold,want", [("1 Introduction", 10.6, False, True), ("1 Introduction", 10.5, False, False), ("1 Introduction", 9.9, True, True), ("Our view", 10.0, True, False), ("OUR VIEW", 10.6, False, True), ("Table 2 of results", 14.0, True, False), ("a b c d e f g h i j k l m", 14.0, True, False), ("Related work and more", 10.0, True, True), ("IV", 14.0, True, False)])
+def test_heading(spark, txt, size, bold, want):
+    assert one(spark, sections.is_heading(F.lit(txt), F.lit(size), F.lit(bold), F.lit(10.0))) is want
 
 
 def test_lookup(spark):
@@ -133,16 +143,18 @@ def test_lookup(spark):
 def test_sources(spark):
     atom = """<feed><entry><id>http://arxiv.org/abs/2601.00001v1</id><title>A
       title</title><summary>S &amp; t</summary><published>2026-01-02T00:00:00Z</published><author><name>A B</name></author>
-      <arxiv:comment>Accepted at AAMAS 2026. 12 pages.</arxiv:comment><link title="pdf" href="http://arxiv.org/pdf/2601.00001v1"/></entry></feed>"""
-    page = """<li class="arxiv-result"><a href="https://arxiv.org/abs/2608.05588v1">x</a><p class="title">T</p><p class="authors"><a>A</a>, <a>B</a></p>
-      <span class="abstract-full">text △ Less</span><p>Submitted 6 August, 2026;</p><p class="comments">Comments: Accepted to AAAI 2027. 10 pages.</p></li>"""
+      <arxiv:comment>Accepted at KELPCON 2031. 9 pages.</arxiv:comment><link title="pdf" href="http://arxiv.org/pdf/2601.00001v1"/></entry></feed>"""
+    page = """<li class="arxiv-result"><a href="https://arxiv.org/abs/2911.70042v1">x</a><p class="title">T</p><p class="authors"><a>A</a>, <a>B</a></p>
+      <span class="abstract-full">text △ Less</span><p>Submitted 6 August, 2026;</p><p class="comments">Comments: Accepted to KELPCON 2032. 8 pages.</p></li>"""
     work = '{"results":[{"title":"W","publication_date":"2026-01-01","doi":"https://doi.org/10.1/x","cited_by_count":4,"abstract_inverted_index":{"b":[1],"a":[0,2]}}]}'
     hits = '{"result":{"hits":{"hit":[{"info":{"title":"D.","year":"2020","venue":"V","authors":{"author":{"text":"X Y 0001"}}}}]}}}'
     raw = lambda body: spark.createDataFrame([(0, body)], "seq int, body string")
-    both, errors = connectors.gather({"arxiv": raw(atom), "arxiv-search": raw(page), "openalex": raw(work), "dblp": raw(hits), "nowhere": raw("")})
+    both, log = connectors.gather({"arxiv": raw(atom), "arxiv-search": raw(page), "openalex": raw(work), "dblp": raw(hits), "nowhere": raw("")})
     rows = {r.source: r for r in both.collect()}
-    assert set(errors) == {"nowhere"} and rows["arxiv"].arxiv_id == "2601.00001" and rows["arxiv"].venue == "AAMAS 2026" and rows["arxiv"].abstract == "S & t"
-    assert (rows["arxiv-search"].published, rows["arxiv-search"].authors, rows["arxiv-search"].venue, rows["arxiv-search"].abstract) == ("2026-08-06", ["A", "B"], "AAAI 2027", "text")
+    told = {r.source: (r.n, r.error != "") for r in log.collect()}
+    assert told == {"arxiv": (1, False), "arxiv-search": (1, False), "openalex": (1, False), "dblp": (1, False), "nowhere": (0, True)}
+    assert rows["arxiv"].arxiv_id == "2601.00001" and rows["arxiv"].venue == "KELPCON 2031" and rows["arxiv"].abstract == "S & t"
+    assert (rows["arxiv-search"].published, rows["arxiv-search"].authors, rows["arxiv-search"].venue, rows["arxiv-search"].abstract) == ("2026-08-06", ["A", "B"], "KELPCON 2032", "text")
     assert (rows["openalex"].abstract, rows["openalex"].doi, rows["openalex"].citations) == ("a b a", "10.1/x", 4)
     assert (rows["dblp"].title, rows["dblp"].authors) == ("D", ["X Y"])
 
