@@ -57,3 +57,9 @@ def multiline(value: Column) -> Column:
 def looks_like_pdf(url: Column) -> Column:
     low = F.lower(text(url))
     return low.contains(".pdf") | low.contains("/pdf/")
+
+
+def shortened(value: Column, most: int = 64) -> Column:
+    """A title for one line: whole if it fits, else cut and marked."""
+    t = text(value)
+    return F.when(F.length(t) <= most, t).otherwise(F.concat(F.rtrim(F.substring(t, 1, most - 3)), F.lit("…")))

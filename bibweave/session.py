@@ -34,12 +34,18 @@ def build_session(cores: int | str = "*", app: str = "bibweave", **conf: str) ->
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The shared folder of ``spark.checkpoint.dir``.
+
+    Where it is unset a temporary folder of this machine is used, but only by a
+    local session, as in tests: the tasks of a cluster don't share one.
+    """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     named = sc.getConf().get("spark.checkpoint.dir", None)
+    if named is None and not sc.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="bibweave-checkpoint-"))
     return sc._jsc.sc().getCheckpointDir().get()
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from bibweave.functions.identity import squeeze, text
+from bibweave.functions.identity import normalize_arxiv_id, squeeze, text
 from bibweave.functions.texts import restore_inverted
 from bibweave.functions.venue import from_comment
 from bibweave.schema import PAPER, filled
@@ -245,6 +245,28 @@ def search(raw: DataFrame, pages: DataFrame | None = None, attempts: int = 3, wa
     raise RuntimeError("no records: " + "; ".join(failed)[:500])
 
 
+def record_by_id(records: DataFrame, arxiv_id: str) -> DataFrame:
+    """The record of one preprint, whatever notation its id comes in; no row if there is none."""
+    wanted = normalize_arxiv_id(F.lit(arxiv_id))
+    return records.where((wanted != "") & (normalize_arxiv_id(F.col("arxiv_id")) == wanted)).limit(1)  # an id names one record
+
+
+def retried(fetch: Callable[[], str], wait: Callable[[float], None], attempts: int = 4, step: float = 5.0) -> str:
+    """An answer of a service that may be busy: ``fetch`` raises BusyError for that, and is asked again after longer and longer waits."""
+    for n in range(1, attempts + 1):
+        try:
+            return fetch()
+        except BusyError:
+            if n == attempts:
+                raise
+            wait(step * n)
+    raise AssertionError("unreachable")
+
+
+class BusyError(Exception):
+    """A service asks to come back later."""
+
+
 def gather(answers: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
     """(records, log): the union of all sources, and per source (source, n, error) how many records came, or why none did.
 

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from bibweave.functions import markup, quality, texts
+from bibweave.functions import labels, markup, quality, texts
 from bibweave.operators import lookup, ranking, resolve, run, sections, stages, summaries, views
 from bibweave.schema import PAPER
 from bibweave.sources import connectors, sinks
@@ -240,3 +240,21 @@ def test_pages_read_back(spark):
     assert (r.title, r.authors, r.venue, r.published) == ("Kelp rafts", "A B, C D", "Kelp Letters", "2030-01-01") and r.body.startswith("body")
     links = one(spark, markup.page_links(F.lit(page)))
     assert (links.pdf_url, links.doi, links.arxiv_id) == ("/x/y.pdf", "10.1/ab", "2911.70042")
+
+
+def test_busy_services_and_single_records(spark):
+    waits, left = [], [2]
+
+    def fetch():
+        left[0] -= 1
+        if left[0] >= 0:
+            raise connectors.BusyError
+        return "answer"
+
+    assert connectors.retried(fetch, waits.append) == "answer" and waits == [5.0, 10.0]
+    left[0] = 9
+    with pytest.raises(connectors.BusyError):
+        connectors.retried(fetch, waits.append)
+    rows = spark.createDataFrame([("2911.70042v2", "a"), ("", "b")], "arxiv_id string, title string")
+    assert [r.title for r in connectors.record_by_id(rows, "arXiv:2911.70042").collect()] == ["a"] and connectors.record_by_id(rows, "").count() == 0
+    assert one(spark, labels.shortened(F.lit("k" * 70))) == "k" * 61 + "…" and one(spark, labels.shortened(F.lit("short"))) == "short"
