@@ -35,18 +35,21 @@ from bibweave.session import cut_lineage, drop_cut
 
 RULES = {1: "same title", 2: "identifier, author and year", 3: "title but for some slips, and an author", 4: "title but for some slips, no author", 5: "start of the title, and an author"}
 LONGEST, APART = 1_023, 16  # lengths above the first count as equal; titles of more different lengths are no slips of each other, nor cut by a word or two
-DEPTH, BARE_DEPTH = 3, 4  # min-hashes of a branch
-AGREE = 2  # branches, of 16, that a pair must share; 96 % of titles with four slips in 56 letters do, nearly all with fewer
+TREES, DEPTH, BARE_DEPTH = 14, 3, 4  # branches, and min-hashes of one
+AGREE = 2  # branches that a pair must share; 93 % of titles with four slips in 56 letters do, nearly all with fewer
 
 
 def candidates(anchors: DataFrame) -> DataFrame:
     """(a, b, rule) of nodes that share a key, a < b, each pair once with its strongest rule."""
     rows = anchors.select("node", "letters", "breaks", "cut", "first", "least")
-    slips = rows.mapInArrow(slip_rows(DEPTH), KEYS).select("k", "node")
+    slips = rows.mapInArrow(slip_rows(DEPTH, TREES), KEYS).select("k", "node")
     same = slips.select("k", F.col("node").alias("a")).join(slips.select("k", F.col("node").alias("b")), "k").where(f"a < b AND abs((a & {LONGEST}) - (b & {LONGEST})) <= {APART}").select("a", "b", F.lit(3).alias("rule"))
     asked = rows.mapInArrow(probe_rows(BARE_DEPTH), KEYS).select("k", F.col("node").alias("p"), F.col("role").alias("rp"))
     index = rows.mapInArrow(index_rows(BARE_DEPTH), KEYS).select("k", F.col("node").alias("x"), F.col("role").alias("rx"))
-    met = asked.join(index, "k").where("p <> x AND NOT (rp = 1 AND rx = 1)").select(F.least("p", "x").alias("a"), F.greatest("p", "x").alias("b"), F.lit(4).alias("rule"))
+    # A title that another one is the start of is longer; of whole titles only slips may differ.
+    length = lambda c: f"({c} & {LONGEST})"
+    start = f"rp < 3 AND NOT (rp = 1 AND rx = 1) AND ({length('p')} < {length('x')} OR {length('p')} = {LONGEST})"
+    met = asked.join(index, "k").where(f"p <> x AND ({start} OR rp > 2 AND abs({length('p')} - {length('x')}) <= 4)").select(F.least("p", "x").alias("a"), F.greatest("p", "x").alias("b"), F.lit(4).alias("rule"))
     slips, other = F.count_if(F.col("rule") == 3), F.count_if(F.col("rule") == 4)
     met_in = same.union(met).groupBy("a", "b").agg(slips.alias("slips"), other.alias("other")).where(f"slips >= {AGREE} OR other > 0")
     return met_in.select("a", "b", F.when(F.col("slips") >= AGREE, 3).otherwise(4).alias("rule"))

@@ -23,6 +23,8 @@ BARE_TREES = 6  # trees that are also kept without an author, for records that h
 START = 12  # letters of the shortest start; half as many for Japanese
 #: What a key row holds: a key with an author, one without of a record that has authors, and one of a record without any.
 NAMED, BARE, NAMELESS = 0, 1, 2
+#: The last two for keys of whole titles.
+WHOLE_BARE, WHOLE_NAMELESS = 3, 4
 
 _rng = np.random.default_rng(11)
 _A = _rng.integers(1, 1 << 32, TREES * LENGTH, dtype=np.uint32) | np.uint32(1)
@@ -67,8 +69,8 @@ def text_key(*parts: object) -> int:
     return xxhash.xxh64_intdigest("\x1f".join(map(str, parts)).encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def short_key(*parts: object) -> int:
-    return text_key(*parts) + (1 << 63) >> (64 - KEY_BITS)
+def short_key(kind: int, piece: str, name: int = 0) -> int:
+    return xxhash.xxh64_intdigest(f"{kind}\x1f{piece}\x1f{name}".encode("utf-8", "surrogatepass")) >> (64 - KEY_BITS)
 
 
 def _pieces(letters: str, at: int, shift: int = 0) -> list[tuple[int, str]]:
@@ -123,16 +125,16 @@ def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, list[str], list[list[in
     return node, batch.column("letters").to_pylist(), batch.column("breaks").to_pylist(), batch.column("cut").to_pylist(), first, least
 
 
-def slip_rows(depth: int):
+def slip_rows(depth: int, trees: int = TREES):
     """Rows of anchored titles -> (k, node, role) of every tree: half of the trees go with the first author, half with the least name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, letters, _, _, first, least = _columns(batch)
             named = np.flatnonzero(first != 0)
-            sig = signatures([letters[i] for i in named], depth)
+            sig = signatures([letters[i] for i in named], depth, trees)
             names = (first[named], least[named])
-            yield _flat([], [(mixed(t, sig[:, t], names[2 * t >= TREES]), node[named], NAMED) for t in range(TREES)])
+            yield _flat([], [(mixed(t, sig[:, t], names[2 * t >= trees]), node[named], NAMED) for t in range(trees)])
 
     return run
 
@@ -146,7 +148,7 @@ def index_rows(depth: int):
             rows = [(k, n, role) for n, x, b, f in zip(node.tolist(), letters, breaks, first.tolist()) for k, role in start_keys(x, b, f)]
             sig = signatures(letters, depth, BARE_TREES)
             less = first == 0
-            more = [(mixed(100 + t, sig[w, t]), node[w], role) for t in range(BARE_TREES) for w, role in ((less, NAMELESS), (~less, BARE))]
+            more = [(mixed(100 + t, sig[w, t]), node[w], role) for t in range(BARE_TREES) for w, role in ((less, WHOLE_NAMELESS), (~less, WHOLE_BARE))]
             yield _flat(rows, more)
 
     return run
@@ -161,6 +163,6 @@ def probe_rows(depth: int):
             rows = [(k, n, role) for n, x, c, f in zip(node.tolist(), letters, cut, first.tolist()) for k, role in start_probes(x, c, f)]
             less = np.flatnonzero(first == 0)
             sig = signatures([letters[i] for i in less], depth, BARE_TREES)
-            yield _flat(rows, [(mixed(100 + t, sig[:, t]), node[less], NAMELESS) for t in range(BARE_TREES)])
+            yield _flat(rows, [(mixed(100 + t, sig[:, t]), node[less], WHOLE_NAMELESS) for t in range(BARE_TREES)])
 
     return run

@@ -116,6 +116,7 @@ def _join_orders(orders: pd.Series) -> pd.Series:
 def scan_runs(records: DataFrame, id_col: str, title_col: str, partitions: int | None = None) -> DataFrame:
     """The sorted scan, cut: a row per record (id, run_first), and a summary row per run."""
     keyed = records.select(F.col(id_col).cast("long").alias("id"), _rotation_key(F.col(title_col)).alias("k")).select("id", "k.*").where("key <> ''")
+    keyed = cut_lineage(keyed)  # range partitioning reads its input twice, and keys are made once
     n = partitions or int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = keyed.repartitionByRange(n, "key", "start", "id").sortWithinPartitions("key", "start", "id")
     return cut_lineage(ordered.mapInArrow(_scan, SCANNED))
@@ -134,7 +135,7 @@ def format_duplicates(records: DataFrame, id_col: str, title_col: str, partition
     scanned = scan_runs(records, id_col, title_col, partitions)
     members = scanned.where("id IS NOT NULL").select("id", "run_first")
     joined = members.join(_remap(scanned), "run_first", "left")
-    return joined.select(F.coalesce("first", "run_first").alias("first_id"), "id").where("id <> first_id").distinct()
+    return joined.select(F.coalesce("first", "run_first").alias("first_id"), "id").where("id <> first_id")
 
 
 def collapsed(records: DataFrame, id_col: str, title_col: str, partitions: int | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
@@ -67,29 +68,24 @@ def _small(word: str) -> bool:
 
 
 def title_features(title: str | None) -> tuple[str, str, list[int], list[str], str, bool, bool]:
-    text = fold(HYPHEN_BREAK.sub("", title)) if title else ""
+    if title and ("\n" in title or "\r" in title):
+        title = HYPHEN_BREAK.sub("", title)
+    text = fold(title) if title else ""
     cut = ("…" in text or ".." in text or "]" in text) and bool(CUT.search(text))
     if "(" in text or "[" in text or "technical report" in text or "extended abstract" in text:
         text = LABEL.sub(" ", text)
-    tokens: list[str] = []
-    breaks: list[int] = []
-    at, last = 0, 0
-    for m in (PLAIN_PIECE if text.isascii() else PIECE).finditer(text):
-        w = m[0]
-        begin, end = m.span()
-        gap, last = text[last:begin], end
-        if gap != " " and gap and STRONG_BREAK.search(gap):
-            breaks.append(at)
-        if _small(w):
-            continue
-        tokens.append(w)
-        at += len(w)
+    kept = [(w, m.start()) for m in (PLAIN_PIECE if text.isascii() else PIECE).finditer(text) if not _small(w := m[0])]
+    tokens = [w for w, _ in kept]
+    before = [0, *accumulate(map(len, tokens))]  # letters before each word
+    at = [i for _, i in kept]
+    breaks = {before[bisect_left(at, m.start())] for m in STRONG_BREAK.finditer(text)}
     letters = "".join(tokens)
     start = least_rotation(letters) if letters else 0
-    marks = " ".join(sorted(t for t in tokens if t.isdigit() or ROMAN.match(t)) + ["++"] * ("++" in text))
-    words = [t for t in tokens if len(t) > 1]
-    names_work = len(letters) >= (6 if CJK.search(letters) else 16) and (len(words) >= 3 or bool(CJK.search(letters)) and len(words) >= 2)
-    return letters[start:] + letters[:start], letters, sorted({b for b in breaks if 0 < b < len(letters)}), tokens, marks, cut, names_work
+    marks = " ".join(sorted(t for t in tokens if len(t) < 5 and (t.isdigit() or ROMAN.match(t)) or t.isdigit()) + ["++"] * ("++" in text))
+    words = sum(len(t) > 1 for t in tokens)
+    cjk = not letters.isascii() and bool(CJK.search(letters))
+    names_work = len(letters) >= (6 if cjk else 16) and (words >= 3 or cjk and words >= 2)
+    return letters[start:] + letters[:start], letters, sorted(b for b in breaks if 0 < b < len(letters)), tokens, marks, cut, names_work
 
 
 @lru_cache(200_000)
@@ -135,38 +131,36 @@ def _record_features(titles: pa.Array, authors: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, _FEATURE_KINDS)], names=[f.name for f in FEATURES])
 
 
-def doi(value: Column) -> Column:
-    """10.x/suffix in lower case, whatever stands around it; '' for anything else."""
-    plain = F.lower(F.regexp_replace(F.coalesce(value, F.lit("")), "(?i)%2f", "/"))
-    bare = F.regexp_extract(plain, r"(10\.\d{4,9}/\S+)", 1)
-    tail = F.regexp_replace(bare, r"[.,;\]]+$", "")
-    # A suffix without a digit, or an all-zero prefix, names no article.
-    return F.when(F.coalesce(value, F.lit("")).contains("10."), F.when(tail.rlike(r"^10\.(?!0+/)\d+/.*\d"), tail).otherwise("")).otherwise("")
-
-
-def arxiv(value: Column) -> Column:
-    """yymm.nnnnn without prefix and version; '' for anything else."""
-    found = F.regexp_extract(F.coalesce(value, F.lit("")), r"(?:^|[^\d.])(\d{4}\.\d{4,5})(?:v\d+)?(?:$|[^\d])", 1)
-    return F.when(found.rlike(r"^0+\.0+$"), "").otherwise(found)
+def with_identifiers(records: DataFrame, doi_col: Column, arxiv_col: Column) -> DataFrame:
+    """Records with ``ids``: hashes of their distinct identifiers; a DOI of an arXiv deposit counts as its arXiv id.
 
-
-def identifiers(doi_value: Column, arxiv_value: Column) -> Column:
-    """Distinct identifiers of a record; a DOI of an arXiv deposit counts as its arXiv id."""
-    d, a = doi(doi_value), arxiv(arxiv_value)
-    deposit = F.regexp_extract(d, r"/arxiv\.(\d{4}\.\d{4,5})", 1)
-    listed = F.array(F.when((d != "") & (deposit == ""), F.concat(F.lit("doi:"), d)), F.when(deposit != "", F.concat(F.lit("arxiv:"), deposit)), F.when(a != "", F.concat(F.lit("arxiv:"), a)))
-    return F.array_distinct(F.filter(listed, lambda x: x.isNotNull()))
+    A DOI is 10.x/suffix in lower case, whatever stands around it; a suffix without
+    a digit, or an all-zero prefix, names no article.  An arXiv id is yymm.nnnnn
+    without prefix and version.  Steps are columns of their own, as an expression
+    that is used twice would be computed twice.
+    """
+    raw = F.lower(F.coalesce(doi_col, F.lit("")))
+    plain = F.when(raw.contains("%"), F.replace(raw, F.lit("%2f"), F.lit("/"))).otherwise(raw)
+    found = F.when(plain.contains("10."), F.regexp_extract(plain, r"(10\.\d{4,9}/\S*[^\s.,;\]])", 1)).otherwise("")
+    steps = records.withColumn("_d", found).withColumn("_d", F.when((F.col("_d") != "") & F.col("_d").rlike(r"^10\.(?!0+/)\d+/.*\d"), F.col("_d")).otherwise(""))
+    steps = steps.withColumn("_p", F.when(F.contains("_d", F.lit("arxiv.")), F.regexp_extract("_d", r"/arxiv\.(\d{4}\.\d{4,5})", 1)).otherwise(""))
+    given = F.coalesce(arxiv_col, F.lit(""))
+    number = F.when(given != "", F.regexp_extract(given, r"(?:^|[^\d.])(\d{4}\.\d{4,5})(?:v\d+)?(?:$|[^\d])", 1)).otherwise("")
+    steps = steps.withColumn("_a", number).withColumn("_a", F.when(F.col("_a").isin("0000.0000", "0000.00000"), "").otherwise(F.col("_a")))
+    key = lambda kind, c: F.xxhash64(F.lit(kind), F.col(c))
+    listed = F.array(F.when((F.col("_d") != "") & (F.col("_p") == ""), key("doi", "_d")), F.when(F.col("_p") != "", key("arxiv", "_p")), F.when(F.col("_a") != "", key("arxiv", "_a")))
+    return steps.withColumn("ids", F.array_distinct(F.array_compact(listed))).drop("_d", "_p", "_a")
 
 
 def featurise(records: DataFrame, id_col: str, title: str, authors: str, published: str, doi_col: Column, arxiv_col: Column, *extra: Column) -> DataFrame:
     """(id, node, title features, names, year, ids). Records of one node have the same title, and the same first author if it is cut short."""
-    base = records.select(
-        F.col(id_col).cast("long").alias("id"),
-        _record_features(F.col(title), F.col(authors)).alias("t"),
-        F.regexp_extract(F.coalesce(F.col(published).cast("string"), F.lit("")), r"((?:19|20)\d\d)", 1).try_cast("int").alias("year"),
-        F.transform(identifiers(doi_col, arxiv_col), lambda x: F.xxhash64(x)).alias("ids"),
-        F.struct(F.lit(0).alias("_"), *extra).alias("more"),
-    ).where("id IS NOT NULL")
+    read = records.select(
+        F.col(id_col).cast("long").alias("id"), F.col(title).alias("title"), F.col(authors).alias("authors"), F.coalesce(F.col(published).cast("string"), F.lit("")).alias("published"),
+        doi_col.alias("doi"), arxiv_col.alias("arxiv_id"), F.struct(F.lit(0).alias("_"), *extra).alias("more"),
+    ).where("id IS NOT NULL")
+    base = with_identifiers(read, F.col("doi"), F.col("arxiv_id")).select(
+        "id", _record_features("title", "authors").alias("t"), F.regexp_extract("published", r"((?:19|20)\d\d)", 1).try_cast("int").alias("year"), "ids", "more"
+    )
     first = F.coalesce(F.get("t.names", F.lit(0)), F.lit(0))
     node = (
         F.when(~F.col("t.names_work"), F.xxhash64(F.lit("record"), "id"))
