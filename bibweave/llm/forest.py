@@ -109,12 +109,20 @@ def start_probes(letters: str, cut: bool, name: int) -> list[tuple[int, int]]:
     return found + [(short_key(kind, piece), BARE if name else NAMELESS) for kind, piece in pieces + shifted if kind in (1, 4)]
 
 
-def _flat(rows: list[tuple[int, int, int]], more: list[tuple[np.ndarray, np.ndarray, int]]) -> pa.RecordBatch:
-    """A batch (k, node, role) of single rows and of arrays of keys with their nodes."""
-    k = np.concatenate([np.array([r[0] for r in rows], np.int64), *(m[0] for m in more)])
-    node = np.concatenate([np.array([r[1] for r in rows], np.int64), *(m[1] for m in more)])
-    role = np.concatenate([np.array([r[2] for r in rows], np.int32), *(np.full(len(m[0]), m[2], np.int32) for m in more)])
-    return pa.RecordBatch.from_arrays([pa.array(k), pa.array(node), pa.array(role)], names=["k", "node", "role"])
+Keys = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _listed(node: np.ndarray, found: list[list[tuple[int, int]]]) -> Keys:
+    """(keys, nodes, roles) of each node's own list of keys."""
+    flat = np.array([x for own in found for pair in own for x in pair], np.int64).reshape(-1, 2)
+    return flat[:, 0], np.repeat(node, [len(own) for own in found]), flat[:, 1]
+
+
+def _flat(rows: Keys | None, more: list[tuple[np.ndarray, np.ndarray, int]]) -> pa.RecordBatch:
+    """A batch (k, node, role) of listed keys and of arrays of keys with their nodes."""
+    parts = ([rows] if rows else []) + [(k, n, np.full(len(k), role)) for k, n, role in more]
+    k, node, role = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    return pa.RecordBatch.from_arrays([pa.array(k), pa.array(node), pa.array(role.astype(np.int32))], names=["k", "node", "role"])
 
 
 KEYS = "k long, node long, role int"
@@ -134,7 +142,7 @@ def slip_rows(depth: int, trees: int = TREES):
             named = np.flatnonzero(first != 0)
             sig = signatures([letters[i] for i in named], depth, trees)
             names = (first[named], least[named])
-            yield _flat([], [(mixed(t, sig[:, t], names[2 * t >= trees]), node[named], NAMED) for t in range(trees)])
+            yield _flat(None, [(mixed(t, sig[:, t], names[2 * t >= trees]), node[named], NAMED) for t in range(trees)])
 
     return run
 
@@ -145,7 +153,7 @@ def index_rows(depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, letters, breaks, _, first, _ = _columns(batch)
-            rows = [(k, n, role) for n, x, b, f in zip(node.tolist(), letters, breaks, first.tolist()) for k, role in start_keys(x, b, f)]
+            rows = _listed(node, [start_keys(x, b, f) for x, b, f in zip(letters, breaks, first.tolist())])
             sig = signatures(letters, depth, BARE_TREES)
             less = first == 0
             more = [(mixed(100 + t, sig[w, t]), node[w], role) for t in range(BARE_TREES) for w, role in ((less, WHOLE_NAMELESS), (~less, WHOLE_BARE))]
@@ -160,7 +168,7 @@ def probe_rows(depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, letters, _, cut, first, _ = _columns(batch)
-            rows = [(k, n, role) for n, x, c, f in zip(node.tolist(), letters, cut, first.tolist()) for k, role in start_probes(x, c, f)]
+            rows = _listed(node, [start_probes(x, c, f) for x, c, f in zip(letters, cut, first.tolist())])
             less = np.flatnonzero(first == 0)
             sig = signatures([letters[i] for i in less], depth, BARE_TREES)
             yield _flat(rows, [(mixed(100 + t, sig[:, t]), node[less], WHOLE_NAMELESS) for t in range(BARE_TREES)])

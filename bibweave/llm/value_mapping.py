@@ -2,9 +2,10 @@
 
 Method: the values are deduplicated, normalised, and looked up in an inverted
 index of character n-grams; candidates get a weighted cosine, and the best one
-is accepted above a threshold and by a margin over the next.  Acronyms are
-single grams of their own.  Values cut short are compared with names cut at the
-same place.  What names no entry is reported with id 0.
+is accepted above a threshold and by a margin over the next.  Acronyms, and the
+first letters of names for values cut short, are grams of their own in the same
+index.  Only entries that share a gram with the value are looked at.  What names
+no entry is reported with id 0.
 
 Only distinct values are scored, so a venue of a third of all rows is scored
 once; ids come back by a join on the value, whose hot keys are spread by a salt
@@ -78,8 +79,11 @@ class VenueIndex:
         self.rule = rule
         rows = sorted((i, n, a) for i, n, a in rows if n)
         self.ids = [i for i, _, _ in rows]
-        self.acronyms = {a: k for k, (_, _, a) in enumerate(rows) if a}
-        self.acronyms_low = {a.casefold(): k for a, k in self.acronyms.items()}
+        marks: dict[str, list[int]] = defaultdict(list)  # grams of their own: an acronym, one in small letters, the first letters of a name
+        for k, (_, _, a) in enumerate(rows):
+            if a:
+                marks[f"={a}"] = [k]
+                marks[f"~{a.casefold()}"] = [k]
         prefixes: dict[str, set[str]] = defaultdict(set)
         for _, n, _ in rows:
             for w in WORD.findall(fold(n)):
@@ -89,6 +93,9 @@ class VenueIndex:
             prefixes[w] = {w}
         self.vocabulary = dict(prefixes)
         self.names = [" ".join(WORD.findall(fold(n))) for _, n, _ in rows]
+        for k, name in enumerate(self.names):
+            marks[f"<{name[: rule.cut_min]}"].append(k)
+        self.marks = dict(marks)
         self.spelled = spelled = [_spell(fold(n), self.vocabulary) for _, n, _ in rows]
         grams = [Counter(self.grams(" ".join(w))) for w in spelled]
         df = Counter(g for c in grams for g in c)
@@ -106,7 +113,7 @@ class VenueIndex:
 
     @property
     def nbytes(self) -> int:
-        return sum(64 + len(g) * 4 + a.nbytes + b.nbytes for g, (a, b) in self.postings.items())
+        return sum(64 + len(g) * 4 + a.nbytes + b.nbytes for g, (a, b) in self.postings.items()) + sum(64 + len(g) * 4 + 8 * len(x) for g, x in self.marks.items())
 
     def grams(self, text: str) -> list[str]:
         g = self.rule.gram
@@ -130,11 +137,10 @@ class VenueIndex:
         text = LEAD.sub("", low)
         stem = re.sub(r"[\W\d]+$", "", text)
         raw = re.findall(r"[A-Za-z]+", value)
-        if re.fullmatch(r"[a-z]+", stem) and stem in self.acronyms_low:
-            return [(self.ids[self.acronyms_low[stem]], 1.0)]
-        for w in raw:
-            if w in self.acronyms:
-                return [(self.ids[self.acronyms[w]], 1.0)]
+        named = self.marks.get(f"~{stem}", []) if re.fullmatch(r"[a-z]+", stem) else []
+        named = named or next((self.marks[f"={w}"] for w in raw if f"={w}" in self.marks), [])
+        if named:  # a rare gram that decides by itself
+            return [(self.ids[k], 1.0) for k in named]
         cut = CUT.sub("", text)
         is_cut = cut != text
         plain = " ".join(WORD.findall(cut))
@@ -142,7 +148,7 @@ class VenueIndex:
         if open_end and len(plain) >= self.rule.cut_min:
             # Cut in the middle of a name: it is the start of one name, or of several.
             wanted = plain + (" " if cut.endswith(" ") and not is_cut else "")
-            longer = [k for k, n in enumerate(self.names) if n.startswith(wanted.rstrip()) and n != plain]
+            longer = [k for k in self.marks.get(f"<{plain[: self.rule.cut_min]}", []) if self.names[k].startswith(wanted.rstrip()) and self.names[k] != plain]
             if longer and plain not in self.names:
                 return [(self.ids[k], 0.99) for k in longer]
         text = NUMBERED.sub(" ", cut)
@@ -160,29 +166,29 @@ class VenueIndex:
         counts = Counter(self.grams(" ".join(_spell(text, self.vocabulary))))
         if not counts:
             return []
-        scores = np.zeros(len(self.ids))
-        norm = 0.0
+        at, parts, norm = [], [], 0.0
         for g, m in counts.items():
             weight = m * self.idf.get(g, self.unseen * 0.6)
             norm += weight * weight
             if g in self.postings:
-                at, w = self.postings[g]
-                scores[at] += weight * w
-        scores /= math.sqrt(norm)
+                entries, w = self.postings[g]
+                at.append(entries)
+                parts.append(weight * w)
+        if not at:
+            return []
+        # Only entries that share a gram are scored.
+        met, where = np.unique(np.concatenate(at), return_inverse=True)
+        scores = np.bincount(where, weights=np.concatenate(parts)) / math.sqrt(norm)
         words = _spell(text, self.vocabulary)
-        met = np.flatnonzero(scores >= self.rule.threshold)
-        near = met[np.argsort(-scores[met], kind="stable")].tolist()
-        order: list[int] = []
-        for k in near:
-            if order and scores[k] < scores[order[0]] - self.rule.margin:
+        near = [(float(scores[i]), int(met[i])) for i in np.argsort(-scores, kind="stable") if scores[i] >= self.rule.threshold]
+        order: list[tuple[float, int]] = []
+        for score, k in near:
+            if order and score < order[0][0] - self.rule.margin:
                 break
-            if scores[k] >= 0.97 or self._words_found(words, k):
-                order.append(k)
-        order = order or [k for k in near if scores[k] >= self.rule.sure]
-        if not order:
-            return []
-        top = scores[order[0]]
-        return [(self.ids[k], float(scores[k])) for k in order if scores[k] >= top - self.rule.margin]
+            if score >= 0.97 or self._words_found(words, k):
+                order.append((score, k))
+        order = order or [(score, k) for score, k in near if score >= self.rule.sure]
+        return [(self.ids[k], score) for score, k in order if score >= order[0][0] - self.rule.margin]
 
 
 def map_values(records: DataFrame, reference: DataFrame, id_col: str, value_col: str, ref_id: str, ref_name: str, ref_acronym: str, rule: Acceptance = Acceptance(), salts: int = 32, max_index_mb: int = 64) -> DataFrame:
