@@ -49,7 +49,7 @@ def candidates(anchors: DataFrame) -> DataFrame:
     # A title that another one is the start of is longer; of whole titles only slips may differ.
     length = lambda c: f"({c} & {LONGEST})"
     start = f"rp < 3 AND NOT (rp = 1 AND rx = 1) AND ({length('p')} < {length('x')} OR {length('p')} = {LONGEST})"
-    met = asked.join(index, "k").where(f"p <> x AND ({start} OR rp > 2 AND abs({length('p')} - {length('x')}) <= 4)").select(F.least("p", "x").alias("a"), F.greatest("p", "x").alias("b"), F.lit(4).alias("rule"))
+    met = index.join(asked.hint("shuffle_hash"), "k").where(f"p <> x AND ({start} OR rp > 2 AND abs({length('p')} - {length('x')}) <= 4)").select(F.least("p", "x").alias("a"), F.greatest("p", "x").alias("b"), F.lit(4).alias("rule"))
     slips, other = F.count_if(F.col("rule") == 3), F.count_if(F.col("rule") == 4)
     met_in = same.union(met).groupBy("a", "b").agg(slips.alias("slips"), other.alias("other")).where(f"slips >= {AGREE} OR other > 0")
     return met_in.select("a", "b", F.when(F.col("slips") >= AGREE, 3).otherwise(4).alias("rule"))

@@ -183,7 +183,7 @@ def titles_of(records: DataFrame) -> DataFrame:
 
 def anchored(records: DataFrame, titles: DataFrame, node: str = "node") -> DataFrame:
     """Titles, under their column ``node``, with each pair of author anchors of their records: the first name, and the least (lists get reordered, and cut at the end)."""
-    return records.where("names_work").select("node", "first", "least").distinct().join(titles.select("node", F.col(node).alias("_as"), "letters", "breaks", "cut"), "node").withColumn("node", F.col("_as")).drop("_as")
+    return records.where("names_work").select("node", "first", "least").distinct().join(titles.select("node", F.col(node).alias("_as"), "letters", "breaks", "cut").hint("shuffle_hash"), "node").withColumn("node", F.col("_as")).drop("_as")
 
 
 def identified(records: DataFrame) -> DataFrame:
@@ -306,23 +306,32 @@ def same_title(a: str, breaks_a: list[int], starts_a: list[int], marks_a: str, c
     return 0, None
 
 
-def plausible(a: list[str], b: list[str], marks_same: np.ndarray) -> np.ndarray:
-    """Which pairs may be more than different titles, by counts of their letters alone: a slip changes two counts at most."""
-    if not a:
-        return np.zeros(0, bool)
+def _letter_counts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of each text, how often each of 32 classes of bytes stands in it, and whether it is plain ASCII."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    sizes = np.diff(offsets)
+    row = np.repeat(np.arange(len(texts)), sizes)
+    counts = np.bincount(row * 32 + (raw & 31), minlength=32 * len(texts)).reshape(-1, 32)
+    plain = np.ones(len(texts), bool)
+    plain[row[raw > 127]] = False
+    return sizes, counts, plain
+
 
-    def letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        sizes = np.array([len(t) for t in texts])
-        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32) & 31
-        return sizes, np.bincount(np.repeat(np.arange(len(texts)), sizes) * 32 + codes, minlength=32 * len(texts)).reshape(-1, 32)
+def plausible(a: pa.Array, b: pa.Array, marks_same: np.ndarray) -> np.ndarray:
+    """Which pairs may be more than different titles, by counts of their letters alone: a slip changes two counts at most.
 
-    (na, ha), (nb, hb) = letters(a), letters(b)
+    Titles in other scripts, whose characters take several bytes, always may.
+    """
+    if not len(a):
+        return np.zeros(0, bool)
+    (na, ha, pa_), (nb, hb, pb) = _letter_counts(a), _letter_counts(b)
     more, less = np.maximum(ha - hb, 0).sum(axis=1), np.maximum(hb - ha, 0).sum(axis=1)
     short = np.minimum(na, nb)
     budget = np.clip(short // 14, 2, 4)
     same = marks_same & (np.abs(na - nb) <= budget) & (more + less <= 2 * budget)
     start = (na != nb) & (np.where(na < nb, more, less) <= 2) & (short >= 0.35 * np.maximum(na, nb))
-    return same | start
+    return same | start | ~pa_ | ~pb
 
 
 LEVEL = T.StructType([T.StructField("level", T.IntegerType()), T.StructField("rest", T.StringType())])
@@ -336,7 +345,7 @@ def check_pairs(pairs: DataFrame, titles: DataFrame, *keep: str, by: str = "node
     """
     known = "root" in titles.columns
     cols = (*TITLE, "root") if known else TITLE
-    side = lambda s: titles.select(F.col(by).alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("node", *cols)))
+    side = lambda s: titles.select(F.col(by).alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("node", *cols))).hint("shuffle_hash")  # noqa: E731  a title has one row, so the hash tables have no hot key
     joined = pairs.join(side("a"), "a").join(side("b"), "b").drop("a", "b").withColumnsRenamed({"node_a": "a", "node_b": "b"})
     if known:
         joined = joined.where("root_a <> root_b")
@@ -347,9 +356,9 @@ def check_pairs(pairs: DataFrame, titles: DataFrame, *keep: str, by: str = "node
 
     @F.arrow_udf(LEVEL)
     def level(la: pa.Array, ba: pa.Array, sa: pa.Array, ma: pa.Array, ca: pa.Array, lb: pa.Array, bb: pa.Array, sb: pa.Array, mb: pa.Array, cb: pa.Array) -> pa.Array:
-        a, b = la.to_pylist(), lb.to_pylist()
-        may = np.flatnonzero(plausible(a, b, pc.equal(ma, mb).to_numpy(zero_copy_only=False)))
-        levels, rests = np.zeros(len(a), np.int32), [None] * len(a)
+        la, lb = la.cast(pa.string()), lb.cast(pa.string())
+        may = np.flatnonzero(plausible(la, lb, pc.equal(ma, mb).to_numpy(zero_copy_only=False)))
+        levels, rests = np.zeros(len(la), np.int32), [None] * len(la)
         few = [c.take(pa.array(may)).to_pylist() for c in (la, ba, sa, ma, ca, lb, bb, sb, mb, cb)]
         for at, *pair in zip(may.tolist(), *few):
             levels[at], rests[at] = same_title(*pair)

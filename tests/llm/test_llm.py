@@ -3,6 +3,7 @@ import random
 from datetime import datetime, timedelta
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -445,10 +446,10 @@ def test_letter_counts_refuse_no_equal_titles():
         for slips in range(min(4, len(t) // 14) + 1):
             other = history_dedup._damaged(t, slips, rng)
             if same_title(t, [], [0], "", False, other, [], [0], "", False)[0] == 2:
-                assert plausible([t], [other], np.array([True]))[0]
+                assert plausible(pa.array([t]), pa.array([other]), np.array([True]))[0]
         cut = t[: len(t) // 2 + 3]
         if same_title(cut, [], [0], "", True, t, [], [0], "", False)[0]:
-            assert plausible([cut], [t], np.array([True]))[0]
+            assert plausible(pa.array(['x', cut])[1:], pa.array([t]), np.array([True]))[0]
 
 
 def test_notices_are_told_by_counts(spark):
