@@ -19,7 +19,7 @@ import xxhash
 
 CJK = re.compile(r"[ぁ-ヿ一-鿿]")
 TREES, LENGTH = 16, 8
-BARE_TREES = 6  # trees that are also kept without an author, for records that have none
+BARE_TREES = 5  # trees that are also kept without an author, for records that have none
 START = 12  # letters of the shortest start; half as many for Japanese
 #: What a key row holds: a key with an author, one without of a record that has authors, and one of a record without any.
 NAMED, BARE, NAMELESS = 0, 1, 2

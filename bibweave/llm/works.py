@@ -16,7 +16,7 @@ import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bibweave.llm.forest import CJK, text_key
-from bibweave.llm.text import HYPHEN_BREAK, STRONG_BREAK, fold, least_rotation
+from bibweave.llm.text import HYPHEN_BREAK, fold, least_rotation
 from bibweave.session import cut_lineage, drop_cut
 
 # Labels that aggregators put on titles without meaning another work.
@@ -38,6 +38,8 @@ ROMAN = re.compile(r"^(i{2,3}|iv|vi{0,3}|ix|x)$")
 CUT = re.compile(r"(…|\.\.\.|\[\s*\.*\s*\])[\s\W]*$")
 PIECE = re.compile(r"[ァ-ヿ]+|[ぁ-ゟ]+|[一-鿿々]+|[^\W_ぁ-ヿ一-鿿々]+")
 PLAIN_PIECE = re.compile(r"[a-z0-9]+")
+HYPHENS = "-\u2010\u2011"
+BREAK = re.compile("[:|(\\[.,?!;\u2014\u2013\u3002\u3001\\-\u2010\u2011]")  # as text.STRONG_BREAK, whose hyphens stand beside white space
 HIRAGANA = re.compile(r"^[ぁ-ゟ]+$")
 
 FEATURES = T.StructType(
@@ -78,11 +80,12 @@ def title_features(title: str | None) -> tuple[str, str, list[int], list[str], s
     tokens = [w for w, _ in kept]
     before = [0, *accumulate(map(len, tokens))]  # letters before each word
     at = [i for _, i in kept]
-    breaks = {before[bisect_left(at, m.start())] for m in STRONG_BREAK.finditer(text)}
+    breaks = {before[bisect_left(at, m.start())] for m in BREAK.finditer(text) if m[0] not in HYPHENS or text[m.start() - 1].isspace() or text[m.end() : m.end() + 1].isspace()}
     letters = "".join(tokens)
     start = least_rotation(letters) if letters else 0
     marks = " ".join(sorted(t for t in tokens if len(t) < 5 and (t.isdigit() or ROMAN.match(t)) or t.isdigit()) + ["++"] * ("++" in text))
-    words = sum(len(t) > 1 for t in tokens)
+    sizes = [len(t) for t in tokens]
+    words = len(sizes) - sizes.count(1)
     cjk = not letters.isascii() and bool(CJK.search(letters))
     names_work = len(letters) >= (6 if cjk else 16) and (words >= 3 or cjk and words >= 2)
     return letters[start:] + letters[:start], letters, sorted(b for b in breaks if 0 < b < len(letters)), tokens, marks, cut, names_work
@@ -122,13 +125,18 @@ def record_features(title: str | None, authors) -> tuple:
     return text_key(turned), letters, breaks, starts, marks, cut, names_work, [_short(t) for t in tokens if len(t) >= 6], [_short(n) for n in surnames(authors)]
 
 
-_FEATURE_KINDS = (pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.string(), pa.bool_(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+_FEATURE_KINDS = (pa.int64(), pa.string(), None, None, pa.string(), pa.bool_(), pa.bool_(), None, None)  # None: a list of small numbers
+
+
+def _lists(values: list[list[int]]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.fromiter(chain.from_iterable(values), np.int32, int(ends[-1]))))
 
 
 @F.arrow_udf(FEATURES)
 def _record_features(titles: pa.Array, authors: pa.Array) -> pa.Array:
     columns = list(zip(*map(record_features, titles.to_pylist(), authors.to_pylist()))) or [()] * len(_FEATURE_KINDS)
-    return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, _FEATURE_KINDS)], names=[f.name for f in FEATURES])
+    return pa.StructArray.from_arrays([_lists(c) if k is None else pa.array(c, k) for c, k in zip(columns, _FEATURE_KINDS)], names=[f.name for f in FEATURES])
 
 
 def with_identifiers(records: DataFrame, doi_col: Column, arxiv_col: Column) -> DataFrame:
