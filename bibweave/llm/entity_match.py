@@ -62,7 +62,7 @@ def cascade(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     length = F.least(F.length("letters"), F.lit(LONGEST)).cast("long")
     titles = cut_lineage(titles_of(records).withColumn("number", F.col("least") * (LONGEST + 1) + length))
     anchors = cut_lineage(anchored(records, titles, "number"))
-    placed = titles.join(components(by_ident), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = titles.join(components(by_ident).hint("shuffle_hash"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     checked = cut_lineage(check_pairs(candidates(anchors), placed, "rule", by="number"))
     drop_cut(anchors)
     cut_here = cut_lineage(natural_endings(checked, titles).withColumn("ends", F.lit(True)))
@@ -98,7 +98,7 @@ def match_sources(papers: DataFrame, registry: DataFrame, groups: DataFrame | No
     right = featurise(registry, "bib_id", "title", "authors", "published", F.col("doi"), none).withColumn("source", F.lit(1))
     records = cut_lineage(left.unionByName(right.withColumn("node", F.when(~F.col("names_work"), F.xxhash64(F.lit("registry"), "id")).otherwise(F.col("node")))))
     edges, roots = cascade(records)
-    placed = records.select("source", "id", "node").join(roots, "node", "left").select("source", "id", "node", F.coalesce("root", "node").alias("root"))
+    placed = records.select("source", "id", "node").join(roots.hint("shuffle_hash"), "node", "left").select("source", "id", "node", F.coalesce("root", "node").alias("root"))
     if groups is not None:
         # A node without an edge has rule 1 with its own records; one that was only attached has rule 5.
         passed = edges.select(F.explode(F.array("a", "b")).alias("node"), "rule").groupBy("node").agg(F.min("rule").alias("rule"))

@@ -211,13 +211,13 @@ def identifier_edges(rows: DataFrame) -> DataFrame:
     """
     with_names = F.count_if(F.size("names") > 0)
     sizes = rows.groupBy("ident").agg(with_names.alias("n"), F.count("*").alias("all"), F.min(F.get("names", F.lit(0))).alias("low"), F.max(F.get("names", F.lit(0))).alias("high")).where("all > 1")
-    used = cut_lineage(rows.join(sizes, "ident"))  # read in several places below
+    used = cut_lineage(rows.join(sizes.hint("shuffle_hash"), "ident"))  # read in several places below; hash tables are built of sides with a row a key
     named = used.where("size(names) > 0").select("ident", "n", F.explode("names").alias("name"), F.coalesce("year", F.lit(0)).alias("year"), "node")
     hubs = named.groupBy("ident", "name", "year").agg(F.min("node").alias("hub"), F.count("*").alias("c"), F.max("n").alias("n"))
     # As many entries as there are years.
     held = hubs.groupBy("ident", "name").agg(F.sum("c").alias("c"), F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("year", "hub"))).alias("by")).where("3 * c > n")
-    stars = named.select("ident", "name", "year", F.col("node").alias("a")).join(hubs.select("ident", "name", "year", F.col("hub").alias("b")), ["ident", "name", "year"])
-    stars = stars.join(held.select("ident", "name"), ["ident", "name"], "left_semi").select("a", "b")
+    stars = named.select("ident", "name", "year", F.col("node").alias("a")).join(hubs.select("ident", "name", "year", F.col("hub").alias("b")).hint("shuffle_hash"), ["ident", "name", "year"])
+    stars = stars.join(held.select("ident", "name").hint("shuffle_hash"), ["ident", "name"], "left_semi").select("a", "b")
     dated = F.expr("filter(by, x -> x.year > 0)")
     between = held.where("size(by) > 1").select(dated.alias("d"), F.expr("filter(by, x -> x.year = 0)").alias("u"))
     years = between.select(F.explode(F.expr("filter(transform(d, (x, i) -> struct(x.hub AS a, get(d, i - 1).hub AS b, coalesce(x.year - get(d, i - 1).year <= 1, false) AS near)), x -> x.near)")).alias("e"))  # neighbouring years are one work
@@ -377,8 +377,8 @@ def check_pairs(pairs: DataFrame, titles: DataFrame, *keep: str, by: str = "node
 
 
 def endings(titles: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(rest, ended): in how many titles the last words are these wanted ones, of up to six words; whole titles don't count."""
-    tails = F.expr("transform(slice(starts, -least(6, size(starts) - 1), 6), s -> substring(letters, s + 1))")
+    """(rest, ended): in how many titles the last words are these wanted ones, of up to four words; whole titles don't count."""
+    tails = F.expr("transform(slice(starts, -least(4, size(starts) - 1), 4), s -> substring(letters, s + 1))")
     return titles.where("NOT cut AND size(starts) > 1").select(F.explode(tails).alias("rest")).join(wanted, "rest", "left_semi").groupBy("rest").agg(F.count("*").alias("ended"))
 
 
@@ -457,7 +457,7 @@ def ways(checked: DataFrame, roots: DataFrame, titles: DataFrame) -> DataFrame:
     starts = checked.where(F.col("level") == START).select(F.when(F.col("na") < F.col("nb"), F.col("a")).otherwise(F.col("b")).alias("s"), F.when(F.col("na") < F.col("nb"), F.col("b")).otherwise(F.col("a")).alias("t"))
     met = starts.select(F.explode(F.array("s", "t")).alias("node")).distinct()
     known = F.col("fixed") if "fixed" in titles.columns else F.lit(False)  # what the class was before this batch
-    info = titles.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), known.alias("known"), "cut", "from", "to", F.length("letters").alias("n"))
+    info = titles.join(roots.hint("shuffle_hash"), "node", "left").select("node", F.coalesce("root", "node").alias("root"), known.alias("known"), "cut", "from", "to", F.length("letters").alias("n"))
     several = F.min("node") != F.max("node")
     classes = info.groupBy("root").agg((F.bool_or("known") | (F.bool_or(~F.col("cut")) & several)).alias("fixed"), F.bool_and("cut").alias("cuts"), F.max("n").alias("most"), F.min("from").alias("from"), F.max("to").alias("to"))
     placed = cut_lineage(info.select("node", "root").join(met, "node", "left_semi").join(classes, "root"))
