@@ -119,10 +119,11 @@ def _short(text: str) -> int:
     return (xxhash.xxh32_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 31)) or 1
 
 
-def record_features(title: str | None, authors) -> tuple:
+def record_features(title: str | None, authors, identified: bool = True) -> tuple:
+    """Features of a record; the long words are only needed where an identifier is to be confirmed by them."""
     turned, letters, breaks, tokens, marks, cut, names_work = title_features(title)
     starts = [0, *accumulate(len(t) for t in tokens)][: len(tokens)]
-    return text_key(turned), letters, breaks, starts, marks, cut, names_work, [_short(t) for t in tokens if len(t) >= 6], [_short(n) for n in surnames(authors)]
+    return text_key(turned), letters, breaks, starts, marks, cut, names_work, [_short(t) for t in tokens if len(t) >= 6] if identified else [], [_short(n) for n in surnames(authors)]
 
 
 _FEATURE_KINDS = (pa.int64(), pa.string(), None, None, pa.string(), pa.bool_(), pa.bool_(), None, None)  # None: a list of small numbers
@@ -134,8 +135,8 @@ def _lists(values: list[list[int]]) -> pa.Array:
 
 
 @F.arrow_udf(FEATURES)
-def _record_features(titles: pa.Array, authors: pa.Array) -> pa.Array:
-    columns = list(zip(*map(record_features, titles.to_pylist(), authors.to_pylist()))) or [()] * len(_FEATURE_KINDS)
+def _record_features(titles: pa.Array, authors: pa.Array, identified: pa.Array) -> pa.Array:
+    columns = list(zip(*map(record_features, titles.to_pylist(), authors.to_pylist(), identified.to_pylist()))) or [()] * len(_FEATURE_KINDS)
     return pa.StructArray.from_arrays([_lists(c) if k is None else pa.array(c, k) for c, k in zip(columns, _FEATURE_KINDS)], names=[f.name for f in FEATURES])
 
 
@@ -167,7 +168,7 @@ def featurise(records: DataFrame, id_col: str, title: str, authors: str, publish
         doi_col.alias("doi"), arxiv_col.alias("arxiv_id"), F.struct(F.lit(0).alias("_"), *extra).alias("more"),
     ).where("id IS NOT NULL")
     base = with_identifiers(read, F.col("doi"), F.col("arxiv_id")).select(
-        "id", _record_features("title", "authors").alias("t"), F.regexp_extract("published", r"((?:19|20)\d\d)", 1).try_cast("int").alias("year"), "ids", "more"
+        "id", _record_features("title", "authors", F.size("ids") > 0).alias("t"), F.regexp_extract("published", r"((?:19|20)\d\d)", 1).try_cast("int").alias("year"), "ids", "more"
     )
     first = F.coalesce(F.get("t.names", F.lit(0)), F.lit(0))
     node = (
@@ -377,8 +378,8 @@ def check_pairs(pairs: DataFrame, titles: DataFrame, *keep: str, by: str = "node
 
 
 def endings(titles: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(rest, ended): in how many titles the last words are these wanted ones, of up to six words; whole titles don't count."""
-    tails = F.expr("transform(slice(starts, -least(6, size(starts) - 1), 6), s -> substring(letters, s + 1))")
+    """(rest, ended): in how many titles the last words are these wanted ones, of up to four words; whole titles don't count."""
+    tails = F.expr("transform(slice(starts, -least(4, size(starts) - 1), 4), s -> substring(letters, s + 1))")
     return titles.where("NOT cut AND size(starts) > 1").select(F.explode(tails).alias("rest")).join(wanted, "rest", "left_semi").groupBy("rest").agg(F.count("*").alias("ended"))
 
 
