@@ -201,9 +201,9 @@ def map_values(records: DataFrame, reference: DataFrame, id_col: str, value_col:
     held = spark.sparkContext.broadcast(index)
 
     values = records.select(F.col(id_col).cast("long").alias("id"), F.col(value_col).alias("value")).where(F.col("value").rlike(r"(?U)\S"))
-    # Scoring is the costly step: a fixed number of partitions keeps it spread, however few bytes the values have.
+    # Scoring is the costly step: a fixed number of partitions, by turns, keeps it spread; by value it would be merged with the grouping.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    distinct = values.groupBy("value").agg(F.count("*").alias("n")).repartition(tasks, "value")
+    distinct = values.groupBy("value").agg(F.count("*").alias("n")).repartition(tasks)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
