@@ -134,8 +134,9 @@ def heuristic_reading_value(citations: Column, basis: Column, blob: Column) -> C
     return F.greatest(F.lit(1), F.least(F.lit(5), score))
 
 
+# What is left of formulas, references by number, and names of steps in a summary.
 TEX = r"\\[A-Za-z]+|\\[()\[\]]"
-NUMBERED = r"(?i)(?:図|表|アルゴリズム|式|擬似コード)\s*[0-9０-９IVXivx]+|\b(?:fig(?:ure)?|table|algorithm|equation|eq\.)\s*[0-9IVXivx]+"
+NUMBERED = r"(?i)(?:図|表|式|アルゴリズム)\s*[0-9０-９IVXivx]+|\b(?:fig(?:ure)?|table|algorithm|equation|eq\.)\s*[0-9IVXivx]+"
 #: Names that stand within a few characters of the words for function, step, call, run, use.
 NAMED_STEP = r"(?<![A-Za-z0-9_])([A-Za-z][A-Za-z0-9]*)(?=(?:[^A-Za-z0-9_]|$).{0,15}(?:関数|手順|呼び出|実行|用い|適用))"
 

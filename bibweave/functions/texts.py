@@ -105,15 +105,15 @@ def parse_marked(body: Column) -> Column:
 
 
 def parse_rating(body: Column) -> Column:
-    """Score 1 to 5: named, else the first such digit, else 3."""
-    named = F.regexp_extract(text(body), r"(?i)score\D{0,10}([1-5])", 1)
+    """Score 1 to 5: the marked one, else the first such digit that stands alone, else 3."""
+    named = F.regexp_extract(text(body), r"(?i)@@SCORE@@\s*([1-5])", 1)
     plain = F.regexp_extract(text(body), r"\b([1-5])\b", 1)
     return F.coalesce(F.nullif(named, F.lit("")), F.nullif(plain, F.lit("")), F.lit("3")).cast("int")
 
 
-def rating_reason(body: Column, default: str = "a provisional rating from the summary and the metadata") -> Column:
-    """First line of the reason behind a rating, at most 120 characters."""
-    found = F.trim(F.regexp_extract(text(body), r"(?i)reason\W*([^\n]+)", 1))
+def rating_reason(body: Column, default: str = "要約内容とメタデータに基づく暫定評価。") -> Column:
+    """First line of the marked reason of a rating, at most 120 characters."""
+    found = F.trim(F.regexp_extract(text(body), r"(?i)@@REASON@@\s*([^\n]+)", 1))
     return F.substring(F.when(found != "", found).otherwise(default), 1, 120)
 
 

@@ -22,7 +22,7 @@ from bibweave.functions.quality import heuristic_reading_value
 from bibweave.functions.texts import parse_rating, rating_reason
 from bibweave.operators.summaries import PARTS
 
-MARK = re.compile(r"@@([A-Z_]+)@@")
+MARK = re.compile("@@[ \\t]*(" + "|".join(PARTS) + ")[ \\t]*@@", re.I)
 HISTORY = 6_000
 
 

@@ -122,7 +122,8 @@ def global_recent(items: DataFrame, most: int = 30) -> DataFrame:
     return items.orderBy(F.col("at").desc(), F.col("page_file").desc(), "seen_id").limit(most)
 
 
-SECTIONS = {"what": "どんなもの？", "contribution": "先行研究と比べてどこがすごい？", "method": "技術や手法のキモはどこ？", "validation": "どうやって有効だと検証した？", "discussion": "議論はある？"}
+# Headings of a page's parts.
+SECTIONS = {"what": "どんなもの？", "contribution": "先行研究と比べてどこがすごい？", "method": "技術や手法のキモはどこ？", "validation": "どうやって有効だと検証した？", "discussion": "議論はある？（限界・課題）"}
 
 
 def paper_pages(papers: DataFrame, template: str, headings: dict[str, str] | None = None) -> DataFrame:

@@ -248,7 +248,7 @@ def t10_pdf_sections(spark, d):
     return sections.pdf_sections(_lines(spark, d)).select("paper_id", "section_no")
 
 
-@query("SELECT doc_id, length(coalesce(text,'')) > 0 AND contains(text, '$') OR regexp_matches(coalesce(text,''), '\\\\[A-Za-z]+|\\\\[()\\[\\]]') AS tex, regexp_matches(coalesce(text,''), '(?i)(?:図|表|アルゴリズム|式|擬似コード)\\s*[0-9０-９IVXivx]+|\\b(?:fig(?:ure)?|table|algorithm|equation|eq\\.)\\s*[0-9IVXivx]+') AS numbered FROM documents")
+@query("SELECT doc_id, length(coalesce(text,'')) > 0 AND contains(text, '$') OR regexp_matches(coalesce(text,''), '\\\\[A-Za-z]+|\\\\[()\\[\\]]') AS tex, regexp_matches(coalesce(text,''), '(?i)(?:図|表|式|アルゴリズム)\\s*[0-9０-９IVXivx]+|\\b(?:fig(?:ure)?|table|algorithm|equation|eq\\.)\\s*[0-9IVXivx]+') AS numbered FROM documents")
 def pred15_section_issues(spark, d):
     return read_table(spark, d, "documents").select("doc_id", quality.has_tex(C("text")).alias("tex"), quality.has_numbered_reference(C("text")).alias("numbered"))
 

@@ -162,7 +162,7 @@ def test_stages(spark):
             if "boom" in user:
                 raise TimeoutError("no answer")
             if system.startswith("Rate"):
-                return "Score: 4\nReason: sound"
+                return "@@SCORE@@\n4\n@@REASON@@\nsound"
             if system.startswith("Write") or "keep the marks" in system or "keep its marks" in system:
                 word = "better" if "Mend" in system else "first"
                 return "\n".join(f"@@{p.upper()}@@\n{word} {p}" for p in summaries.PARTS)
@@ -172,7 +172,7 @@ def test_stages(spark):
     got = {r.paper_id: (r.what, r.error) for r in stages.summarise(papers, Fake(), lambda p: ["short"] if p["what"].startswith("first") else []).collect()}
     assert got["a"] == ("better what", "") and got["b"][0] is None and got["b"][1].startswith("TimeoutError")
     assert stages.summarise(papers, None).where("paper_id = 'a'").first().what == "[stub] what: some evidence"
-    assert {r.paper_id: r.value for r in stages.reading_values(papers, Fake()).collect()} == {"a": 4, "b": 5}
+    assert {r.paper_id: (r.value, r.reason == "sound") for r in stages.reading_values(papers, Fake()).collect()} == {"a": (4, True), "b": (5, False)}
     secs = spark.createDataFrame([("a", 1, "H", "body"), ("a", 2, "H", "boom")], "paper_id string, section_no int, heading string, body string")
     drafts = {r.section_no: (r.summary, r.error != "") for r in stages.section_drafts(secs, Fake(), lambda t: []).collect()}
     assert drafts[1] == ("Correct t|Summarise|##", False) and drafts[2][1]
