@@ -462,3 +462,24 @@ def test_notices_are_told_by_counts(spark):
     groups = spark.createDataFrame([(k, r) for k in range(12) for r in (k, 100 + k)], "group_id long, rec_id long")
     got = {(r.group_id, r.rec_id) for r in survivorship.winners(groups, papers).where("field_name = 'abstract'").collect()}
     assert got == {(k, k) for k in range(12)}
+
+
+def test_forest_with_empty_batches_nulls_and_repeats(spark):
+    a = "Vosuhe: Grid Maps for Deep Planning in Sites"
+    forest = history_dedup.HashForest(spark)
+    empty = _batch(spark, [(1, a, ["Ann Lee"], "2024", "", "")]).limit(0)
+    assert forest.add(empty).count() == 0 and forest.depth == 0
+    rows = [(1, a, ["Ann Lee"], "2024", "", ""), (2, None, None, None, None, None), (3, "", [], "", "", ""), (4, "x" * 5_000 + " long word title", [None, ""], "n.d.", "10.", "v1"), (1, a, ["Ann Lee"], "2024", "", "")]
+    assert {r.id: r.first_id for r in forest.add(_batch(spark, rows)).collect()} == {1: 1, 2: 2, 3: 3, 4: 4}
+    assert forest.depth > 0 and forest.add(empty).count() == 0
+    again = forest.add(_batch(spark, [(9, a.upper(), [], "", "", ""), (10, "x" * 5_000 + " long word title", None, None, None, None)]).withColumn("extra", F.lit(1)).drop("extra"))
+    assert {r.id: r.first_id for r in again.collect()} == {9: 1, 10: 4}
+    assert forest.first_ids().count() == 6
+
+
+def test_match_sources_with_hot_titles_nulls_and_clashes(spark):
+    a = "Kiradu: wound healing under mixed light in crowded greenhouse laboratories"
+    papers = [(k, a if k % 3 else a.upper(), ["Bela Ek"] if k % 2 else None, "2020", "") for k in range(300)] + [(900, None, None, None, None), (901, "", [], "", "")]
+    registry = [(k, a.replace("healing", "heeling"), ["Bela Ek"], None, None) for k in range(3)] + [(50, None, None, None, None)]
+    got = _matched(spark, papers, registry)
+    assert got == {(k, b) for k in range(300) for b in range(3)}
