@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -65,8 +66,8 @@ def mixed(*parts: np.ndarray | int) -> np.ndarray:
     return (key >> np.uint64(64 - KEY_BITS)).astype(np.int64)
 
 
-def text_key(*parts: object) -> int:
-    return xxhash.xxh64_intdigest("\x1f".join(map(str, parts)).encode("utf-8", "surrogatepass")) - (1 << 63)
+def text_key(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
 def short_key(kind: int, piece: str, name: int = 0) -> int:
@@ -76,7 +77,7 @@ def short_key(kind: int, piece: str, name: int = 0) -> int:
 def _pieces(letters: str, at: int, shift: int = 0) -> list[tuple[int, str]]:
     """(kind, letters) of a title read from a place: 1 the first letters, 2 twice as many, 3 twice as many and 4 as many behind the first."""
     s = letters[at:] + letters[:at] if at else letters
-    u = START // 2 if CJK.search(s[: 2 * START]) else START
+    u = START // 2 if not s.isascii() and CJK.search(s[: 2 * START]) else START
     out = [(1, s[:u])] if len(s) >= u else []
     if len(s) >= 2 * u:
         out.append((2, s[: 2 * u]))
@@ -114,8 +115,9 @@ Keys = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def _listed(node: np.ndarray, found: list[list[tuple[int, int]]]) -> Keys:
     """(keys, nodes, roles) of each node's own list of keys."""
-    flat = np.array([x for own in found for pair in own for x in pair], np.int64).reshape(-1, 2)
-    return flat[:, 0], np.repeat(node, [len(own) for own in found]), flat[:, 1]
+    sizes = [len(own) for own in found]
+    flat = np.fromiter(chain.from_iterable(chain.from_iterable(found)), np.int64, 2 * sum(sizes)).reshape(-1, 2)
+    return flat[:, 0], np.repeat(node, sizes), flat[:, 1]
 
 
 def _flat(rows: Keys | None, more: list[tuple[np.ndarray, np.ndarray, int]]) -> pa.RecordBatch:
