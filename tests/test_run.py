@@ -2,7 +2,9 @@
 
 import difflib
 import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,6 +105,42 @@ def test_title_matches_against_all_pairs(spark):
     assert all(got[k] == want[k] for k in got) and len(got) >= 0.95 * len(want) > 40
 
 
+def _lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def test_sketches_and_common_letters_rule_out_no_match():
+    rng = random.Random(8)
+    letters = " aeinrst0k"
+    a = ["".join(rng.choice(letters) for _ in range(rng.choice([1, 5, 63, 64, 65, 128, 129, 220]))) for _ in range(120)]
+    b = ["".join(c for c in t if rng.random() > 0.1) + rng.choice(letters) for t in a]
+    assert lookup.common_letters(a, b).tolist() == [_lcs(x, y) for x, y in zip(a, b)]
+    apart = np.bitwise_count((lookup.sketches(a) ^ lookup.sketches(b)).view(np.uint64)).reshape(len(a), 2, -1).sum(axis=2)
+    for x, y, (counts, pairs), common in zip(a, b, apart.tolist(), lookup.common_letters(a, b).tolist()):
+        blocks = sum(m.size for m in difflib.SequenceMatcher(None, x, y).get_matching_blocks())
+        free = len(x) + len(y) - 2 * blocks
+        assert counts <= free and pairs <= 3 * free and blocks <= common
+
+
+def test_title_matches_in_large_blocks(spark):
+    # 1 200 x 1 200 titles meet over the same words; comparing each pair letter by letter took minutes.
+    syllables = [c + v for c in "bdgklmnprstvz" for v in "aeiou"]
+    name = lambda n: "".join(syllables[(n * p) % 65] for p in (1, 7, 11)) + syllables[n // 65]
+    titles = [f"kelp rafts {'and moorings ' * (n % 5)}under {name(n)} winter swell" for n in range(1_200)]
+    q = spark.createDataFrame([(n, t if n % 2 else t.replace("winter", "wnter")) for n, t in enumerate(titles)], "qid int, title string")
+    c = spark.createDataFrame([(n, t, "", 0) for n, t in enumerate(titles)], "cid int, title string, venue string, citations int")
+    began = time.time()
+    got = lookup.best_title_match(q, c).collect()
+    assert {r.qid: r.cid for r in got} == {n: n for n in range(1_200)}
+    assert {r.ratio for r in got if r.qid % 2} == {1.0} and all(r.ratio < 1 for r in got if not r.qid % 2)
+    assert time.time() - began < 60
+
+
 def test_lookups_over_sources(spark):
     q = spark.createDataFrame([(1, "Kelp rafts under swell", "10.1/A", "", "arXiv", "", "", ""), (2, "Mooring of winter buoys", "", "", "", "", "", "")], "qid int, title string, doi string, arxiv_id string, venue string, published string, url string, pdf_url string")
     cols = "cid int, title string, doi string, arxiv_id string, venue string, citations int, published string, url string, pdf_url string"
