@@ -374,6 +374,39 @@ def test_batches_that_join_known_works(spark):
 def test_groups_of_batches():
     assert history_dedup.together([(1, 10), (2, 10), (3, 30), (4, 5)], 20) == [[1, 2], [3], [4]]
     assert history_dedup.together([], 20) == []
+    many = [(n, 60_000) for n in range(200)]  # at size neither the groups nor the rereads of the index may grow with the input
+    groups = history_dedup.together(many)
+    assert len(groups) == 4 and [n for g in groups for n in g] == list(range(200))
+
+
+def test_forest_bucketed_by_the_measured_prefix():
+    rng = random.Random(12)
+    titles = ["".join(rng.choice("abcdeilmnorstu") for _ in range(50)) for _ in range(300)]
+    titles += [t[:-1] + "x" for t in titles[:100]]
+    rows = pa.RecordBatch.from_pydict({"node": list(range(400)), "first": [1] * 400, "least": [1] * 400, "letters": titles, "breaks": [[]] * 400, "cut": [False] * 400})
+    depth = next(d for d, share in history_dedup.measured_recall(titles).items() if share >= 0.97)
+    assert depth > 2
+    batch = next(history_dedup.posting_rows(depth)(iter([rows])))
+    trees = [(k, n) for k, n, role in zip(*(batch.column(c).to_pylist() for c in ("k", "node", "role"))) if role == history_dedup.TREE]
+    met = {}
+    for k, n in trees:
+        met.setdefault(k, set()).add(n)
+    got = {(a, b) for ns in met.values() for a in ns for b in ns if a < b}
+    sig = signatures(titles) >> np.uint64(8 * (8 - depth))
+    assert got == {(a, b) for a in range(400) for b in range(a + 1, 400) if (sig[a] == sig[b]).any()} >= {(n, 300 + n) for n in range(100) if (sig[n] == sig[300 + n]).any()}
+
+
+def test_forest_keeps_its_buckets_once_the_prefix_is_measured(spark):
+    # The first batch has only cut titles, so nothing is measured; the later ones still find it.
+    cols = "id long, title string, authors array<string>, pub string, doi string, arxiv string"
+    made = lambda *rows: featurise(spark.createDataFrame(list(rows), cols), "id", "title", "authors", "pub", F.col("doi"), F.col("arxiv"))
+    forest = history_dedup.HashForest(spark)
+    forest.add(made((1, "Grid maps for deep planning under winter...", ["Ann Lee"], "2024", "", "")))
+    assert (forest.depth, forest.keyed) == (0, 2)
+    forest.add(made((2, "Kelp rafts and moorings under winter swell", ["Bo Ek"], "2024", "", "")))
+    forest.add(made((3, "Kelp rafts and moorings undr winter swell", ["Bo Ek"], "2024", "", "")))
+    assert forest.depth > 2 and forest.keyed == 2
+    assert {r.id: r.first_id for r in forest.first_ids().collect()} == {1: 1, 2: 2, 3: 2}
 
 
 def test_forest_recall_is_measured(spark):
