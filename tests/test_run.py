@@ -141,6 +141,23 @@ def test_title_matches_in_large_blocks(spark):
     assert time.time() - began < 60
 
 
+def _alike(n):
+    """n titles that share all words but one, which a fixed seed makes."""
+    rng = random.Random(9)
+    return [f"kelp rafts and moorings under {''.join(rng.choice('bdgklmnprstvzaeiou') for _ in range(8))} winter swell" for _ in range(n)]
+
+
+def test_venues_of_titles_in_large_blocks(spark):
+    titles = _alike(1_000)
+    q = spark.createDataFrame([(n, t.replace("winter", "wnter"), "", "", "", "", "", "") for n, t in enumerate(titles)], "qid int, title string, doi string, arxiv_id string, venue string, published string, url string, pdf_url string")
+    cols = "cid int, title string, doi string, arxiv_id string, venue string, citations int, published string, url string, pdf_url string"
+    source = lambda ns: spark.createDataFrame([(n, titles[n], "", "", f"Letters of Kelp {n}", 0, "", "", "") for n in ns], cols)
+    began = time.time()
+    got = {r.qid: r.venue for r in resolve.enrich_venues(q, [source(range(0, 1_000, 2)), source(range(1_000))]).collect()}
+    assert {n: v for n, v in got.items() if n % 2 == 0} == {n: f"Letters of Kelp {n}" for n in range(0, 1_000, 2)} and all(got.values())
+    assert time.time() - began < 90
+
+
 def test_lookups_over_sources(spark):
     q = spark.createDataFrame([(1, "Kelp rafts under swell", "10.1/A", "", "arXiv", "", "", ""), (2, "Mooring of winter buoys", "", "", "", "", "", "")], "qid int, title string, doi string, arxiv_id string, venue string, published string, url string, pdf_url string")
     cols = "cid int, title string, doi string, arxiv_id string, venue string, citations int, published string, url string, pdf_url string"
