@@ -158,6 +158,15 @@ def test_venues_of_titles_in_large_blocks(spark):
     assert time.time() - began < 90
 
 
+def test_preprints_of_titles_in_large_blocks(spark):
+    titles = _alike(1_000)
+    q = spark.createDataFrame([(n, t.replace("winter", "wnter"), "", "") for n, t in enumerate(titles)], "qid int, title string, arxiv_id string, pdf_url string")
+    p = spark.createDataFrame([(n, t, f"29{n:02d}.1", "", "2029-01-01", "") for n, t in enumerate(titles)], "cid int, title string, arxiv_id string, pdf_url string, published string, venue string")
+    began = time.time()
+    assert {r.qid: r.arxiv_id for r in resolve.enrich_fulltext(q, p).collect()} == {n: f"29{n:02d}.1" for n in range(1_000)}
+    assert time.time() - began < 60
+
+
 def test_lookups_over_sources(spark):
     q = spark.createDataFrame([(1, "Kelp rafts under swell", "10.1/A", "", "arXiv", "", "", ""), (2, "Mooring of winter buoys", "", "", "", "", "", "")], "qid int, title string, doi string, arxiv_id string, venue string, published string, url string, pdf_url string")
     cols = "cid int, title string, doi string, arxiv_id string, venue string, citations int, published string, url string, pdf_url string"
