@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bibweave.llm.forest import KEYS, index_rows, probe_rows, slip_rows
-from bibweave.llm.works import GOES_ON, SAME, START, anchored, check_pairs, components, featurise, identified, identifier_edges, natural_endings, titles_of, ways
+from bibweave.llm.works import GOES_ON, SAME, START, anchored, check_pairs, components, featurise, identified, identifier_edges, may_agree, natural_endings, sketched, titles_of, ways
 from bibweave.session import cut_lineage, drop_cut
 
 RULES = {1: "same title", 2: "identifier, author and year", 3: "title but for some slips, and an author", 4: "title but for some slips, no author", 5: "start of the title, and an author"}
@@ -42,14 +42,20 @@ AGREE = 2  # branches that a pair must share: 88 % of titles with four slips in
 def candidates(anchors: DataFrame) -> DataFrame:
     """(a, b, rule) of nodes that share a key, a < b, each pair once with its strongest rule."""
     rows = anchors.select("node", "letters", "breaks", "cut", "first", "least")
-    slips = rows.mapInArrow(slip_rows(DEPTH, TREES), KEYS).select("k", "node")
-    same = slips.select("k", F.col("node").alias("a")).join(slips.select("k", F.col("node").alias("b")), "k").where(f"a < b AND abs((a & {LONGEST}) - (b & {LONGEST})) <= {APART}").select("a", "b", F.lit(3).alias("rule"))
-    asked = rows.mapInArrow(probe_rows(BARE_DEPTH), KEYS).select("k", F.col("node").alias("p"), F.col("role").alias("rp"))
-    index = rows.mapInArrow(index_rows(BARE_DEPTH), KEYS).select("k", F.col("node").alias("x"), F.col("role").alias("rx"))
+    slips = rows.mapInArrow(sketched(slip_rows(DEPTH, TREES)), KEYS)
     # A title that another one is the start of is longer; of whole titles only slips may differ.
     length = lambda c: f"({c} & {LONGEST})"
+    one_key = F.shiftright("ka", 32) == F.shiftright("kb", 32)
+    # Pairs of different titles that share a key grow faster than the input, so they are dropped before anything is shuffled.
+    may = lambda a, b: may_agree("ka", "kb", length(a), length(b))
+    left, right = (slips.select(F.col("k").alias(f"k{s}"), F.col("node").alias(s)) for s in ("a", "b"))
+    same = left.join(right, one_key).where(f"{length('b')} - {length('a')} BETWEEN 0 AND {APART} AND ({length('a')} < {length('b')} OR a < b) AND {may('a', 'b')}")
+    same = same.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(3).alias("rule"))
+    asked = rows.mapInArrow(sketched(probe_rows(BARE_DEPTH)), KEYS).select(F.col("k").alias("ka"), F.col("node").alias("p"), F.col("role").alias("rp"))
+    index = rows.mapInArrow(sketched(index_rows(BARE_DEPTH)), KEYS).select(F.col("k").alias("kb"), F.col("node").alias("x"), F.col("role").alias("rx"))
     start = f"rp < 3 AND NOT (rp = 1 AND rx = 1) AND ({length('p')} < {length('x')} OR {length('p')} = {LONGEST})"
-    met = index.join(asked.hint("shuffle_hash"), "k").where(f"p <> x AND ({start} OR rp > 2 AND abs({length('p')} - {length('x')}) <= 4)").select(F.least("p", "x").alias("a"), F.greatest("p", "x").alias("b"), F.lit(4).alias("rule"))
+    met = index.join(asked.hint("shuffle_hash"), one_key).where(f"p <> x AND ({start} OR rp > 2 AND abs({length('p')} - {length('x')}) <= 4) AND {may('p', 'x')}")
+    met = met.select(F.least("p", "x").alias("a"), F.greatest("p", "x").alias("b"), F.lit(4).alias("rule"))
     slips, other = F.count_if(F.col("rule") == 3), F.count_if(F.col("rule") == 4)
     met_in = same.union(met).groupBy("a", "b").agg(slips.alias("slips"), other.alias("other")).where(f"slips >= {AGREE} OR other > 0")
     return met_in.select("a", "b", F.when(F.col("slips") >= AGREE, 3).otherwise(4).alias("rule"))

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from bibweave.llm import corpus_encoding, entity_match, format_duplicates, history_dedup, leakage, subjects, survivorship, value_mapping
+from bibweave.llm import corpus_encoding, entity_match, format_duplicates, history_dedup, leakage, subjects, survivorship, value_mapping, works
 from bibweave.llm.text import least_rotation, rotation_key
 from bibweave.llm.forest import TREES, signatures
 from bibweave.llm.works import _edits, components, components_in_rounds, featurise, plausible, record_features, same_title, surnames
@@ -485,6 +485,36 @@ def test_letter_counts_refuse_no_equal_titles():
             assert plausible(pa.array(['x', cut])[1:], pa.array([t]), np.array([True]))[0]
 
 
+def test_sketches_refuse_no_plausible_titles(spark):
+    """Of 20 000 pairs; a slip, a start with a slip, and anything else."""
+    rng = random.Random(4)
+    pairs = []
+    for n in range(20_000):
+        t = "".join(rng.choices("eeeaaiinnttorrsslldcumphgbfkvwyx", k=rng.randrange(12, 90)))
+        end = rng.randrange(len(t) // 3, len(t) + 1) if n % 2 else len(t)
+        pairs.append((t, history_dedup._damaged(t, rng.randrange(6), rng)[:end] or "x"))
+    pairs += [(t * 20, t * 15) for t, _ in pairs[:200]] + [("深い学習のための手法", t) for t, _ in pairs[:20]]
+    a, b = (pa.array(x) for x in zip(*(sorted(p, key=len) if n % 3 or abs(len(p[0]) - len(p[1])) > 4 else p for n, p in enumerate(pairs))))
+    sa, sb = works.letter_sketches(a), works.letter_sketches(b)
+    rows = [(n, int(x | 7 << 32), int(y | 7 << 32), min(1_023, len(s)), min(1_023, len(t))) for n, (x, y, s, t) in enumerate(zip(sa, sb, a.to_pylist(), b.to_pylist()))]
+    df = spark.createDataFrame(rows, "n long, a long, b long, na long, nb long")
+    may = {r.n for r in df.where(works.may_agree("a", "b", "na", "nb")).collect()}
+    told = set(np.flatnonzero(plausible(a, b, np.ones(len(a), bool))).tolist())
+    assert told <= may and 4_000 < len(told) and len(may - told) < len(pairs) / 10
+
+
+def test_titles_that_only_share_a_start_are_no_candidates(spark):
+    """Titles of one author with one beginning: their pairs would grow with the square of the input."""
+    rng = random.Random(5)
+    begin = "deepmultiagentpathfinding"
+    whole = [begin + "".join(rng.choices("eaintorsldcumphg", k=30)) for _ in range(60)]
+    titles = whole + [begin + "".join(rng.choices("bfkvwyx", k=26)) for _ in range(60)] + [whole[0][:-8], whole[1][:20] + "zz" + whole[1][22:]]
+    rows = [(((n + 1) << 10) | len(t), t, [], n == 120, 5, 5) for n, t in enumerate(titles)]
+    anchors = spark.createDataFrame(rows, "node long, letters string, breaks array<int>, cut boolean, first int, least int")
+    got = {(r.a >> 10, r.b >> 10) for r in entity_match.candidates(anchors).collect()}
+    assert {(1, 121), (2, 122)} <= got and len(got) < 200
+
+
 def test_notices_are_told_by_counts(spark):
     """Sentences of no list: they stand in texts of many authors and say nothing of the title."""
     lines = ["Kindly log on through the portal of your campus.", "Cookies of this vendor were switched off.", "The entry opens once a fee was paid.", "Queries go to the front office on weekdays."]
