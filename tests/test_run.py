@@ -167,6 +167,18 @@ def test_preprints_of_titles_in_large_blocks(spark):
     assert time.time() - began < 60
 
 
+def test_venues_of_titles_with_many_records(spark):
+    """Titles are compared once, not once for each two of their records: 400 x 400 of each."""
+    titles = _alike(30)
+    q = spark.range(12_000).selectExpr("CAST(id AS int) AS qid", f"replace(element_at(array({', '.join(map(repr, titles))}), CAST(id % 30 AS int) + 1), 'winter', 'wnter') AS title", *(f"'' AS {c}" for c in ("doi", "arxiv_id", "venue", "published", "url", "pdf_url")))
+    p = spark.range(12_000).selectExpr("CAST(id AS int) AS cid", f"element_at(array({', '.join(map(repr, titles))}), CAST(id % 30 AS int) + 1) AS title", "concat('Letters of Kelp ', id) AS venue", "CAST(id % 7 AS int) AS citations", *(f"'' AS {c}" for c in ("doi", "arxiv_id", "published", "url", "pdf_url")))
+    began = time.time()
+    got = {r.qid: r.venue for r in resolve.enrich_venues(q, [p]).collect()}
+    best = {t: max((n % 7, -n) for n in range(t, 12_000, 30)) for t in range(30)}
+    assert got == {n: f"Letters of Kelp {-best[n % 30][1]}" for n in range(12_000)}
+    assert time.time() - began < 40
+
+
 def test_lookups_over_sources(spark):
     q = spark.createDataFrame([(1, "Kelp rafts under swell", "10.1/A", "", "arXiv", "", "", ""), (2, "Mooring of winter buoys", "", "", "", "", "", "")], "qid int, title string, doi string, arxiv_id string, venue string, published string, url string, pdf_url string")
     cols = "cid int, title string, doi string, arxiv_id string, venue string, citations int, published string, url string, pdf_url string"
