@@ -179,6 +179,16 @@ def test_venues_of_titles_with_many_records(spark):
     assert time.time() - began < 40
 
 
+def test_preprints_of_titles_with_many_records(spark):
+    """Titles are compared once; of equal ones the newer preprint is taken."""
+    listed = f"array({', '.join(map(repr, _alike(30)))})"
+    q = spark.range(12_000).selectExpr("CAST(id AS int) AS qid", f"replace(element_at({listed}, CAST(id % 30 AS int) + 1), 'winter', 'wnter') AS title", "'' AS arxiv_id", "'' AS pdf_url")
+    p = spark.range(12_000).selectExpr("CAST(id AS int) AS cid", f"element_at({listed}, CAST(id % 30 AS int) + 1) AS title", "concat('29.', id) AS arxiv_id", "'' AS pdf_url", "CAST(date_add(DATE'2029-01-01', CAST(id AS int)) AS string) AS published", "'' AS venue")
+    began = time.time()
+    assert {r.qid: r.arxiv_id for r in resolve.enrich_fulltext(q, p).collect()} == {n: f"29.{12_000 - 30 + n % 30}" for n in range(12_000)}
+    assert time.time() - began < 40
+
+
 def test_lookups_over_sources(spark):
     q = spark.createDataFrame([(1, "Kelp rafts under swell", "10.1/A", "", "arXiv", "", "", ""), (2, "Mooring of winter buoys", "", "", "", "", "", "")], "qid int, title string, doi string, arxiv_id string, venue string, published string, url string, pdf_url string")
     cols = "cid int, title string, doi string, arxiv_id string, venue string, citations int, published string, url string, pdf_url string"
