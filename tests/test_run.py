@@ -127,6 +127,20 @@ def test_sketches_and_common_letters_rule_out_no_match():
         assert counts <= free and pairs <= 3 * free and blocks <= common
 
 
+def test_common_letters_of_pairs_beside_a_long_title():
+    """One long title among many pairs: each pair cost as much as the longest, some minutes for these."""
+    rng = random.Random(12)
+    make = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    a, b = ([make(rng.randint(20, 140)) for _ in range(300)] for _ in range(2))
+    pairs = [(rng.choice(a), rng.choice(b)) for _ in range(12_000)] + [(make(4_000), b[0]), (a[0], make(5_000))]
+    rng.shuffle(pairs)
+    began = time.process_time()
+    got = lookup.common_letters(*map(list, zip(*pairs)))
+    assert time.process_time() - began < 5
+    longest = sorted(range(len(pairs)), key=lambda i: -max(map(len, pairs[i])))
+    assert all(got[i] == _lcs(*pairs[i]) for i in longest[:2] + longest[2::600])
+
+
 def test_title_matches_in_large_blocks(spark):
     # 1 200 x 1 200 titles meet over the same words; comparing each pair letter by letter took minutes.
     syllables = [c + v for c in "bdgklmnprstvz" for v in "aeiou"]
