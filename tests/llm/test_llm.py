@@ -546,3 +546,15 @@ def test_match_sources_with_hot_titles_nulls_and_clashes(spark):
     registry = [(k, a.replace("healing", "heeling"), ["Bela Ek"], None, None) for k in range(3)] + [(50, None, None, None, None)]
     got = _matched(spark, papers, registry)
     assert got == {(k, b) for k in range(300) for b in range(3)}
+
+
+def test_small_words_are_told_without_comparing_others(monkeypatch):
+    """Invented words, of which titles have one each, were compared letter by letter with every small word."""
+    rng = random.Random(15)
+    small = sorted(w for w in works.SMALL if len(w) > 3)
+    slips = [w[:i] + x + w[j:] for w in small for i in range(len(w) + 1) for j in (i, i + 1, i + 2) for x in ("", "q", w[i : i + 2][::-1])]
+    words = [w for w in slips + ["".join(rng.choice("withusnger") for _ in range(rng.randint(4, 7))) for _ in range(2_000)] if 3 < len(w) < 8 and w not in works.SMALL]
+    assert [works._small.__wrapped__(w) for w in words] == [any(works._edits(s, w, 1) <= 1 for s in small) for w in words]
+    calls, edits = [], works._edits
+    monkeypatch.setattr(works, "_edits", lambda *x: calls.append(x) or edits(*x))
+    assert not any(works._small.__wrapped__("".join(rng.choice("bdgklmprtvz") + rng.choice("aeio") for _ in range(3))) for _ in range(1_000)) and len(calls) < 100
