@@ -155,6 +155,45 @@ def test_title_matches_in_large_blocks(spark):
     assert time.time() - began < 60
 
 
+def test_title_matches_leave_out_no_pair(spark, monkeypatch):
+    """A slip in every word, frequent words alone, few letters: rare words in common missed such pairs."""
+    for name, size in (("QUERIES", 20), ("CANDIDATES", 30), ("BLOCK_LETTERS", 900), ("PART", 70)):  # several blocks and parts
+        monkeypatch.setattr(lookup, name, size)
+    rng = random.Random(15)
+    words = "moorings lanterns orchards turbines glaciers harbours anchorage quarries meadows pilotage censuses".split()
+    titles = [" ".join(rng.sample(words, rng.randint(1, 7))) for _ in range(150)] + ["a", "ab c", "kelp " * 60 + "raft", *(" ".join(rng.choices(words, k=30)) for _ in range(5))]
+    titles = sorted(set(titles))
+    slip = lambda w: (lambda n: w[:n] + rng.choice(["", "x", w[n] + "q"]) + w[n + 1 :])(rng.randrange(len(w)))
+    queries = [" ".join(map(slip, t.split())) for t in titles] + ["kelp " * 59 + "raft", "moorings", "b"]
+    q = spark.createDataFrame(list(enumerate(queries)), "qid int, title string")
+    c = spark.createDataFrame([(n, t, "", 0) for n, t in enumerate(titles)], "cid int, title string, venue string, citations int")
+    for threshold in (0.84, 0.7):
+        got = {r.qid: (r.cid, r.ratio) for r in lookup.best_title_match(q, c, threshold).collect()}
+        want = {}
+        for k, t in enumerate(queries):
+            t = " ".join(t.split())
+            ratio, n = max((difflib.SequenceMatcher(None, x, t).ratio(), -n) for n, x in enumerate(titles))  # the candidate first
+            if t and ratio >= threshold:
+                want[k] = (-n, ratio)
+        assert got == want and sum(r < 1 for _, r in want.values()) > 60
+
+
+def test_halves_rule_out_no_match():
+    rng = random.Random(16)
+    make = lambda n: "".join(rng.choice(" aeinrst0k") for _ in range(n))
+    worn = lambda t: "".join(rng.choice(["", "e", x + "i"]) if rng.random() < 0.12 else x for x in t) or "a"
+    known = sorted((make(n) for n in [1, 2, 3, 4, 5, 8, 63, 64, 65, 80, 83, 84, 85, 220, 700] for _ in range(6)), key=len)
+    asked = sorted(map(worn, known), key=len)
+    block = lambda titles: lookup._block(np.arange(len(titles)), titles, True)
+    q = lookup._Queries(*(block(asked)[f] for f in ("numbers", "titles", "sketch")), 0.8)
+    c = lookup._Candidates(*(block(known)[f] for f in ("numbers", "titles", "sketch", "half")))
+    near = {(i, j) for x, y in lookup._letters_near(q, c) for i, j in zip(*(z.tolist() for z in lookup._halves_near(q, c, x, y)))}
+    sizes = q.sizes[:, None] + c.sizes
+    common = lookup.common_letters([x for x in asked for _ in known], known * len(asked)).reshape(sizes.shape)
+    must = set(zip(*(x.tolist() for x in np.nonzero(2 * common >= 0.8 * sizes))))
+    assert must <= near and len(must) > 60 and len(near) < len(asked) * len(known) / 2
+
+
 def _alike(n):
     """n titles that share all words but one, which a fixed seed makes."""
     rng = random.Random(9)
